@@ -3,11 +3,13 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-VISIBLE_TEXT_CUTS = r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>"
+from laurel.functions.text import SPACE
+
+VISIBLE_TEXT_CUTS = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
 
 
 def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != ""))
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != ""))
 
 
 def page_text(html: Column) -> Column:

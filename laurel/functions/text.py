@@ -6,9 +6,19 @@ from pyspark.sql import functions as F
 from laurel import fixed
 
 
+# any Unicode white space, not only blanks
+SPACE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def strip(c: Column) -> Column:
-    """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+
+
+def text_array(values) -> Column:
+    """A constant array, built in one call."""
+    if not values:
+        return F.expr("cast(array() as array<string>)")
+    return F.expr("array(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values) + ")")
 
 
 def has_text(c: Column) -> Column:
@@ -97,7 +107,7 @@ def words(s: Column) -> Column:
 
 
 def topic_terms(title: Column, stop_words=fixed.TOPIC_STOP_WORDS) -> Column:
-    stop = F.array(*[F.lit(w) for w in stop_words])
+    stop = text_array(stop_words)
     tokens = F.filter(words(title_core(title)), lambda t: F.length(t) >= 3)
     return F.array_except(F.array_distinct(tokens), stop)
 

@@ -5,11 +5,7 @@ from pyspark.sql import functions as F
 
 from laurel import fixed
 from laurel.functions.geo import haversine_m
-from laurel.functions.text import domain_of, has_number, has_text, search_query, search_term, topic_terms, words
-
-
-def _texts(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+from laurel.functions.text import domain_of, has_number, has_text, search_query, search_term, text_array, topic_terms, words
 
 
 def target_types(title: Column, category: Column, rules=fixed.KEYWORD_TYPES) -> Column:
@@ -18,13 +14,13 @@ def target_types(title: Column, category: Column, rules=fixed.KEYWORD_TYPES) ->
     chosen = None
     for keyword in sorted(rules, key=len, reverse=True):
         hit = low.contains(keyword)
-        chosen = F.when(hit, _texts(rules[keyword])) if chosen is None else chosen.when(hit, _texts(rules[keyword]))
-    return (chosen.when(category.isin(fixed.FOOD_CATEGORIES), _texts(fixed.FOOD_TYPES))
-            .otherwise(_texts([])))
+        chosen = F.when(hit, text_array(rules[keyword])) if chosen is None else chosen.when(hit, text_array(rules[keyword]))
+    return (chosen.when(category.isin(fixed.FOOD_CATEGORIES), text_array(fixed.FOOD_TYPES))
+            .otherwise(text_array([])))
 
 
 def is_food(category: Column, target: Column) -> Column:
-    same = F.array_sort(F.array_distinct(target)) == F.array_sort(_texts(fixed.FOOD_TYPES))
+    same = F.array_sort(F.array_distinct(target)) == F.array_sort(text_array(fixed.FOOD_TYPES))
     return F.coalesce(category.isin(fixed.FOOD_CATEGORIES), F.lit(False)) | same
 
 

@@ -21,7 +21,7 @@ def merge(existing: DataFrame, incoming: DataFrame, keys: list[str], fill: list[
     columns the batch does not have are kept from the table.
     """
     missing = [c for c in existing.columns if c not in incoming.columns]
-    keep = [*keep, *missing]
+    keep = [*keep, *(c for c in missing if c not in keep and c not in fill)]
     cols = existing.columns
     batch = incoming.select(*[F.col(c) if c in incoming.columns else F.lit(None).cast(existing.schema[c].dataType).alias(c)
                               for c in cols],

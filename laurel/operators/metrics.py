@@ -20,18 +20,21 @@ def business_features(raw: DataFrame) -> DataFrame:
     Payloads are parsed where they are read and only numbers and flags are
     shuffled; max() works as a map-side partial aggregate.
     """
-    g, y, s = typed("google_places"), typed("yelp"), typed("site")
-    a, m, r = typed("firecrawl"), typed("semrush"), typed("reddit")
+    sources = ["google_places", "yelp", "site", "firecrawl", "semrush", "reddit"]
+    # parsed in a step of its own: each payload is parsed once, not once per field
+    parsed = raw.where(F.col("topic_slug").isNull()).select("run_id", "business_id", "source",
+                                                            *[typed(s).alias(s) for s in sources])
+    g, y, a, m = (F.col(s) for s in ("google_places", "yelp", "firecrawl", "semrush"))
     available = F.coalesce(m["available"], F.lit(False))
     seo = R.seo_score(a["fetched"], a["is_https"], a["has_viewport"], a["has_schema_org"], a["has_open_graph"],
                       a["has_canonical"], a["h1_count"], a["word_count"])
-    narrow = raw.where(F.col("topic_slug").isNull()).select(
+    narrow = parsed.select(
         "run_id", "business_id",
         g["rating"].alias("google_rating"), g["userRatingCount"].alias("google_review_count"),
         has_text(g["websiteUri"]).alias("google_website"),
         y["rating"].alias("yelp_rating"), y["review_count"].alias("yelp_review_count"),
-        has_text(s["website"]).alias("site_website"),
-        r["count"].alias("reddit_count"),
+        has_text(F.col("site")["website"]).alias("site_website"),
+        F.col("reddit")["count"].alias("reddit_count"),
         F.when(available, m["authority_score"]).alias("semrush_authority"),
         F.when(available, m["organic_traffic"]).alias("semrush_traffic"),
         F.when(available, m["organic_keywords"]).alias("semrush_keywords"),
@@ -42,12 +45,13 @@ def business_features(raw: DataFrame) -> DataFrame:
 
 def topic_features(raw: DataFrame) -> DataFrame:
     """One row per (business, topic, run) from the topic-level payload rows."""
-    w, ai = typed("web_search"), typed("ai_search")
-    narrow = raw.where(F.col("topic_slug").isNotNull()).select(
+    parsed = raw.where(F.col("topic_slug").isNotNull()).select(
+        *IDS, "source", typed("web_search").alias("web"), typed("ai_search").alias("ai"))
+    narrow = parsed.select(
         *IDS,
-        F.when(F.col("source") == "web_search", F.coalesce(w["mentioned"], F.lit(False))).alias("web_mentioned"),
-        w["serp_rank"].alias("serp_rank"),
-        F.when(F.col("source") == "ai_search", F.coalesce(ai["mentioned"], F.lit(False))).alias("ai_mentioned"))
+        F.when(F.col("source") == "web_search", F.coalesce("web.mentioned", F.lit(False))).alias("web_mentioned"),
+        F.col("web.serp_rank").alias("serp_rank"),
+        F.when(F.col("source") == "ai_search", F.coalesce("ai.mentioned", F.lit(False))).alias("ai_mentioned"))
     return narrow.groupBy(*IDS).agg(F.max("web_mentioned").alias("web_mentioned"),
                                     F.max("serp_rank").alias("serp_rank"),
                                     F.max("ai_mentioned").alias("ai_mentioned"))

@@ -3,11 +3,14 @@
 Every view reads its whole source table, so the work of a query grows with the data.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import wraps
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from laurel import fixed
 from laurel.functions.audit import audit, page_text
-from laurel.functions.text import domain_of, norm_name, slugify
+from laurel.functions.text import domain_of, slugify
 
 RUN = "2024-01"
 AS_OF = "2002-01-01"
@@ -21,6 +24,22 @@ ASPECT_WORDS = {"service": ["tion", "ent"], "wait": ["ing"], "cleanliness": ["sc
 COMPLAINTS = ["ther", "aux", "ungen"]
 
 
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def view(fn):
+    """Plans are immutable: build each one once per application and folder."""
+    @wraps(fn)
+    def cached(spark: SparkSession, d: str, *args) -> DataFrame:
+        key = (spark.sparkContext.applicationId, fn.__module__, fn.__name__, d, *args)
+        if key not in _VIEWS:
+            _VIEWS[key] = fn(spark, d, *args)
+        return _VIEWS[key]
+
+    return cached
+
+
+@view
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -45,6 +64,7 @@ def segment_category(segment: Column) -> Column:
             .otherwise("nightlife"))
 
 
+@view
 def regions(spark, d) -> DataFrame:
     n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     k = F.col("n_nationkey")
@@ -62,6 +82,7 @@ def topic_slug(segment: Column, nation_name: Column) -> Column:
     return slugify(F.concat_ws(" ", F.lit("best"), segment, nation_name), "topic")
 
 
+@view
 def topics(spark, d) -> DataFrame:
     pairs = table(spark, d, "customer").select("c_nationkey", "c_mktsegment").distinct()
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
@@ -76,6 +97,7 @@ def topics(spark, d) -> DataFrame:
         F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit("find "), F.lower(seg))).alias("search_query"))
 
 
+@view
 def businesses(spark, d) -> DataFrame:
     """customer, named after the part with its key, placed around its nation's centre, with the page of its key."""
     c = table(spark, d, "customer")
@@ -91,7 +113,7 @@ def businesses(spark, d) -> DataFrame:
             .select(
                 business_id(k).alias("business_id"), place_id(k).alias("place_id"),
                 F.when(k % 3 == 0, F.concat(F.lit("y"), k.cast("string"))).alias("yelp_id"),
-                F.concat(F.initcap(F.coalesce("p_name", "c_name")), kind).alias("name"),
+                F.concat(F.coalesce("p_name", "c_name"), kind).alias("name"),
                 F.concat_ws(" ", (k % 97).cast("string"), F.lit("Main St")).alias("address"),
                 F.when(located, F.lit(43.0) + nk * F.lit(0.25) + ((k % 41) - 20) * F.lit(0.004)).alias("lat"),
                 F.when(located, F.lit(-79.0) - nk * F.lit(0.5) + ((k % 29) - 14) * F.lit(0.004)).alias("lng"),
@@ -103,6 +125,7 @@ def businesses(spark, d) -> DataFrame:
                 topic_slug(F.col("c_mktsegment"), F.col("n_name")).alias("topic_slug"), k.alias("c_custkey")))
 
 
+@view
 def links(spark, d) -> DataFrame:
     c = table(spark, d, "customer")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
@@ -111,6 +134,7 @@ def links(spark, d) -> DataFrame:
         topic_slug(F.col("c_mktsegment"), F.col("n_name")).alias("topic_slug"), F.lit(RUN).alias("run_id"))
 
 
+@view
 def platform_ratings(spark, d) -> DataFrame:
     """Stars 1..5 per order; finished orders count for one platform, open ones for the other."""
     o = table(spark, d, "orders").where(F.col("o_orderstatus").isin("F", "O"))
@@ -127,6 +151,7 @@ def platform_ratings(spark, d) -> DataFrame:
         F.when(F.col("y_n") > 0, F.col("y_n")).alias("yelp_review_count"))
 
 
+@view
 def reviews(spark, d) -> DataFrame:
     """documents as review texts of the customer whose order has the document's number."""
     doc = table(spark, d, "documents").select("doc_id", "text")
@@ -138,23 +163,39 @@ def reviews(spark, d) -> DataFrame:
         F.when(F.col("doc_id") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("publish_time"))
 
 
+@view
 def page_audits(spark, d) -> DataFrame:
     p = table(spark, d, "pages")
     cols = audit(F.col("url"), F.col("html"), page_text(F.col("html")))
     return p.select("page_id", "url", F.lit(True).alias("fetched"), *[c.alias(k) for k, c in cols.items()])
 
 
+@view
 def serp(spark, d) -> DataFrame:
-    """Result lists per topic: pages dealt out to the (dense) nation x segment grid, in page order."""
+    """Result lists per topic: pages dealt out to the nation x segment grid; a list shows its first 20 results."""
     seg = F.array(*[F.lit(s) for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")])
     k = F.col("page_id")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
-    return (table(spark, d, "pages").join(n, k % 25 == F.col("n_nationkey"))
+    rows = (table(spark, d, "pages").join(n, k % 25 == F.col("n_nationkey"))
             .select(topic_slug(F.get(seg, (F.floor(k / 25) % 5).cast("int")), F.col("n_name")).alias("topic_slug"),
-                    k.alias("list_pos"), "url", title.alias("title"), F.lit("").alias("snippet")))
+                    "page_id", "url", title.alias("title"), F.lit("").alias("snippet")))
+    place = F.row_number().over(Window.partitionBy("topic_slug").orderBy("page_id"))
+    return (rows.withColumn("position", place).where(F.col("position") <= fixed.SERP_DEPTH)
+            .withColumn("list_pos", F.col("position") - 1))
+
+
+@view
+def recommended(spark, d) -> DataFrame:
+    """Recommended names per topic: its ten richest businesses."""
+    c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    b = businesses(spark, d).join(c, "c_custkey")
+    place = F.row_number().over(Window.partitionBy("topic_slug").orderBy(F.col("c_acctbal").desc(), "c_custkey"))
+    return (b.withColumn("n", place).where(F.col("n") <= 10)
+            .select("topic_slug", (F.col("n") - 1).alias("list_pos"), F.concat(F.lit("The "), "name").alias("name")))
 
 
+@view
 def raw_payloads(spark, d) -> DataFrame:
     """Business-level raw rows, as landed JSON text."""
     b = businesses(spark, d)
@@ -193,7 +234,66 @@ def raw_payloads(spark, d) -> DataFrame:
     return out
 
 
-def recommended(spark, d) -> DataFrame:
-    """Recommended names per topic: every seventh business of the topic; normalised as the matcher wants."""
-    return (businesses(spark, d).where(F.col("c_custkey") % 7 == 0)
-            .select("topic_slug", "name", norm_name(F.col("name")).alias("norm")))
+@view
+def linked_names(spark, d) -> DataFrame:
+    b = businesses(spark, d)
+    return b.select(F.lit(RUN).alias("run_id"), "topic_slug", "business_id", "name",
+                    F.col("domain").alias("website_domain"))
+
+
+PRIMARY_TYPES = ["bakery", "museum", "car_repair", "sushi_restaurant", "store", None]
+
+
+def primary_type(key: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for i, t in enumerate(PRIMARY_TYPES):
+        out = F.when(key % len(PRIMARY_TYPES) == i, F.lit(t)).otherwise(out)
+    return out
+
+
+@view
+def _base(spark, d) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    return businesses(spark, d).join(c, "c_custkey").withColumn("pos", F.col("c_custkey").cast("int"))
+
+
+@view
+def text_hits(spark, d) -> DataFrame:
+    """Text search: every business, websites only where the balance is positive."""
+    b = _base(spark, d)
+    return b.select("topic_slug", "pos", "place_id", "name", "address", "lat", "lng",
+                    F.lit(None).cast("string").alias("phone"), F.when(F.col("c_acctbal") > 0, F.col("website")).alias("website"),
+                    F.when(F.col("c_acctbal") > 0, F.col("domain")).alias("domain"),
+                    primary_type(F.col("c_custkey")).alias("category"))
+
+
+@view
+def nearby_hits(spark, d) -> DataFrame:
+    b = _base(spark, d).where("c_acctbal >= 4000")
+    return b.select("topic_slug", "pos", "place_id", F.upper("name").alias("name"), "address", "lat", "lng", "phone",
+                    "website", "domain", primary_type(F.col("c_custkey")).alias("category"))
+
+
+@view
+def platform_hits(spark, d) -> DataFrame:
+    b = _base(spark, d).where("c_acctbal < 6000")
+    url = F.concat(F.lit("https://www.yelp.com/biz/"), F.col("c_custkey").cast("string"))
+    return b.select("topic_slug", "pos", F.concat(F.lit("y"), F.col("c_custkey").cast("string")).alias("yelp_id"), "name",
+                    "address", "lat", "lng", "phone", url.alias("website"), domain_of(url).alias("domain"),
+                    F.lit("shops").alias("category"))
+
+
+@view
+def ai_names(spark, d) -> DataFrame:
+    return recommended(spark, d).select("topic_slug", F.col("list_pos").alias("pos"), "name")
+
+
+@view
+def place_hits(spark, d) -> DataFrame:
+    """Landed place lookups by 'name, address': the business itself first, a decoy second."""
+    b = _base(spark, d).where("c_acctbal >= 2000")
+    q = F.concat_ws(", ", "name", "address")
+    first = b.select(q.alias("query"), F.lit(0).alias("pos"), "place_id", "lat", "lng", "website")
+    decoy = b.select(q.alias("query"), F.lit(1).alias("pos"), F.concat(F.lit("Z"), "place_id").alias("place_id"), "lat",
+                     "lng", "website")
+    return first.unionByName(decoy)

@@ -19,7 +19,9 @@ def build_session(app: str = "laurel", master: str | None = None, shuffle_partit
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+         # records a Python stack for every column expression; costs more than building the plan
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if master:
         b = b.master(master)
     if shuffle_partitions:
