@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from laurel import fixed
 from laurel.functions.pillars import pillar_columns
 from laurel.operators.ranks import midrank_percentile, position_in_groups
+from laurel.session import staged
 
 IDS = ["run_id", "topic_slug", "business_id"]
 
@@ -31,7 +32,12 @@ def pillar_rows(wide: DataFrame) -> DataFrame:
 
 
 def normalise_pillars(rows: DataFrame) -> DataFrame:
-    return midrank_percentile(rows, ["run_id", "topic_slug", "pillar"], "raw")
+    """Mid-rank percentile of every pillar within its topic.
+
+    Percentiles read their input more than once, so the narrow pillar rows are
+    staged and the payload work behind them runs once.
+    """
+    return midrank_percentile(staged(rows, "pillar-rows"), ["run_id", "topic_slug", "pillar"], "raw")
 
 
 def pillar_scores(normalised: DataFrame) -> DataFrame:

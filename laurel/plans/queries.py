@@ -72,12 +72,10 @@ def core_metrics(spark, d) -> DataFrame:
     return M.wide_metrics(D.links(spark, d), M.business_features(D.raw_payloads(spark, d)), none)
 
 
-@view
 def core_pillars(spark, d) -> DataFrame:
     return scoring.normalise_pillars(scoring.pillar_rows(core_metrics(spark, d)))
 
 
-@view
 def core_ranked(spark, d) -> DataFrame:
     return scoring.rank_topics(scoring.finals(core_pillars(spark, d)))
 
