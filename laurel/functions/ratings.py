@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from laurel import fixed
+from laurel.functions.numbers import round_half_even
 
 
 def bayesian_rating(rating: Column, count: Column, prior_mean: float = fixed.PRIOR_MEAN,
@@ -44,5 +45,5 @@ def seo_score(fetched: Column, is_https: Column, has_viewport: Column, has_schem
     total = (points(is_https, 25.0) + points(has_viewport, 15.0) + points(has_schema_org, 15.0)
              + points(has_open_graph, 10.0) + points(has_canonical, 10.0) + points(h1_count >= 1, 10.0)
              + F.least(F.lit(15.0), F.coalesce(word_count, F.lit(0)) / F.lit(80.0)))
-    capped = F.bround(F.least(F.lit(100.0), total), 2)
+    capped = round_half_even(F.least(F.lit(100.0), total), 2)
     return F.when(F.coalesce(fetched, F.lit(False)), capped).otherwise(F.lit(0.0))

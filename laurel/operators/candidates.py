@@ -102,7 +102,7 @@ def resolve_place_ids(candidates: DataFrame, hits: DataFrame) -> DataFrame:
     hits: query, pos, place_id, lat, lng, website.  Only rows that lack a place
     id meet the join.
     """
-    first = (hits.groupBy("query").agg(F.min_by(F.struct("place_id", "lat", "lng", "website"), "pos").alias("hit")))
+    first = (hits.groupBy("query").agg(F.min_by(F.struct("place_id", "lat", "lng", "website"), F.struct("pos", "place_id")).alias("hit")))
     named = F.when(has_text(F.col("address")), F.concat_ws(", ", "name", "address")).otherwise(F.col("name"))
     lacking = candidates.where(~has_text(F.col("place_id"))).withColumn("query", named)
     found = F.col("hit").isNotNull()

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laurel import fixed
+from laurel.functions.numbers import round_half_even
 from laurel.functions.text import has_text, name_list, nominee_slug, snippet, strip
 
 DOC_RANKS = 1000  # rankings per export document; a longer topic continues in further parts
@@ -94,10 +95,10 @@ def strengths_context(ranked: DataFrame, wide_metrics: DataFrame, snippets: Data
     m = wide_metrics.select(*keys, "google_rating", "google_review_count", "yelp_rating", "yelp_review_count")
     j = ranked.join(m, keys, "left").join(snippets, ["run_id", "business_id"], "left")
     shares = F.transform_values(F.transform_keys("pillar_breakdown", lambda k, _: F.coalesce(labels[k], k)),
-                                lambda _, v: F.bround(v, 0).cast("int"))
+                                lambda _, v: F.rint(v).cast("int"))
     context = F.struct(
         "run_id", "business_id", F.when(has_text(F.col("name")), F.col("name")).alias("name"), "rank_position",
-        F.bround("final_score", 1).alias("ranking_score"), "google_rating",
+        round_half_even(F.col("final_score"), 1).alias("ranking_score"), "google_rating",
         _count_or_null(F.col("google_review_count")).alias("google_review_count"), "yelp_rating",
         _count_or_null(F.col("yelp_review_count")).alias("yelp_review_count"),
         F.when(F.size(shares) > 0, shares).alias("pillar_percentiles"),

@@ -5,6 +5,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from laurel.functions.numbers import round_half_even
 from laurel.session import staged
 
 
@@ -36,8 +37,8 @@ def midrank_percentile(df: DataFrame, groups: list[str], value: str, out: str =
                  .drop("_slice_n"))
 
     pct = (F.col("_before") + F.col("_less") + F.lit(0.5) * F.col("_n")) / F.col("_all") * F.lit(100.0)
-    table = (local.join(per_slice, [*groups, "_slice"])
-             .select(*groups, value, F.bround(pct, 2).alias(out)))
+    table = (local.join(per_slice, [*groups, "_slice"]).select(*groups, value, pct.alias("_pct"))
+             .select(*groups, value, round_half_even(F.col("_pct"), 2).alias(out)))
     result = df.join(table, [*groups, value], "left")
     if impute is None:
         return result

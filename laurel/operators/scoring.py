@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laurel import fixed
+from laurel.functions.numbers import round_half_even
 from laurel.functions.pillars import pillar_columns
 from laurel.operators.ranks import midrank_percentile, position_in_groups
 from laurel.session import staged
@@ -43,7 +44,7 @@ def normalise_pillars(rows: DataFrame) -> DataFrame:
 def pillar_scores(normalised: DataFrame) -> DataFrame:
     """The pillar_scores table."""
     return normalised.select("business_id", "topic_slug", "run_id", "pillar",
-                             F.bround("raw", 2).alias("raw_score"), "normalized_score")
+                             round_half_even(F.col("raw"), 2).alias("raw_score"), "normalized_score")
 
 
 def weighted_final(wide_norm: DataFrame, weights: dict[str, float] = fixed.PILLAR_WEIGHTS) -> DataFrame:
@@ -57,7 +58,8 @@ def weighted_final(wide_norm: DataFrame, weights: dict[str, float] = fixed.PILLA
         present = F.col(pillar).isNotNull()
         num = num + F.when(present, F.col(pillar) * F.lit(float(w))).otherwise(F.lit(0.0))
         den = den + F.when(present, F.lit(float(w))).otherwise(F.lit(0.0))
-    return wide_norm.withColumn("final_score", F.coalesce(F.bround(F.try_divide(num, den), 2), F.lit(0.0)))
+    mean = wide_norm.withColumn("_mean", F.coalesce(F.try_divide(num, den), F.lit(0.0)))
+    return mean.withColumn("final_score", round_half_even(F.col("_mean"), 2)).drop("_mean")
 
 
 def finals(normalised: DataFrame, weights: dict[str, float] = fixed.PILLAR_WEIGHTS) -> DataFrame:
@@ -69,7 +71,7 @@ def finals(normalised: DataFrame, weights: dict[str, float] = fixed.PILLAR_WEIGH
 
 def breakdown(pillars=fixed.PILLARS):
     """Map of the present pillars, one decimal."""
-    entries = [part for p in pillars for part in (F.lit(p), F.bround(F.col(p), 1))]
+    entries = [part for p in pillars for part in (F.lit(p), round_half_even(F.col(p), 1))]
     return F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
 
 

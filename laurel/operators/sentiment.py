@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laurel import fixed
+from laurel.functions.numbers import round_half_even
 from laurel.functions.text import contains_any
 from laurel.session import small_table
 
@@ -73,10 +74,11 @@ def text_scores(texts: DataFrame, lexicon: DataFrame, keys: list[str] = TEXT_KEY
     tokens = split.select(*keys, *flags, F.explode_outer(in_context).alias("_t")).select(*keys, *flags, "_t.*")
     hit = tokens.join(lexicon.select("term", "valence"), "term", "left")
     value = _valence(F.col("valence"), [F.col("b1"), F.col("b2"), F.col("b3")], negations, boosters)
-    micro = F.coalesce(F.bround(value * MICRO).cast("long"), F.lit(0))
+    micro = F.coalesce(F.rint(value * MICRO).cast("long"), F.lit(0))
     s = F.col("_sum") / F.lit(float(MICRO))
     return (hit.groupBy(*keys, *flags).agg(F.sum(micro).alias("_sum"))
-            .select(*keys, *flags, F.bround(s / F.sqrt(s * s + NORMALISER), 4).alias("compound")))
+            .select(*keys, *flags, (s / F.sqrt(s * s + NORMALISER)).alias("_score"))
+            .select(*keys, *flags, round_half_even(F.col("_score"), 4).alias("compound")))
 
 
 def review_flags(aspects=fixed.ASPECTS, complaints=fixed.COMPLAINT_WORDS) -> dict[str, Column]:
@@ -87,7 +89,7 @@ def review_flags(aspects=fixed.ASPECTS, complaints=fixed.COMPLAINT_WORDS) -> dic
 
 def _mean_compound(where: Column | None = None) -> Column:
     """Mean of 4-place scores over whole ten-thousandths, so the order of addition cannot matter."""
-    units = F.bround(F.col("compound") * 10000).cast("long")
+    units = F.rint(F.col("compound") * 10000).cast("long")
     units = units if where is None else F.when(where, units)
     return F.try_divide(F.sum(units).cast("double") / 10000.0, F.count(units))
 

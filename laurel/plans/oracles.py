@@ -60,12 +60,10 @@ bay AS (SELECT *, (80e0 + gn * gr) / (20e0 + gn) AS gb, (80e0 + yn * yr) / (20e0
          starts_with(lower(url), 'https://') AS is_https
   FROM pages),
 seo AS (
-  -- ten-thousandths, so that half-even rounding to two places is exact
-  SELECT page_id, word_count, (q + (r > 50 OR (r = 50 AND q % 2 = 1))::INT) / 100e0 AS seo FROM (
-    SELECT page_id, word_count, least(1000000, u) // 100 AS q, least(1000000, u) % 100 AS r FROM (
-      SELECT page_id, word_count, 10000 * (25 * is_https::INT + 15 * has_viewport::INT + 15 * has_schema_org::INT
-        + 10 * has_open_graph::INT + 10 * has_canonical::INT + 10 * (h1_count >= 1)::INT) + least(150000, word_count * 125) AS u
-      FROM aud)))""",
+  SELECT page_id, word_count, PYROUND AS seo FROM (
+    SELECT page_id, word_count, least(100e0, (25 * is_https::INT + 15 * has_viewport::INT + 15 * has_schema_org::INT
+      + 10 * has_open_graph::INT + 10 * has_canonical::INT + 10 * (h1_count >= 1)::INT)::DOUBLE + least(15e0, word_count / 80e0)) AS x
+    FROM aud))""",
     "rev": """rev AS (
   SELECT 'p:P' || lpad(o_custkey::VARCHAR, 9, '0') AS business_id, CASE WHEN doc_id % 2 = 0 THEN 'google_places' ELSE 'yelp' END AS source,
          doc_id AS pos, text, CASE WHEN doc_id % 2 = 0 THEN o_orderdate::DATE END AS published
@@ -84,6 +82,17 @@ seo AS (
 }
 
 
+def pyround(col: str, places: int) -> str:
+    """Half-even by the exact binary value: the product's rounding error breaks apparent ties."""
+    m, split = f"1e{places}", "134217729e0"
+    p = f"({col} * {m})"
+    high = f"({split} * {col} - ({split} * {col} - {col}))"
+    err = f"({high} * {m} - {p} + ({col} - {high}) * {m})"
+    r = f"round_even({p}, 0)"
+    return (f"(({r} + CASE WHEN {p} - {r} = 0.5e0 AND {err} > 0 THEN 1e0 WHEN {p} - {r} = -0.5e0 AND {err} < 0 THEN -1e0 "
+            f"ELSE 0e0 END) / {m})")
+
+
 def norm(expr, stop=fixed.SIGNAL_STOP_WORDS):
     return ("trim(regexp_replace(regexp_replace(lower(" + expr + "), '\\b(" + "|".join(stop)
             + ")\\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))")
@@ -102,15 +111,17 @@ hits AS (SELECT {keys}, valence AS v, CASE WHEN valence < 0 THEN -1e0 ELSE 1e0 E
     CASE WHEN i > 2 THEN b2 END AS b2, CASE WHEN i > 3 THEN b3 END AS b3 FROM words JOIN lex USING (term)),
 sums AS (SELECT {keys}, sum(round_even((v + {add}) * CASE WHEN coalesce(b1 IN ({neg}), false) OR coalesce(b2 IN ({neg}), false)
     OR coalesce(b3 IN ({neg}), false) THEN -0.74e0 ELSE 1e0 END * 1000000, 0)::BIGINT)::BIGINT AS s FROM hits GROUP BY {keys}),
-scores AS (SELECT {', '.join('t.' + k.strip() for k in keys.split(','))},
-    round_even((coalesce(s, 0) / 1e6) / sqrt((coalesce(s, 0) / 1e6) * (coalesce(s, 0) / 1e6) + 15e0), 4) AS compound
-  FROM toks t LEFT JOIN sums USING ({keys}))"""
+raw_scores AS (SELECT {', '.join('t.' + k.strip() for k in keys.split(','))},
+    (coalesce(s, 0) / 1e6) / sqrt((coalesce(s, 0) / 1e6) * (coalesce(s, 0) / 1e6) + 15e0) AS x
+  FROM toks t LEFT JOIN sums USING ({keys})),
+scores AS (SELECT {keys}, {pyround('x', 4)} AS compound FROM raw_scores)"""
 
 
 def any_of(words):
     return "(" + " OR ".join(f"contains(lower(text), '{w}')" for w in words) + ")"
 
 
+CTES["aud"] = CTES["aud"].replace("PYROUND", pyround("x", 2))
 CTES["scores"] = scores_sql("rev", "business_id, source, pos")
 CTES["flagged"] = ("flagged AS (SELECT s.business_id, compound, round(compound * 10000)::BIGINT AS units, "
                    + ", ".join(f"{any_of(w)} AS is_{a}" for a, w in {**D.ASPECT_WORDS, "complaint": D.COMPLAINTS}.items())
@@ -199,12 +210,14 @@ NUM = " + ".join(f"coalesce({p} * {w}e0, 0e0)" for p, w in W.items())
 DEN = " + ".join(f"CASE WHEN {p} IS NOT NULL THEN {w}e0 ELSE 0e0 END" for p, w in W.items())
 RANK_CTES = f"""pil AS (SELECT topic_slug, business_id, pop_review_volume AS volume, {', '.join(f'{e} AS {p}' for p, e in PILLAR_SQL.items())} FROM met),
 plong AS ({' UNION ALL '.join(f"SELECT topic_slug, business_id, '{p}' AS pillar, {p} AS raw FROM pil WHERE {p} IS NOT NULL" for p in W)}),
-nrm AS (SELECT a.topic_slug, a.business_id, a.pillar, a.raw, round_even((
+nrm0 AS (SELECT a.topic_slug, a.business_id, a.pillar, a.raw, (
     (SELECT count(*) FROM plong b WHERE b.topic_slug = a.topic_slug AND b.pillar = a.pillar AND b.raw < a.raw)
     + 0.5e0 * (SELECT count(*) FROM plong b WHERE b.topic_slug = a.topic_slug AND b.pillar = a.pillar AND b.raw = a.raw))
-    / (SELECT count(*) FROM plong b WHERE b.topic_slug = a.topic_slug AND b.pillar = a.pillar) * 100, 2) AS pct FROM plong a),
+    / (SELECT count(*) FROM plong b WHERE b.topic_slug = a.topic_slug AND b.pillar = a.pillar) * 100 AS x FROM plong a),
+nrm AS (SELECT topic_slug, business_id, pillar, raw, {pyround('x', 2)} AS pct FROM nrm0),
 wide AS (SELECT topic_slug, business_id, {', '.join(f"max(pct) FILTER (pillar = '{p}') AS {p}" for p in W)} FROM nrm GROUP BY ALL),
-fin AS (SELECT w.*, volume, round_even(({NUM}) / ({DEN}), 2) AS final_score FROM wide w JOIN (SELECT topic_slug, business_id, volume FROM pil) USING (topic_slug, business_id)),
+fin0 AS (SELECT w.*, volume, ({NUM}) / ({DEN}) AS x FROM wide w JOIN (SELECT topic_slug, business_id, volume FROM pil) USING (topic_slug, business_id)),
+fin AS (SELECT * EXCLUDE (x), {pyround('x', 2)} AS final_score FROM fin0),
 rnk AS (SELECT *, row_number() OVER (PARTITION BY topic_slug ORDER BY final_score DESC, coalesce(satisfaction, 0) DESC, volume DESC, business_id)::INT AS rank_position FROM fin)"""
 
 NEEDS = {"top": ["tn"], "biz": ["tn", "dom"], "nlp": ["rev", "lex", "scores", "flagged"], "scores": ["rev", "lex"],
@@ -287,21 +300,22 @@ O["midrank_percentile"] = sql(CORE[0], """SELECT topic_slug, business_id, pillar
   WHERE pillar IN ('satisfaction', 'popularity', 'digital')""", CORE[1], RANK_CTES)
 O["midrank_percentile_imputed"] = """WITH v AS (SELECT c_custkey, c_mktsegment, n FROM customer LEFT JOIN (
     SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON c_custkey = o_custkey)
-SELECT c_custkey, c_mktsegment, CASE WHEN n IS NULL THEN 50e0 ELSE round_even((
+SELECT c_custkey, c_mktsegment, coalesce(""" + pyround("x", 2) + """, 50e0) AS pct FROM (
+  SELECT c_custkey, c_mktsegment, CASE WHEN n IS NOT NULL THEN (
     (SELECT count(*) FROM v b WHERE b.c_mktsegment = a.c_mktsegment AND b.n < a.n)
     + 0.5e0 * (SELECT count(*) FROM v b WHERE b.c_mktsegment = a.c_mktsegment AND b.n = a.n))
-    / (SELECT count(b.n) FROM v b WHERE b.c_mktsegment = a.c_mktsegment) * 100, 2) END AS pct FROM v a"""
-O["midrank_percentile_skew"] = """SELECT l_returnflag, l_extendedprice, max(pct) AS pct, count(*) AS n FROM (
-  SELECT l_returnflag, l_extendedprice, round_even((rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1
-    + 0.5e0 * count(*) OVER (PARTITION BY l_returnflag, l_extendedprice)) / count(*) OVER (PARTITION BY l_returnflag) * 100, 2) AS pct
+    / (SELECT count(b.n) FROM v b WHERE b.c_mktsegment = a.c_mktsegment) * 100 END AS x FROM v a)"""
+O["midrank_percentile_skew"] = f"""SELECT l_returnflag, l_extendedprice, max({pyround('x', 2)}) AS pct, count(*) AS n FROM (
+  SELECT l_returnflag, l_extendedprice, (rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1
+    + 0.5e0 * count(*) OVER (PARTITION BY l_returnflag, l_extendedprice)) / count(*) OVER (PARTITION BY l_returnflag) * 100 AS x
   FROM lineitem) GROUP BY 1, 2"""
 O["position_in_skewed_groups"] = """SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC,
   l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity)::INT AS place, l_extendedprice, l_orderkey, l_linenumber FROM lineitem"""
 O["weighted_final"] = sql(CORE[0], "SELECT topic_slug, business_id, final_score FROM fin", CORE[1], RANK_CTES)
 O["final_rank"] = sql(CORE[0], "SELECT topic_slug, business_id, final_score, rank_position FROM rnk", CORE[1], RANK_CTES)
-O["pillar_scores_table"] = sql(CORE[0], """SELECT topic_slug, business_id, pillar, round_even(raw, 2) AS raw_score,
+O["pillar_scores_table"] = sql(CORE[0], """SELECT topic_slug, business_id, pillar, """ + pyround("raw", 2) + """ AS raw_score,
   pct AS normalized_score FROM nrm""", CORE[1], RANK_CTES)
-O["pillar_breakdown_long"] = sql(CORE[0], "SELECT topic_slug, business_id, pillar, round_even(pct, 1) AS score FROM nrm", CORE[1], RANK_CTES)
+O["pillar_breakdown_long"] = sql(CORE[0], f"SELECT topic_slug, business_id, pillar, {pyround('pct', 1)} AS score FROM nrm", CORE[1], RANK_CTES)
 O["flagship_rank"] = sql(FULL[0], f"SELECT topic_slug, rank_position, business_id, final_score, {', '.join(W)} FROM rnk", FULL[1], RANK_CTES)
 
 O["page_audit"] = sql("aud", """SELECT page_id, fetched, h1_count, word_count, has_schema_org, to_json(schema_types)::VARCHAR AS schema_types,
@@ -512,8 +526,8 @@ O["export_csv_rows"] = sql(CORE[0], """SELECT topic_slug, rank_position, final_s
 O["export_json_docs"] = sql(CORE[0], """SELECT topic_slug, 0 AS part, count(*)::INT AS n, arg_min(substr(trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80)
   || '-' || right(place_id, 6), rank_position) AS first_slug, max(rank_position) AS last_rank FROM pub GROUP BY topic_slug
   UNION ALL SELECT 'empty-topic', 0, 0, NULL, NULL""", CORE[1], RANK_CTES, PUB)
-O["strengths_context"] = sql(CORE[0] + " rev", """SELECT topic_slug, p.business_id, name, rank_position, round_even(final_score, 1) AS ranking_score,
-  rating_count::BIGINT AS google_review_count, round_even(round_even(satisfaction, 1), 0)::INT AS satisfaction,
+O["strengths_context"] = sql(CORE[0] + " rev", """SELECT topic_slug, p.business_id, name, rank_position, """ + pyround("final_score", 1) + """ AS ranking_score,
+  rating_count::BIGINT AS google_review_count, round_even(""" + pyround("satisfaction", 1) + """, 0)::INT AS satisfaction,
   least(6, coalesce(s.n, 0))::INT AS n_snippets, coalesce(s.n, 0) > 0 AS has_snippets_key FROM pub p LEFT JOIN (
     SELECT business_id, count(*) AS n FROM rev WHERE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) > 20 GROUP BY 1) s ON s.business_id = p.business_id""",
     CORE[1], RANK_CTES, PUB)
