@@ -1,7 +1,6 @@
 """Extension: landed payload files as a stream, merged latest-by-key into the raw table."""
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,8 +22,12 @@ def merge_batch(table_path: str):
         spark = batch.sparkSession
         batch = staged(batch, "raw-batch")
         touched = [r[0] for r in batch.select("run_id").distinct().collect()]  # a handful of months
-        current = (spark.read.schema(schemas.RAW).parquet(table_path).where(F.col("run_id").isin(touched))
-                   if _exists(spark, table_path) else batch.limit(0))
+        try:
+            current = spark.read.schema(schemas.RAW).parquet(table_path).where(F.col("run_id").isin(touched))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            current = batch.limit(0)
         merged = staged(save_raw(current, batch), "raw-merged")
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id").parquet(table_path))
@@ -32,11 +35,6 @@ def merge_batch(table_path: str):
     return run
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def ingest_raw(spark: SparkSession, landing: str, table_path: str, checkpoint: str) -> StreamingQuery:
     """Process everything landed so far and stop; run again for what lands later."""
     stream = spark.readStream.schema(schemas.RAW).json(landing)
