@@ -131,9 +131,11 @@ def collect(w: Warehouse, landed: dict[str, DataFrame], run_id: str, at: str) ->
     if "recommended" in landed:
         add(signals.list_mentions(named, landed["recommended"]), "ai_search", ["mentioned"], True)
 
+    # everything is read before anything is replaced
+    batch = staged(U.union_all(new), "raw-batch") if new else None
     w.snapshot("businesses", master, run_id)
-    if new:
-        w.replace_run("raw_collections", U.save_raw(raw, U.union_all(new)), run_id)
+    if batch is not None:
+        w.replace_run("raw_collections", U.save_raw(raw, batch), run_id)
 
 
 def transform(w: Warehouse, lexicon: DataFrame, run_id: str, as_of: str, replace: bool = True) -> None:
@@ -163,9 +165,8 @@ def score(w: Warehouse, run_id: str, weights: dict[str, float] = fixed.PILLAR_WE
 
 def strengths(w: Warehouse, replies: DataFrame, run_id: str) -> DataFrame:
     """Writes the bullets of landed replies (topic_slug, business_id, run_id, reply); returns the contexts still without one."""
-    ranked = w.run("rankings", run_id)
-    w.replace_run("rankings", U.set_strengths(ranked, P.strength_bullets(replies)), run_id)
-    named = ranked.join(w.latest("businesses", run_id).select("business_id", "name"), "business_id")
+    w.replace_run("rankings", U.set_strengths(w.run("rankings", run_id), P.strength_bullets(replies)), run_id)
+    named = w.run("rankings", run_id).join(w.latest("businesses", run_id).select("business_id", "name"), "business_id")
     snippets = P.snippet_lists(P.review_snippets(payloads.review_texts(w.run("raw_collections", run_id))))
     contexts = P.strengths_context(named, scoring.pivot_metrics(w.run("metrics", run_id)), snippets)
     return P.unanswered(contexts, replies)

@@ -14,7 +14,7 @@ def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     each document is read as text and stripped of its comment lines.  Many files
     are read in parallel, one document per row.
     """
-    doc = spark.read.option("wholetext", True).text(path)
+    doc = spark.read.text(path, wholetext=True)
     text = F.regexp_replace("value", r"(?m)^\s*#.*$", "")
     parsed = doc.select(F.from_json(text, schemas.CATALOG, {"mode": "FAILFAST"}).alias("c"))
     regions = parsed.select(F.inline("c.regions")).withColumns({
