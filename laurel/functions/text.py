@@ -1,5 +1,7 @@
 """String expressions: names, slugs, domains, titles, reply texts."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,8 +12,11 @@ from laurel import fixed
 SPACE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
 
+SPACES = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def text_array(values) -> Column:
@@ -112,10 +117,9 @@ def topic_terms(title: Column, stop_words=fixed.TOPIC_STOP_WORDS) -> Column:
     return F.array_except(F.array_distinct(tokens), stop)
 
 
-def contains_any(text: Column, keywords) -> Column:
-    """Lower-cased substring test: 'line' also hits 'online'."""
-    quoted = "|".join("\\Q" + k + "\\E" for k in keywords)
-    return F.lower(text).rlike(quoted)
+def contains_any(lowered: Column, keywords) -> Column:
+    """Substring test on lower-cased text: 'line' also hits 'online'."""
+    return reduce(lambda a, b: a | b, [lowered.contains(k) for k in keywords])
 
 
 def name_list(reply: Column, fallback_items: int = 10) -> Column:
@@ -147,7 +151,7 @@ def topic_ideas(reply: Column) -> Column:
 
 
 def snippet(text: Column, chars: int = fixed.SNIPPET_CHARS) -> Column:
-    return F.substring(F.regexp_replace(strip(text), "\n", " "), 1, chars)
+    return F.translate(F.substring(strip(text), 1, chars), "\n", " ")
 
 
 def epoch_seconds(ts: Column) -> Column:

@@ -33,6 +33,7 @@ NEGATION_FACTOR = -0.74
 DISTANCE_DAMPING = [1.0, 0.95, 0.9]
 NORMALISER = 15.0
 MICRO = 1_000_000  # valences add up as whole micro-units: the sum is exact in any order
+LEXICON_AS_SET = 50_000
 TOKEN = r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*"
 
 TEXT_KEY = ["run_id", "business_id", "source", "pos"]
@@ -63,14 +64,24 @@ def text_scores(texts: DataFrame, lexicon: DataFrame, keys: list[str] = TEXT_KEY
 
     Each text is split and scored once, whatever number of aspects is asked for.
     Only keys, flags and one number per text reach the shuffle: a text's words
-    come out of one row, so the map-side aggregate folds them back.
+    come out of one row, so the map-side aggregate folds them back.  A lexicon
+    of checked size also serves as a set that drops other words before they
+    become rows; a larger one only costs more rows.
     """
     flags = flags or {}
-    split = texts.select(*keys, *[c.alias(n) for n, c in flags.items()],
-                         F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), 0).alias("_words"))
-    in_context = F.transform("_words", lambda w, i: F.struct(
-        w.alias("term"), F.get(F.col("_words"), i - 1).alias("b1"), F.get(F.col("_words"), i - 2).alias("b2"),
-        F.get(F.col("_words"), i - 3).alias("b3")))
+    low = texts.select(*keys, F.lower("text").alias("low"))
+    split = low.select(*keys, *[c.alias(n) for n, c in flags.items()],
+                       F.regexp_extract_all("low", F.lit(TOKEN), 0).alias("_words"))
+    words = F.col("_words")
+    known = lexicon.select("term").limit(LEXICON_AS_SET + 1).collect()
+    places = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1))
+    if len(known) <= LEXICON_AS_SET:
+        terms = [r["term"] for r in known]
+        places = F.filter(places, lambda i: F.get(words, i).isin(terms))
+    in_context = F.transform(places, lambda i: F.struct(
+        F.get(words, i).alias("term"), F.get(words, i - 1).alias("b1"), F.get(words, i - 2).alias("b2"),
+        F.get(words, i - 3).alias("b3")))
+    # outer: a text without a lexicon word still gives a row
     tokens = split.select(*keys, *flags, F.explode_outer(in_context).alias("_t")).select(*keys, *flags, "_t.*")
     hit = tokens.join(lexicon.select("term", "valence"), "term", "left")
     value = _valence(F.col("valence"), [F.col("b1"), F.col("b2"), F.col("b3")], negations, boosters)
@@ -82,9 +93,9 @@ def text_scores(texts: DataFrame, lexicon: DataFrame, keys: list[str] = TEXT_KEY
 
 
 def review_flags(aspects=fixed.ASPECTS, complaints=fixed.COMPLAINT_WORDS) -> dict[str, Column]:
-    """One substring flag per aspect and one for complaints, on the whole text."""
-    made = {f"is_{a}": contains_any(F.col("text"), words) for a, words in aspects.items()}
-    return {**made, "is_complaint": contains_any(F.col("text"), complaints)}
+    """One substring flag per aspect and one for complaints, on the whole lower-cased text (column ``low``)."""
+    made = {f"is_{a}": contains_any(F.col("low"), words) for a, words in aspects.items()}
+    return {**made, "is_complaint": contains_any(F.col("low"), complaints)}
 
 
 def _mean_compound(where: Column | None = None) -> Column:
@@ -120,7 +131,8 @@ def review_metrics(scores: DataFrame) -> DataFrame:
 
 def keyword_rates(texts: DataFrame, flags: dict[str, Column]) -> DataFrame:
     """Share of a business's texts that carry each flag; no scoring needed."""
-    flagged = texts.select("run_id", "business_id", *[c.alias(n) for n, c in flags.items()])
+    low = texts.select("run_id", "business_id", F.lower("text").alias("low"))
+    flagged = low.select("run_id", "business_id", *[c.alias(n) for n, c in flags.items()])
     return flagged.groupBy("run_id", "business_id").agg(
         F.count(F.lit(1)).alias("n_texts"),
         *[(F.count(F.when(F.col(n), 1)) / F.count(F.lit(1))).alias(n.replace("is_", "rate_")) for n in flags])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from laurel import fixed
 from laurel.functions.audit import audit, page_text
 from laurel.functions.text import domain_of, slugify
+from laurel.sources.splits import spread
 
 RUN = "2024-01"
 AS_OF = "2002-01-01"
@@ -151,10 +152,15 @@ def platform_ratings(spark, d) -> DataFrame:
         F.when(F.col("y_n") > 0, F.col("y_n")).alias("yelp_review_count"))
 
 
+@view
+def documents(spark, d) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 @view
 def reviews(spark, d) -> DataFrame:
     """documents as review texts of the customer whose order has the document's number."""
-    doc = table(spark, d, "documents").select("doc_id", "text")
+    doc = documents(spark, d)
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return doc.join(o, F.col("doc_id") == F.col("o_orderkey")).select(
         F.lit(RUN).alias("run_id"), business_id(F.col("o_custkey")).alias("business_id"),
@@ -165,7 +171,7 @@ def reviews(spark, d) -> DataFrame:
 
 @view
 def page_audits(spark, d) -> DataFrame:
-    p = table(spark, d, "pages")
+    p = spread(table(spark, d, "pages"), "page_id")
     cols = audit(F.col("url"), F.col("html"), page_text(F.col("html")))
     return p.select("page_id", "url", F.lit(True).alias("fetched"), *[c.alias(k) for k, c in cols.items()])
 
@@ -197,41 +203,36 @@ def recommended(spark, d) -> DataFrame:
 
 @view
 def raw_payloads(spark, d) -> DataFrame:
-    """Business-level raw rows, as landed JSON text."""
-    b = businesses(spark, d)
-    r = platform_ratings(spark, d)
+    """Business-level raw rows, as landed JSON text; each source table is read once."""
+    def rows(df, **payloads):
+        """One row per named source whose payload is not null."""
+        made = F.array(*[F.struct(F.lit(s).alias("source"), p.alias("payload")) for s, p in payloads.items()])
+        return (df.select("business_id", F.inline(made)).where(F.col("payload").isNotNull())
+                .select("business_id", F.lit(None).cast("string").alias("topic_slug"), "source", F.lit(RUN).alias("run_id"),
+                        F.lit("2024-01-15").cast("timestamp").alias("collected_at"), "payload"))
+
+    def document(*fields):
+        return F.to_json(F.struct(*fields))
+
+    ratings = platform_ratings(spark, d).withColumn("business_id", business_id(F.col("o_custkey")))
+    google = document(F.col("google_rating").alias("rating"), F.col("google_review_count").alias("userRatingCount"))
+    yelp = document(F.col("yelp_rating").alias("rating"), F.col("yelp_review_count").alias("review_count"))
+    platforms = rows(ratings, google_places=F.when(F.col("google_review_count") > 0, google),
+                     yelp=F.when(F.col("yelp_review_count") > 0, yelp))
+
+    k = F.col("page_id")
+    audits = page_audits(spark, d).withColumn("business_id", business_id(k))
+    semrush = document(domain_of(F.col("url")).alias("domain"), (k % 4 != 3).alias("available"),
+                       (k % 1000).cast("double").alias("organic_keywords"),
+                       F.col("word_count").cast("double").alias("organic_traffic"),
+                       (k % 101).cast("double").alias("authority_score"))
+    audit_fields = [c for c in audits.columns if c not in ("page_id", "business_id")]
+    pages = rows(audits, site=document(F.col("url").alias("website")), firecrawl=document(*audit_fields), semrush=semrush)
+
     views = (table(spark, d, "events").where(F.col("event_type") == "view")
              .groupBy("user_id").agg(F.count(F.lit(1)).alias("count")))
-    audits = page_audits(spark, d)
-
-    def rows(df, source, *fields):
-        return df.select("business_id", F.lit(None).cast("string").alias("topic_slug"), F.lit(source).alias("source"),
-                         F.lit(RUN).alias("run_id"), F.lit("2024-01-15 00:00:00").cast("timestamp").alias("collected_at"),
-                         F.to_json(F.struct(*fields)).alias("payload"))
-
-    key = business_id(F.col("o_custkey")).alias("business_id")
-    google = r.where("google_review_count > 0").select(
-        key, F.col("google_rating").alias("rating"), F.col("google_review_count").alias("userRatingCount"))
-    yelp = r.where("yelp_review_count > 0").select(
-        key, F.col("yelp_rating").alias("rating"), F.col("yelp_review_count").alias("review_count"))
-    site = b.where("website is not null").select("business_id", "website")
-    audit_rows = audits.withColumn("business_id", business_id(F.col("page_id")))
-    k = F.col("page_id")
-    semrush = audit_rows.select("business_id", domain_of(F.col("url")).alias("domain"), (k % 4 != 3).alias("available"),
-                                (k % 1000).cast("double").alias("organic_keywords"),
-                                F.col("word_count").cast("double").alias("organic_traffic"),
-                                (k % 101).cast("double").alias("authority_score"))
-    reddit = views.select(business_id(F.col("user_id")).alias("business_id"), "count")
-    out = rows(google, "google_places", "rating", "userRatingCount")
-    for df, source, fields in [
-        (yelp, "yelp", ["rating", "review_count"]), (site, "site", ["website"]),
-        (audit_rows, "firecrawl", ["fetched", "url", "h1_count", "word_count", "has_schema_org", "schema_types",
-                                   "has_open_graph", "has_viewport", "has_canonical", "is_https"]),
-        (semrush, "semrush", ["domain", "available", "organic_keywords", "organic_traffic", "authority_score"]),
-        (reddit, "reddit", ["count"]),
-    ]:
-        out = out.unionByName(rows(df, source, *fields))
-    return out
+    reddit = rows(views.withColumn("business_id", business_id(F.col("user_id"))), reddit=document("count"))
+    return platforms.unionByName(pages).unionByName(reddit)
 
 
 @view

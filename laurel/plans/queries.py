@@ -234,8 +234,7 @@ def keyword_rates(spark, d):
 
 @query
 def lexicon_sentiment(spark, d):
-    doc = D.table(spark, d, "documents").select("doc_id", "text")
-    return sentiment.text_scores(doc, lexicon(spark), ["doc_id"], D.NEGATIONS, D.BOOSTERS)
+    return sentiment.text_scores(D.documents(spark, d), lexicon(spark), ["doc_id"], D.NEGATIONS, D.BOOSTERS)
 
 
 @query
@@ -301,7 +300,7 @@ def position_in_skewed_groups(spark, d):
                                               "l_returnflag", "l_extendedprice")
     order = [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
              F.col("l_suppkey"), F.col("l_quantity")]
-    out = ranks.position_in_groups(li, ["l_returnflag"], order, "place", max_group_rows=1000)
+    out = ranks.position_in_groups(li, ["l_returnflag"], order, "place", max_group_rows=max(1000, li.count() // 20))
     return out.select("l_returnflag", "place", "l_extendedprice", "l_orderkey", "l_linenumber")
 
 
@@ -366,7 +365,7 @@ def norm_name(spark, d):
 
 @query
 def slugify(spark, d):
-    return D.table(spark, d, "documents").select("doc_id", X.slugify(F.col("text")).alias("slug"))
+    return D.documents(spark, d).select("doc_id", X.slugify(F.col("text")).alias("slug"))
 
 
 @query

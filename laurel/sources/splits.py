@@ -1,0 +1,16 @@
+"""Spreading unsplittable input before CPU-heavy work."""
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """A file scan with fewer splits than cores (a gzip file, one big row group) is shuffled over all cores.
+
+    With at least one split per core, as on any large input, the scan is left
+    alone and nothing is shuffled.  Give columns that identify a row: hashing
+    them is repeatable when a task is retried.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
