@@ -36,14 +36,18 @@ def serp_score(rank: Column) -> Column:
     return F.when(F.coalesce(rank, F.lit(0)) != 0, F.greatest(F.lit(0.0), F.lit(100.0) - (rank - 1) * 5.0))
 
 
-def seo_score(fetched: Column, is_https: Column, has_viewport: Column, has_schema_org: Column,
-              has_open_graph: Column, has_canonical: Column, h1_count: Column, word_count: Column) -> Column:
-    """0..100 website quality; 0 without a fetched audit."""
+def seo_points(fetched: Column, is_https: Column, has_viewport: Column, has_schema_org: Column,
+               has_open_graph: Column, has_canonical: Column, h1_count: Column, word_count: Column) -> Column:
+    """Unrounded 0..100 website quality; 0 without a fetched audit."""
     def points(flag: Column, worth: float) -> Column:
         return F.when(F.coalesce(flag, F.lit(False)), F.lit(worth)).otherwise(F.lit(0.0))
 
     total = (points(is_https, 25.0) + points(has_viewport, 15.0) + points(has_schema_org, 15.0)
              + points(has_open_graph, 10.0) + points(has_canonical, 10.0) + points(h1_count >= 1, 10.0)
              + F.least(F.lit(15.0), F.coalesce(word_count, F.lit(0)) / F.lit(80.0)))
-    capped = round_half_even(F.least(F.lit(100.0), total), 2)
-    return F.when(F.coalesce(fetched, F.lit(False)), capped).otherwise(F.lit(0.0))
+    return F.when(F.coalesce(fetched, F.lit(False)), F.least(F.lit(100.0), total)).otherwise(F.lit(0.0))
+
+
+def seo_score(points: Column) -> Column:
+    """Rounded seo_points, given as a plain column."""
+    return round_half_even(points, 2)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from laurel import fixed
 from laurel.functions.geo import haversine_m, home_cell, nearby_cells
 from laurel.functions.text import has_text, norm_name, platform_names_match
+from laurel.session import staged
 
 PLACE_FILL = ["yelp_id", "address", "lat", "lng", "phone", "website", "domain", "canonical_category"]
 LOOSE_KEEP = ["yelp_id", "website", "domain"]
@@ -26,22 +27,23 @@ def resolve(master: DataFrame, candidates: DataFrame) -> DataFrame:
     Place-id candidates of the batch are resolved first, then review-site ids,
     then (domain, name), so later steps see what earlier ones added.  Each step
     joins only the rows that have its key and are still unresolved; rows with
-    null keys never reach a shuffle.
+    null keys never reach a shuffle.  Candidates and step results are read by
+    several later steps and are staged.
     """
-    c = candidates.withColumn("_lname", F.lower("name"))
+    c = staged(candidates.withColumn("_lname", F.lower("name")), "candidates")
     has_place, has_yelp, has_domain = (has_text(F.col(k)) for k in ("place_id", "yelp_id", "domain"))
 
     # a row keyed otherwise may have got this place id in an earlier run
     known = _lowest_by(master, [F.col("place_id")], ["place_id"])
-    placed = (c.where(has_place).join(known, "place_id", "left")
+    placed = staged(c.where(has_place).join(known, "place_id", "left")
               .withColumn("business_id", F.coalesce("_match", F.concat(F.lit("p:"), F.col("place_id"))))
-              .withColumn("matched_by", F.lit("place_id")).drop("_match"))
+              .withColumn("matched_by", F.lit("place_id")).drop("_match"), "placed")
     ids = ["business_id", "yelp_id", "domain", "name"]
     seen = master.select(*ids).unionByName(placed.select(*ids))
 
     rest = c.where(~has_place)
     with_yelp = rest.where(has_yelp)
-    by_yelp = with_yelp.join(_lowest_by(seen, [F.col("yelp_id")], ["yelp_id"]), "yelp_id", "left")
+    by_yelp = staged(with_yelp.join(_lowest_by(seen, [F.col("yelp_id")], ["yelp_id"]), "yelp_id", "left"), "by-review-site-id")
     name_keys = ["domain", "_lname"]
     by_name = _lowest_by(seen, [F.col("domain"), F.lower("name")], name_keys)
     yelp_hit = _matched(by_yelp.where(F.col("_match").isNotNull()), "yelp_id")
@@ -55,7 +57,7 @@ def resolve(master: DataFrame, candidates: DataFrame) -> DataFrame:
     yelp_new = (yelp_rest.where(F.col("_match").isNull()).drop("_match")
                 .withColumn("business_id", F.concat(F.lit("y:"), F.col("yelp_id")))
                 .withColumn("matched_by", F.lit("new")))
-    with_yelp_done = yelp_hit.unionByName(yelp_named).unionByName(yelp_new)
+    with_yelp_done = staged(yelp_hit.unionByName(yelp_named).unionByName(yelp_new), "with-review-site-id")
 
     seen_all = seen.unionByName(with_yelp_done.select(*ids))
     by_name_all = _lowest_by(seen_all, [F.col("domain"), F.lower("name")], name_keys)

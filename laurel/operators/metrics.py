@@ -26,7 +26,7 @@ def business_features(raw: DataFrame) -> DataFrame:
                                                             *[typed(s).alias(s) for s in sources])
     g, y, a, m = (F.col(s) for s in ("google_places", "yelp", "firecrawl", "semrush"))
     available = F.coalesce(m["available"], F.lit(False))
-    seo = R.seo_score(a["fetched"], a["is_https"], a["has_viewport"], a["has_schema_org"], a["has_open_graph"],
+    seo = R.seo_points(a["fetched"], a["is_https"], a["has_viewport"], a["has_schema_org"], a["has_open_graph"],
                       a["has_canonical"], a["h1_count"], a["word_count"])
     narrow = parsed.select(
         "run_id", "business_id",
@@ -40,7 +40,8 @@ def business_features(raw: DataFrame) -> DataFrame:
         F.when(available, m["organic_keywords"]).alias("semrush_keywords"),
         F.when(F.col("source") == "firecrawl", seo).alias("seo"),
     )
-    return narrow.groupBy("run_id", "business_id").agg(*[F.max(c).alias(c) for c in FEATURES])
+    features = narrow.groupBy("run_id", "business_id").agg(*[F.max(c).alias(c) for c in FEATURES])
+    return features.withColumn("seo", R.seo_score(F.col("seo")))
 
 
 def topic_features(raw: DataFrame) -> DataFrame:

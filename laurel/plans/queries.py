@@ -343,9 +343,9 @@ def page_audit(spark, d):
 @query
 def seo_score(spark, d):
     a = D.page_audits(spark, d)
-    s = R.seo_score(*[F.col(c) for c in ("fetched", "is_https", "has_viewport", "has_schema_org", "has_open_graph",
+    points = R.seo_points(*[F.col(c) for c in ("fetched", "is_https", "has_viewport", "has_schema_org", "has_open_graph",
                                          "has_canonical", "h1_count", "word_count")])
-    return a.select("page_id", s.alias("seo_score"))
+    return a.select("page_id", points.alias("points")).select("page_id", R.seo_score(F.col("points")).alias("seo_score"))
 
 
 @query
@@ -457,13 +457,13 @@ def topic_counts(spark, d):
 
 @query
 def entity_resolution(spark, d):
-    r = E.resolve(old_master(spark, d), new_candidates(spark, d))
+    r = E.resolve(staged(old_master(spark, d), "master"), new_candidates(spark, d))
     return r.select("topic_slug", "pos", "business_id", "matched_by")
 
 
 @query
 def business_upsert(spark, d):
-    old, new = old_master(spark, d), new_candidates(spark, d)
+    old, new = staged(old_master(spark, d), "master"), new_candidates(spark, d)
     up = E.upsert_businesses(old, E.resolve(old, new), D.RUN)
     return short(up.drop("created_at"), "lat", "lng")
 

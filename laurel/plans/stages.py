@@ -46,7 +46,7 @@ def discover(w: Warehouse, landed: dict[str, DataFrame], run_id: str, depth: int
     near = C.radius_filter(C.resolve_place_ids(C.type_filter(found, profiles), landed["place_hits"]))
     kept = C.top_per_topic(C.dedup_merge(near), depth).withColumn("pos", F.col("relevance"))
     master = w.latest("businesses", run_id)
-    resolved = staged(E.resolve(master, staged(kept, "candidates")), "resolved")
+    resolved = staged(E.resolve(master, kept), "resolved")
 
     gone = todo.select(F.col("slug").alias("topic_slug"))
     tables = {n: w.run(n, run_id) for n in ("rankings", "pillar_scores", "metrics", "business_topics")}

@@ -24,6 +24,8 @@ def build_session(app: str = "laurel", master: str | None = None, shuffle_partit
          .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if master:
         b = b.master(master)
+    if master and master.startswith("local"):
+        b = b.config("spark.ui.enabled", "false")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()

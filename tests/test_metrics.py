@@ -34,7 +34,8 @@ def test_seo_score(spark):
     flags = ["fetched", "is_https", "has_viewport", "has_schema_org", "has_open_graph", "has_canonical"]
     rows = [(True,) * 6 + (1, 2000), (False,) + (True,) * 5 + (1, 2000), (None,) * 8, (True, True) + (None,) * 6, (True,) + (False,) * 5 + (0, 33)]
     df = spark.createDataFrame(rows, ", ".join(f"{f} boolean" for f in flags) + ", h1 int, words int")
-    got = [x[0] for x in df.select(R.seo_score(*[F.col(f) for f in flags], F.col("h1"), F.col("words"))).collect()]
+    points = df.select(R.seo_points(*[F.col(f) for f in flags], F.col("h1"), F.col("words")).alias("p"))
+    got = [x[0] for x in points.select(R.seo_score(F.col("p"))).collect()]
     assert got == [100.0, 0.0, 0.0, 25.0, round(33 / 80, 2)]
 
 
