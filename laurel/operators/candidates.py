@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from laurel import fixed
 from laurel.functions.geo import haversine_m
 from laurel.functions.text import domain_of, has_number, has_text, search_query, search_term, text_array, topic_terms, words
+from laurel.session import staged
 
 
 def target_types(title: Column, category: Column, rules=fixed.KEYWORD_TYPES) -> Column:
@@ -100,8 +101,9 @@ def resolve_place_ids(candidates: DataFrame, hits: DataFrame) -> DataFrame:
     """Give candidates without a place id the first landed hit for 'name, address'.
 
     hits: query, pos, place_id, lat, lng, website.  Only rows that lack a place
-    id meet the join.
+    id meet the join; the candidates are staged, as both halves read them.
     """
+    candidates = staged(candidates, "to-resolve")
     first = (hits.groupBy("query").agg(F.min_by(F.struct("place_id", "lat", "lng", "website"), F.struct("pos", "place_id")).alias("hit")))
     named = F.when(has_text(F.col("address")), F.concat_ws(", ", "name", "address")).otherwise(F.col("name"))
     lacking = candidates.where(~has_text(F.col("place_id"))).withColumn("query", named)

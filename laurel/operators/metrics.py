@@ -46,7 +46,8 @@ def business_features(raw: DataFrame) -> DataFrame:
 
 def topic_features(raw: DataFrame) -> DataFrame:
     """One row per (business, topic, run) from the topic-level payload rows."""
-    parsed = raw.where(F.col("topic_slug").isNotNull()).select(
+    wanted = F.col("source").isin("web_search", "ai_search")
+    parsed = raw.where(F.col("topic_slug").isNotNull() & wanted).select(
         *IDS, "source", typed("web_search").alias("web"), typed("ai_search").alias("ai"))
     narrow = parsed.select(
         *IDS,

@@ -99,7 +99,6 @@ def gathered(spark, d) -> DataFrame:
                     profiles(spark, d))
 
 
-@view
 def discovered(spark, d) -> DataFrame:
     typed = C.type_filter(gathered(spark, d), profiles(spark, d))
     return C.dedup_merge(C.radius_filter(C.resolve_place_ids(typed, D.place_hits(spark, d))))

@@ -9,6 +9,8 @@ from laurel.session import staged
 
 RUN_TABLES = {"business_topics": schemas.BUSINESS_TOPICS, "raw_collections": schemas.RAW, "metrics": schemas.METRICS,
               "pillar_scores": schemas.PILLAR_SCORES, "rankings": schemas.RANKINGS}
+# inside a run, raw rows lie by source, so a reader of one source reads nothing else
+INNER_PARTITIONS = {"raw_collections": ["source"]}
 SNAPSHOT_TABLES = {"regions": schemas.REGIONS, "topics": schemas.TOPICS, "businesses": schemas.BUSINESSES}
 
 
@@ -26,7 +28,9 @@ class Warehouse:
 
     def run(self, name: str, run_id: str) -> DataFrame:
         """One run's rows; other runs are pruned by partition."""
-        return self._read(name, RUN_TABLES[name]).where(F.col("run_id") == run_id)
+        rows = self._read(name, RUN_TABLES[name]).where(F.col("run_id") == run_id)
+        # partition columns come last when read; keep the declared order
+        return rows.select(*[f.split()[0] for f in RUN_TABLES[name].split(", ")])
 
     def latest(self, name: str, run_id: str) -> DataFrame:
         """The newest snapshot up to this run."""
@@ -39,7 +43,11 @@ class Warehouse:
         shaped = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                                for f in cols.schema])
         # staged first: the rows may have been read from the partition they replace
-        staged(shaped, name).drop("run_id").write.mode("overwrite").parquet(f"{self.root}/{name}/{partition}")
+        rows = staged(shaped, name).drop("run_id")
+        inner = INNER_PARTITIONS.get(name, [])
+        # static: a partition that is empty now has to become empty on disk too
+        (rows.repartition(*inner, "business_id") if inner else rows).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy(*inner).parquet(f"{self.root}/{name}/{partition}")
 
     def replace_run(self, name: str, rows: DataFrame, run_id: str) -> None:
         self._replace(name, rows, RUN_TABLES[name], f"run_id={run_id}")

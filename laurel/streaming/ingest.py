@@ -1,5 +1,7 @@
 """Extension: landed payload files as a stream, merged latest-by-key into the raw table."""
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from laurel.session import staged
 
 
 def merge_batch(table_path: str):
-    """foreachBatch function: rewrite only the run partitions the batch touches.
+    """foreachBatch function: rewrite only the (run, source) partitions the batch touches.
 
     The merge result is staged before it overwrites the partitions it was read
     from, so replaying a batch after a failure gives the same table.
@@ -21,16 +23,18 @@ def merge_batch(table_path: str):
             return
         spark = batch.sparkSession
         batch = staged(batch, "raw-batch")
-        touched = [r[0] for r in batch.select("run_id").distinct().collect()]  # a handful of months
+        pairs = batch.select("run_id", "source").distinct().collect()  # a few months x eight sources
+        touched = reduce(lambda a, b: a | b, [(F.col("run_id") == r["run_id"]) & (F.col("source") == r["source"])
+                                              for r in pairs])
         try:
-            current = spark.read.schema(schemas.RAW).parquet(table_path).where(F.col("run_id").isin(touched))
+            current = spark.read.schema(schemas.RAW).parquet(table_path).where(touched).select(*batch.columns)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             current = batch.limit(0)
         merged = staged(save_raw(current, batch), "raw-merged")
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run_id").parquet(table_path))
+         .partitionBy("run_id", "source").parquet(table_path))
 
     return run
 
