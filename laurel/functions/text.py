@@ -157,5 +157,7 @@ def snippet(text: Column, chars: int = fixed.SNIPPET_CHARS) -> Column:
 def epoch_seconds(ts: Column) -> Column:
     """Text to epoch: a leading YYYY-MM-DD counts as that date at midnight; else a plain number; else null."""
     date_part = F.regexp_extract(ts, r"^\d{4}-\d{2}-\d{2}", 0)
-    as_date = F.unix_timestamp(F.try_to_timestamp(blank_to_null(date_part), F.lit("yyyy-MM-dd"))).cast("double")
+    # counted in days, so the session time zone and its clock changes do not matter
+    day = F.try_to_timestamp(blank_to_null(date_part), F.lit("yyyy-MM-dd")).cast("date")
+    as_date = F.unix_date(day) * F.lit(86400.0)
     return F.when(has_text(date_part), as_date).otherwise(ts.try_cast("double"))

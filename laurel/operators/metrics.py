@@ -82,7 +82,7 @@ def review_recency(reviews: DataFrame, as_of: str) -> DataFrame:
     """
     dated = (reviews.select("run_id", "business_id", epoch_seconds(F.col("publish_time")).alias("epoch"))
              .where("epoch <> 0"))
-    now = F.unix_timestamp(F.lit(as_of).cast("timestamp")).cast("double")
+    now = F.expr(f"timestampdiff(SECOND, timestamp_ntz'1970-01-01', timestamp_ntz'{as_of}')").cast("double")
     median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY epoch)")
     return (dated.groupBy("run_id", "business_id").agg(median.alias("epoch"))
             .select("run_id", "business_id", ((now - F.col("epoch")) / 86400.0).alias("nlp_review_recency_days")))

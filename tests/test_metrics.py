@@ -93,6 +93,15 @@ def test_recency_is_the_upper_median(spark):
     assert got == {"a": 30.0, "b": 10.0}
 
 
+def test_recency_does_not_depend_on_the_time_zone(spark):
+    r = reviews(spark, [("a", "g", "x", "2026-03-01"), ("a", "g", "x", "2026-03-02")])
+    spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+    try:
+        assert M.review_recency(r, "2026-03-31 12:00:00").first()["nlp_review_recency_days"] == 30.5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_review_rows_keep_order_and_shapes(spark):
     raw = raw_rows(spark, [
         ("1", None, "google_places", {"reviews": [{"text": {"text": "one", "languageCode": "en"}, "publishTime": "2026-01-02T00:00:00Z"},
