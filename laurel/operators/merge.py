@@ -69,9 +69,10 @@ def link_topics(links, batch):
 
 
 def save_raw(raw, batch):
-    """Latest payload per (business, topic or none, source, run)."""
-    rows = raw.unionByName(batch)
-    return latest_by_key(rows, ["business_id", "topic_slug", "source", "run_id"], ["collected_at", "payload"])
+    """Latest payload per (business, topic or none, source, run); at equal times the batch wins."""
+    rows = raw.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+    keys = ["business_id", "topic_slug", "source", "run_id"]
+    return latest_by_key(rows, keys, ["collected_at", "_new", "payload"]).drop("_new")
 
 
 def save_metrics(metrics, batch):

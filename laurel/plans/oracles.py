@@ -510,9 +510,9 @@ O["domain_report_parse"] = """SELECT lower(s_name) AS domain, s_suppkey % 5 <> 0
 O["reply_parse"] = sql("biz", """SELECT business_id, i::INT AS pos, l[i + 1] AS name FROM (
   SELECT business_id, CASE WHEN k % 5 IN (0, 1, 2) THEN [name, address] WHEN k % 5 = 3 THEN ['[broken ' || name || ']', 'last'] ELSE [] END AS l FROM biz),
   LATERAL (SELECT unnest(range(len(l))) AS i)""")
-O["strength_bullets"] = """WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '[\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]', '', 'g'), chr(10)),
+O["strength_bullets"] = """WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(replace(text, '[', '('), '[\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]', '', 'g'), chr(10)),
     lambda x: regexp_replace(regexp_replace(x, '^\\s*[-*\\d.)]+\\s*', ''), '^\\s+|\\s+$', '', 'g')), lambda x: x <> '')[:5] AS b
-  FROM documents WHERE NOT contains(text, '['))
+  FROM documents)
 SELECT doc_id::VARCHAR AS business_id, len(b)::INT AS n, md5(array_to_string(b, chr(10))) AS md5 FROM l WHERE len(b) > 0"""
 O["suggested_topics"] = sql("tn reg", """SELECT 'ramen-' || slug AS slug, 'Best Ramen in ' || name AS title, 'food' AS category, slug AS region_slug,
   (SELECT count(*) FROM tn WHERE n_name = reg.name)::DOUBLE AS hot_score, false AS included FROM reg

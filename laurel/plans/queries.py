@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from laurel import fixed
 from laurel.functions import ratings as R
 from laurel.functions import text as X
-from laurel.functions.geo import haversine_m
 from laurel.operators import candidates as C
 from laurel.operators import entities as E
 from laurel.operators import merge as U
@@ -689,10 +688,11 @@ def reply_parse(spark, d):
 
 @query
 def strength_bullets(spark, d):
-    """Five bullets at most out of landed replies (here: the lines of a document)."""
-    doc = D.table(spark, d, "documents").where(~F.col("text").contains("["))
+    """Five bullets at most out of landed replies (here: the lines of a document; no bracket, so no JSON array)."""
+    doc = D.documents(spark, d)
+    other_breaks = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
     r = doc.select(F.lit("t").alias("topic_slug"), F.col("doc_id").cast("string").alias("business_id"),
-                   F.lit(D.RUN).alias("run_id"), F.translate("text", "\r\x0b\x0c\x1c\x1d\x1e\x85  ", "").alias("reply"))
+                   F.lit(D.RUN).alias("run_id"), F.translate("text", "[" + other_breaks, "(").alias("reply"))
     s = P.strength_bullets(r)
     return s.select("business_id", F.size("strengths").alias("n"), F.md5(F.array_join("strengths", "\n")).alias("md5"))
 
@@ -736,11 +736,10 @@ def export_csv_rows(spark, d):
 
 @query
 def export_json_docs(spark, d):
-    every = D.topics(spark, d).unionByName(D.topics(spark, d).limit(1).withColumn("slug", F.lit("empty-topic")))
+    every = D.topics(spark, d).select("slug").unionByName(small_table(spark, [("empty-topic",)], ["slug"]))
     docs = P.topic_documents(P.export_rows(published(spark, d)), every, D.RUN)
     r = F.col("rankings")
     return docs.select("topic_slug", "part", F.size(r).alias("n"), F.get(r, F.lit(0))["slug"].alias("first_slug"),
-
                        F.get(r, F.size(r) - 1)["rank_position"].alias("last_rank"))
 
 

@@ -39,6 +39,8 @@ def test_raw_latest_and_rerun(spark):
     new = new.withColumn("collected_at", F.lit("2026-01-02").cast("timestamp"))
     once = U.save_raw(old, new)
     assert sorted(r["payload"] for r in once.collect()) == ["new", "t", "u"]
+    changed = new.withColumn("payload", F.lit("a changed one"))  # same time, smaller text: the batch still wins
+    assert {r["payload"] for r in U.save_raw(once, changed).where("source = 'yelp'").collect()} == {"a changed one"}
     assert sorted(map(tuple, U.save_raw(once, new).collect()), key=str) == sorted(map(tuple, once.collect()), key=str)
 
 

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from laurel import schemas
 from laurel.operators import sentiment
 from laurel.plans import stages as S
