@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laurel.llm import (decontaminate, language_id, line_dedup, order_minhash, quality_rules, secret_scan, sentencepiece_codec,
-                        token_output, url_filter)
+                        suffix_dedup, token_output, url_filter)
 from laurel.llm.common import shared_folder, table
 from laurel.session import staged
 
@@ -70,6 +70,12 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_shards(manifest)
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "bytes.n_bytes", "bytes.n_removed", F.size("bytes.spans").cast("long").alias("n_spans"),
+                       F.sha2("bytes.kept", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = language_id.held_out(F.col("doc_id"))
@@ -88,7 +94,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_sentencepiece, op4_url_filter, op5_line_dedup,
-                                   op6_order_minhash, op7_token_output, op9_language_id, op10_secret_scan)}
+                                   op6_order_minhash, op7_token_output, op8_suffix_array_dedup, op9_language_id, op10_secret_scan)}
 
 ORACLES = {
     "op4_url_filter": """
