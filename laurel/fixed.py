@@ -132,7 +132,6 @@ DEFAULT_RADIUS_M = 4000
 RADIUS_FACTOR = 1.5
 MATCH_RADIUS_M = 1000.0
 TOPIC_DEPTH = 25
-SERP_DEPTH = 20
 SNIPPETS_PER_BUSINESS = 6
 SNIPPET_CHARS = 200
 SNIPPET_LONGER_THAN = 20

@@ -125,7 +125,7 @@ def contains_any(lowered: Column, keywords) -> Column:
 def name_list(reply: Column, fallback_items: int = 10) -> Column:
     """Names out of a free-text reply: the JSON array in it, else its lines without bullets."""
     bracketed = F.regexp_extract(reply, r"(?s)\[.*\]", 0)
-    parsed = F.from_json(blank_to_null(bracketed), "array<string>", {"mode": "PERMISSIVE"})
+    parsed = F.from_json(blank_to_null(bracketed), "array<string>", {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
     from_array = F.filter(F.transform(parsed, lambda x: strip(F.coalesce(x, F.lit("None")))), lambda x: x != "")
     lines = F.transform(
         F.split(reply, r"\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x85\u2028\u2029]"),
@@ -138,7 +138,8 @@ def name_list(reply: Column, fallback_items: int = 10) -> Column:
 def topic_ideas(reply: Column) -> Column:
     """array<struct<title,category>> out of a reply; ideas without a title are dropped."""
     bracketed = F.regexp_extract(reply, r"(?s)\[.*\]", 0)
-    parsed = F.from_json(blank_to_null(bracketed), "array<struct<title:string,category:string>>")
+    parsed = F.from_json(blank_to_null(bracketed), "array<struct<title:string,category:string>>",
+                         {"allowSingleQuotes": "false"})
     kept = F.filter(parsed, lambda o: has_text(o["title"]))
     shaped = F.transform(
         kept,

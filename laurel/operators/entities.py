@@ -226,3 +226,8 @@ def not_yet_collected(linked: DataFrame, raw: DataFrame, run_id: str, source: st
 
 def photo_todo(ranked: DataFrame) -> DataFrame:
     return ranked.where(has_text(F.col("place_id")) & ~has_text(F.col("photo_url")))
+
+
+def businesses_of_topics(links: DataFrame, master: DataFrame) -> DataFrame:
+    """Every (topic, business, run) link with the business fields."""
+    return links.select("business_id", "topic_slug", "run_id").join(master, "business_id")

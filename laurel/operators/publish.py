@@ -7,8 +7,6 @@ from laurel import fixed
 from laurel.functions.numbers import round_half_even
 from laurel.functions.text import has_text, name_list, nominee_slug, snippet, strip
 
-DOC_RANKS = 1000  # rankings per export document; a longer topic continues in further parts
-
 
 def ranking_wide(rankings: DataFrame, businesses: DataFrame, metrics: DataFrame) -> DataFrame:
     """Rankings with business fields, rating and rating count.
@@ -39,16 +37,17 @@ def csv_rows(rows: DataFrame) -> DataFrame:
             .orderBy("topic_slug", "rank_position").select(*fixed.CSV_FIELDS))
 
 
-def topic_documents(rows: DataFrame, topics: DataFrame, run_id: str) -> DataFrame:
-    """One document per topic, empty topics too, rankings in rank order.
+def topic_documents(rows: DataFrame, topics: DataFrame, run_id: str, part_ranks: int) -> DataFrame:
+    """Documents of a topic's rankings in rank order, empty topics too: (run_id, topic_slug, part, rankings).
 
-    A topic of more than DOC_RANKS businesses continues in documents part 1, 2...
-    so no task has to hold a whole topic.
+    A document holds ``part_ranks`` rankings, and a longer topic continues in
+    parts 1, 2...: choose it above the longest topic for one document per topic,
+    and as large as a row may become otherwise.
     """
     fields = [c for c in rows.columns if c not in ("run_id", "pillar_breakdown")]
     # a map cannot be sorted on, so it waits as an array of its entries
     entry = F.struct("rank_position", F.struct(*fields, F.map_entries("pillar_breakdown").alias("pillars")).alias("record"))
-    in_doc = (rows.withColumn("part", F.floor((F.col("rank_position") - 1) / DOC_RANKS).cast("int"))
+    in_doc = (rows.withColumn("part", F.floor((F.col("rank_position") - 1) / part_ranks).cast("int"))
               .groupBy("topic_slug", "part").agg(F.array_sort(F.collect_list(entry)).alias("_r")))
     record = F.transform("_r", lambda r: F.struct(
         *[r["record"][f].alias(f) for f in fields], F.map_from_entries(r["record"]["pillars"]).alias("pillar_breakdown")))
@@ -66,10 +65,17 @@ def review_snippets(texts: DataFrame) -> DataFrame:
     Texts are cut before the shuffle, and Spark keeps six rows per business
     map-side (group limit), so neither long nor many texts travel.
     """
-    trimmed = strip(F.col("text"))
-    usable = texts.where(has_text(F.col("text")) & (F.length(trimmed) > fixed.SNIPPET_LONGER_THAN))
-    cut = usable.select("run_id", "business_id", (F.col("source") == "yelp").alias("late"), "pos",
-                        snippet(F.col("text")).alias("snippet"))
+    return shortest_snippets(cut_snippets(texts))
+
+
+def cut_snippets(texts: DataFrame) -> DataFrame:
+    """Texts long enough to quote, cut to excerpts; other columns stay."""
+    usable = texts.where(has_text(F.col("text")) & (F.length(strip(F.col("text"))) > fixed.SNIPPET_LONGER_THAN))
+    return usable.withColumn("snippet", snippet(F.col("text"))).drop("text")
+
+
+def shortest_snippets(cut: DataFrame) -> DataFrame:
+    cut = cut.select("run_id", "business_id", (F.col("source") == "yelp").alias("late"), "pos", "snippet")
     w = Window.partitionBy("run_id", "business_id").orderBy(F.length("snippet"), "late", "pos")
     return (cut.withColumn("n", F.row_number().over(w)).where(F.col("n") <= fixed.SNIPPETS_PER_BUSINESS)
             .select("run_id", "business_id", "n", "snippet"))

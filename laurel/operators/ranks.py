@@ -1,7 +1,5 @@
 """Positions and percentiles inside groups, safe when one group holds most rows."""
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,35 +7,39 @@ from laurel.functions.numbers import round_half_even
 from laurel.session import staged
 
 
-def midrank_percentile(df: DataFrame, groups: list[str], value: str, out: str = "normalized_score",
-                       lo: float = 0.0, hi: float = 100.0, slices: int = 1024,
-                       impute: float | None = None) -> DataFrame:
-    """(less + equal/2) / n * 100 per group over non-null values, rounded to 2 places.
+def _ranged(df: DataFrame, groups: list[str], order: list[Column], name: str) -> DataFrame:
+    """Rows range-partitioned by (group, order), with the number of their range as ``_range``.
 
-    Equal values collapse map-side into one counted row, and each group's value
-    range is cut into slices, so a window task sees the distinct values of one
-    slice of one group, never a whole group.  Values outside lo..hi fall in the
-    end slices; the result is exact for any data.  ``impute`` is the percentile
-    given to null values (None leaves them null).
+    Staged: the range number of a row must not change between its two uses.
     """
-    share = (F.col(value) - F.lit(lo)) / F.lit(hi - lo) * F.lit(slices)
-    slice_no = F.greatest(F.lit(0), F.least(F.lit(slices - 1), F.floor(share))).cast("int")
-    counted = (df.where(F.col(value).isNotNull())
-               .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_slice", slice_no))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(df.repartitionByRange(ranges, *groups, *order).withColumn("_range", F.spark_partition_id()), name)
 
-    in_slice = Window.partitionBy(*groups, "_slice").orderBy(value)
-    local = counted.withColumn("_less", F.sum("_n").over(in_slice) - F.col("_n"))
 
-    # at most `slices` rows per group from here
+def _before(ranged: DataFrame, groups: list[str], amount: Column) -> DataFrame:
+    """Per group and range: the amount in the group's ranges before it, and in all of them (at most one row a range)."""
     in_group = Window.partitionBy(*groups)
-    per_slice = (counted.groupBy(*groups, "_slice").agg(F.sum("_n").alias("_slice_n"))
-                 .withColumn("_before", F.sum("_slice_n").over(in_group.orderBy("_slice")) - F.col("_slice_n"))
-                 .withColumn("_all", F.sum("_slice_n").over(in_group))
-                 .drop("_slice_n"))
+    earlier = in_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.groupBy(*groups, "_range").agg(amount.alias("_amount"))
+            .select(*groups, "_range", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_before"),
+                    F.sum("_amount").over(in_group).alias("_all")))
+
 
+def midrank_percentile(df: DataFrame, groups: list[str], value: str, out: str = "normalized_score",
+                       impute: float | None = None) -> DataFrame:
+    """(less + equal/2) / n * 100 per group over non-null values, rounded to 2 places.
+
+    Equal values collapse map-side into one counted row; these are range
+    partitioned by (group, value), summed inside each range and shifted by the
+    ranges before it, so no task depends on how values are distributed.
+    ``impute`` is the percentile given to null values (None leaves them null).
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = _ranged(counted, groups, [F.col(value)], "percentile-ranges")
+    in_range = Window.partitionBy(*groups, "_range").orderBy(value)
+    local = ranged.withColumn("_less", F.sum("_n").over(in_range) - F.col("_n"))
     pct = (F.col("_before") + F.col("_less") + F.lit(0.5) * F.col("_n")) / F.col("_all") * F.lit(100.0)
-    table = (local.join(per_slice, [*groups, "_slice"]).select(*groups, value, pct.alias("_pct"))
+    table = (local.join(_before(ranged, groups, F.sum("_n")), [*groups, "_range"]).select(*groups, value, pct.alias("_pct"))
              .select(*groups, value, round_half_even(F.col("_pct"), 2).alias(out)))
     result = df.join(table, [*groups, value], "left")
     if impute is None:
@@ -45,31 +47,15 @@ def midrank_percentile(df: DataFrame, groups: list[str], value: str, out: str =
     return result.withColumn(out, F.coalesce(F.col(out), F.lit(impute)))
 
 
-def position_in_groups(df: DataFrame, groups: list[str], order: list[Column], out: str = "rank_position",
-                       max_group_rows: int = 2_000_000) -> DataFrame:
+def position_in_groups(df: DataFrame, groups: list[str], order: list[Column], out: str = "rank_position") -> DataFrame:
     """row_number() per group; ``order`` must be a total order.
 
-    The input is staged once and the biggest group measured.  Up to
-    ``max_group_rows`` a plain window does.  Beyond it the rows are range
-    partitioned on (group, order), numbered inside each range, and shifted by
-    the counts of the ranges before it, so one group spreads over many tasks.
+    Rows are range partitioned on (group, order), numbered inside each range, and
+    shifted by the counts of the ranges before it: one group spreads over many tasks.
     """
-    rows = staged(df, "ranked-input")
-    sizes = rows.groupBy(*groups).count().agg(F.max("count"), F.sum("count")).first()
-    biggest, total = sizes[0] or 0, sizes[1] or 0
-    if biggest <= max_group_rows:
-        return rows.withColumn(out, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
-
-    ranges = max(2, ceil(2 * total / max_group_rows))
-    # staged again: the range number of a row must not change between the two uses below
-    ranged = staged(rows.repartitionByRange(ranges, *groups, *order)
-                    .withColumn("_range", F.spark_partition_id()), "ranked-ranges")
-    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy(*groups, "_range").count()
-               .withColumn("_offset", F.coalesce(F.sum("count").over(before), F.lit(0)))
-               .drop("count"))
+    ranged = _ranged(df, groups, order, "ranked-ranges")
     local = F.row_number().over(Window.partitionBy(*groups, "_range").orderBy(*order))
     return (ranged.withColumn("_local", local)
-            .join(offsets, [*groups, "_range"])
-            .withColumn(out, (F.col("_offset") + F.col("_local")).cast("int"))
-            .drop("_range", "_local", "_offset"))
+            .join(_before(ranged, groups, F.count(F.lit(1))), [*groups, "_range"])
+            .withColumn(out, (F.col("_before") + F.col("_local")).cast("int"))
+            .drop("_range", "_local", "_before", "_all"))

@@ -75,11 +75,11 @@ def breakdown(pillars=fixed.PILLARS):
     return F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
 
 
-def rank_topics(scored: DataFrame, max_group_rows: int = 2_000_000) -> DataFrame:
+def rank_topics(scored: DataFrame) -> DataFrame:
     """Positions 1..n per topic: final, then satisfaction, then review volume, then business id."""
     order = [F.col("final_score").desc(), F.coalesce("satisfaction", F.lit(0.0)).desc(),
              F.coalesce("volume", F.lit(0.0)).desc(), F.col("business_id").asc()]
-    return position_in_groups(scored, ["run_id", "topic_slug"], order, max_group_rows=max_group_rows)
+    return position_in_groups(scored, ["run_id", "topic_slug"], order)
 
 
 def rankings(ranked: DataFrame) -> DataFrame:

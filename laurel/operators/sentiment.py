@@ -13,18 +13,16 @@ from laurel.functions.numbers import round_half_even
 from laurel.functions.text import contains_any
 from laurel.session import small_table
 
-# A small hand-written lexicon for demonstrations.  Real runs pass their own (term, valence) table.
-DEMO_LEXICON = [
-    ("good", 1.9), ("great", 3.1), ("excellent", 2.7), ("amazing", 2.8), ("awesome", 3.1), ("love", 3.2),
-    ("loved", 2.9), ("lovely", 2.8), ("nice", 1.8), ("best", 3.2), ("perfect", 2.7), ("friendly", 2.2),
-    ("helpful", 1.8), ("attentive", 1.7), ("fresh", 1.3), ("delicious", 2.7), ("tasty", 2.0), ("clean", 1.7),
-    ("spotless", 2.0), ("fast", 1.0), ("quick", 1.0), ("worth", 0.9), ("happy", 2.7), ("recommend", 1.5),
-    ("beautiful", 2.9), ("fantastic", 2.6), ("cozy", 1.6), ("fun", 2.3), ("bad", -2.5), ("worst", -3.1),
-    ("awful", -2.0), ("terrible", -2.1), ("horrible", -2.5), ("rude", -2.0), ("dirty", -1.9), ("filthy", -2.3),
-    ("cold", -0.8), ("slow", -1.0), ("wrong", -2.1), ("disappointed", -2.1), ("disappointing", -2.2),
-    ("overpriced", -1.6), ("hate", -2.7), ("hated", -3.2), ("poor", -2.1), ("bland", -1.2), ("stale", -1.4),
-    ("refund", -0.9), ("sad", -2.1), ("problem", -1.7), ("broken", -2.1), ("annoying", -1.7),
-]
+# A small lexicon for demonstrations, on its own coarse scale.  Real runs pass their own (term, valence) table.
+_STRONG, _PLAIN, _WEAK = 3.0, 2.0, 1.0
+DEMO_LEXICON = [(word, sign * worth) for sign, worth, words in [
+    (1, _STRONG, "great excellent amazing awesome love loved best perfect fantastic beautiful delicious"),
+    (1, _PLAIN, "good lovely nice friendly helpful attentive tasty spotless happy fun"),
+    (1, _WEAK, "fresh clean fast quick worth recommend cozy"),
+    (-1, _STRONG, "worst awful terrible horrible filthy hate hated"),
+    (-1, _PLAIN, "bad rude dirty wrong disappointed disappointing overpriced poor sad broken annoying"),
+    (-1, _WEAK, "cold slow bland stale refund problem"),
+] for word in words.split()]
 NEGATIONS = ["not", "no", "never", "none", "without", "cannot", "can't", "don't", "doesn't", "didn't", "isn't",
              "wasn't", "won't", "wouldn't", "ain't", "nothing", "hardly"]
 BOOSTERS = {"very": 0.293, "really": 0.293, "extremely": 0.293, "so": 0.293, "absolutely": 0.293, "totally": 0.293,
@@ -33,7 +31,6 @@ NEGATION_FACTOR = -0.74
 DISTANCE_DAMPING = [1.0, 0.95, 0.9]
 NORMALISER = 15.0
 MICRO = 1_000_000  # valences add up as whole micro-units: the sum is exact in any order
-LEXICON_AS_SET = 50_000
 TOKEN = r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*"
 
 TEXT_KEY = ["run_id", "business_id", "source", "pos"]
@@ -63,27 +60,23 @@ def text_scores(texts: DataFrame, lexicon: DataFrame, keys: list[str] = TEXT_KEY
     """keys, one boolean per flag, and the compound score (-1..1, 4 places) of every text.
 
     Each text is split and scored once, whatever number of aspects is asked for.
-    Only keys, flags and one number per text reach the shuffle: a text's words
-    come out of one row, so the map-side aggregate folds them back.  A lexicon
-    of checked size also serves as a set that drops other words before they
-    become rows; a larger one only costs more rows.
+    Words join the lexicon table, of which a repeated term counts once (with its
+    highest valence); no text is shuffled, and where Spark broadcasts the lexicon
+    the map-side aggregate folds a text's words back into one row.
     """
     flags = flags or {}
     low = texts.select(*keys, F.lower("text").alias("low"))
     split = low.select(*keys, *[c.alias(n) for n, c in flags.items()],
                        F.regexp_extract_all("low", F.lit(TOKEN), 0).alias("_words"))
     words = F.col("_words")
-    known = lexicon.select("term").limit(LEXICON_AS_SET + 1).collect()
     places = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1))
-    if len(known) <= LEXICON_AS_SET:
-        terms = [r["term"] for r in known]
-        places = F.filter(places, lambda i: F.get(words, i).isin(terms))
     in_context = F.transform(places, lambda i: F.struct(
         F.get(words, i).alias("term"), F.get(words, i - 1).alias("b1"), F.get(words, i - 2).alias("b2"),
         F.get(words, i - 3).alias("b3")))
     # outer: a text without a lexicon word still gives a row
     tokens = split.select(*keys, *flags, F.explode_outer(in_context).alias("_t")).select(*keys, *flags, "_t.*")
-    hit = tokens.join(lexicon.select("term", "valence"), "term", "left")
+    terms = lexicon.where(F.col("term").isNotNull()).groupBy("term").agg(F.max("valence").alias("valence"))
+    hit = tokens.join(terms, "term", "left")
     value = _valence(F.col("valence"), [F.col("b1"), F.col("b2"), F.col("b3")], negations, boosters)
     micro = F.coalesce(F.rint(value * MICRO).cast("long"), F.lit(0))
     s = F.col("_sum") / F.lit(float(MICRO))
@@ -132,7 +125,10 @@ def review_metrics(scores: DataFrame) -> DataFrame:
 def keyword_rates(texts: DataFrame, flags: dict[str, Column]) -> DataFrame:
     """Share of a business's texts that carry each flag; no scoring needed."""
     low = texts.select("run_id", "business_id", F.lower("text").alias("low"))
-    flagged = low.select("run_id", "business_id", *[c.alias(n) for n, c in flags.items()])
+    return flag_rates(low.select("run_id", "business_id", *[c.alias(n) for n, c in flags.items()]), list(flags))
+
+
+def flag_rates(flagged: DataFrame, flags: list[str]) -> DataFrame:
     return flagged.groupBy("run_id", "business_id").agg(
         F.count(F.lit(1)).alias("n_texts"),
         *[(F.count(F.when(F.col(n), 1)) / F.count(F.lit(1))).alias(n.replace("is_", "rate_")) for n in flags])

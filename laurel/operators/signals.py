@@ -4,15 +4,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laurel.functions.audit import audit
-from laurel.functions.text import has_text, name_inside, norm_name
+from laurel.functions.text import has_text, norm_name
 
-CHUNK = 100  # list entries per row; a longer list continues in further rows
+#: Lengths of the blocks that a contained text and the one around it share; a needle uses the longest that it fills.
+BLOCKS = (8, 3, 1)
 
 
-def _chunked(lists: DataFrame, pos: str, entry: Column) -> DataFrame:
-    """A topic's list as arrays of at most CHUNK entries in list order."""
-    return (lists.groupBy("topic_slug", F.floor(F.col(pos) / CHUNK).alias("chunk"))
-            .agg(F.array_sort(F.collect_list(entry)).alias("entries")))
+def _block(needle: Column) -> Column:
+    """The beginning of a needle, as long as one of BLOCKS; null for an empty one."""
+    out = F.lit(None).cast("string")
+    for n in sorted(BLOCKS):
+        out = F.when(F.length(needle) >= n, F.substring(needle, 1, n)).otherwise(out)
+    return out
+
+
+def _tails(text: Column, shortest: int) -> Column:
+    """(block, tail) for every place of a text: what begins there, to its end."""
+    def at(n: int) -> Column:
+        places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1))
+        found = F.transform(places, lambda i: F.struct(F.substring(text, i, F.lit(n)).alias("block"),
+                                                       F.substring(text, i, F.length(text)).alias("tail")))
+        return F.coalesce(found, F.array().cast("array<struct<block:string,tail:string>>"))
+    return F.concat(*[at(n) for n in BLOCKS if n >= shortest])
+
+
+def _contained(needles: DataFrame, texts: DataFrame, shortest: int) -> DataFrame:
+    """Pairs of a topic's rows where ``needle`` (of at least ``shortest`` characters) is somewhere in ``text``.
+
+    An equi-join on (topic, how the needle begins) with every place of the text,
+    so that only rows which share that beginning meet.
+    """
+    a = needles.where(F.length("needle") >= shortest).withColumn("_block", _block(F.col("needle")))
+    b = (texts.select([c for c in texts.columns if c != "text"] + [F.inline(_tails(F.col("text"), shortest))])
+         .withColumnRenamed("block", "_block"))
+    return a.join(b, ["topic_slug", "_block"]).where(F.col("tail").startswith(F.col("needle"))).drop("_block", "tail", "needle")
 
 
 def serp_mentions(linked: DataFrame, results: DataFrame) -> DataFrame:
@@ -20,46 +45,49 @@ def serp_mentions(linked: DataFrame, results: DataFrame) -> DataFrame:
 
     linked: run_id, topic_slug, business_id, name, website_domain.
     results: topic_slug, list_pos, position, title, url, snippet.
-    A business is tested against its topic's list inside one row, so no
-    (business, result) pairs are produced.  Topics without results give no rows.
+    A result shows a business whose name is in its title or snippet, or whose
+    domain is in its URL.  Topics without results give no rows.
     """
-    entry = F.struct("list_pos", "position", norm_name(F.col("title")).alias("title"),
-                     norm_name(F.col("snippet")).alias("snippet"), F.coalesce("url", F.lit("")).alias("url"))
-    chunks = _chunked(results, "list_pos", entry)
-    names = linked.select("run_id", "topic_slug", "business_id", "website_domain",
-                          norm_name(F.col("name")).alias("norm"))
-    by_domain = has_text(F.col("website_domain"))
-
-    def shows(e):
-        return (name_inside(F.col("norm"), e["title"]) | name_inside(F.col("norm"), e["snippet"])
-                | (by_domain & e["url"].contains(F.coalesce("website_domain", F.lit("")))))
-
-    first = F.get(F.filter("entries", shows), F.lit(0))
-    per_chunk = names.join(chunks, "topic_slug").select(
-        "run_id", "topic_slug", "business_id", F.size("entries").alias("n"), first.alias("hit"))
-    rank = F.min_by("hit.position", "hit.list_pos")
-    return (per_chunk.groupBy("run_id", "topic_slug", "business_id")
-            .agg(F.sum("n").alias("query_results"), rank.alias("serp_rank"))
-            .withColumn("mentioned", F.col("serp_rank").isNotNull()))
+    keys = ["run_id", "topic_slug", "business_id"]
+    where = ["topic_slug", "list_pos", "position"]
+    names = linked.select(*keys, norm_name(F.col("name")).alias("needle"))
+    domains = linked.where(has_text(F.col("website_domain"))).select(*keys, F.col("website_domain").alias("needle"))
+    shown = [results.select(*where, norm_name(F.col(c)).alias("text")) for c in ("title", "snippet")]
+    hits = (_contained(names, shown[0].unionByName(shown[1]), 3)
+            .unionByName(_contained(domains, results.select(*where, F.coalesce("url", F.lit("")).alias("text")), 1)))
+    first = hits.groupBy(*keys).agg(F.min_by("position", "list_pos").alias("serp_rank"))
+    sizes = results.groupBy("topic_slug").agg(F.count(F.lit(1)).alias("query_results"))
+    return (linked.select(*keys).distinct().join(sizes, "topic_slug").join(first, keys, "left")
+            .select(*keys, "query_results", "serp_rank", F.col("serp_rank").isNotNull().alias("mentioned")))
 
 
 def list_mentions(linked: DataFrame, recommended: DataFrame) -> DataFrame:
-    """Whether a topic's recommended names include each business (containment either way).
+    """Whether a topic's recommended names include each business (containment either way), and which of them do, in list order.
 
     recommended: topic_slug, list_pos, name.
     """
-    chunks = _chunked(recommended, "list_pos", F.struct("list_pos", norm_name(F.col("name")).alias("norm")))
-    names = linked.select("run_id", "topic_slug", "business_id", norm_name(F.col("name")).alias("norm"))
-    any_hit = F.exists("entries", lambda e: name_inside(F.col("norm"), e["norm"]) | name_inside(e["norm"], F.col("norm")))
-    return (names.join(chunks, "topic_slug")
-            .select("run_id", "topic_slug", "business_id", any_hit.alias("hit"))
-            .groupBy("run_id", "topic_slug", "business_id").agg(F.max("hit").alias("mentioned")))
+    keys = ["run_id", "topic_slug", "business_id"]
+    names = linked.select(*keys, norm_name(F.col("name")).alias("norm"))
+    entries = recommended.select("topic_slug", "list_pos", F.col("name").alias("listed"), norm_name(F.col("name")).alias("norm"))
+    as_ = lambda df, c: df.withColumnRenamed("norm", c)
+    hits = (_contained(as_(names, "needle"), as_(entries, "text"), 3)
+            .unionByName(_contained(as_(entries, "needle"), as_(names, "text"), 3)))
+    found = hits.select(*keys, "list_pos", "listed").distinct().groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("list_pos", "listed"))).alias("_l"))
+    return (linked.select(*keys).distinct().join(recommended.select("topic_slug").distinct(), "topic_slug").join(found, keys, "left")
+            .select(*keys, F.col("_l").isNotNull().alias("mentioned"),
+                    F.coalesce(F.col("_l.listed"), F.array().cast("array<string>")).alias("recommended")))
 
 
 def website_audit(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """pages: keys, url, html, markdown -> the audit columns of a fetched page."""
+    """pages: keys, url, html, markdown -> the audit columns.
+
+    A page without html and markdown was not fetched: it keeps its key and
+    ``fetched`` false, and nothing is measured.
+    """
+    fetched = F.col("html").isNotNull() | F.col("markdown").isNotNull()
     cols = audit(F.col("url"), F.col("html"), F.col("markdown"))
-    return pages.select(*keys, "url", F.lit(True).alias("fetched"), *[c.alias(k) for k, c in cols.items()])
+    return pages.select(*keys, "url", fetched.alias("fetched"), *[F.when(fetched, c).alias(k) for k, c in cols.items()])
 
 
 def as_raw(df: DataFrame, source: str, fields: list[str], run_id: str, at: str, topic_level: bool = False) -> DataFrame:

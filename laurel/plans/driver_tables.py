@@ -8,10 +8,9 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from laurel import fixed
-from laurel.functions.audit import audit, page_text
+from laurel.functions.audit import page_text
 from laurel.functions.text import domain_of, slugify
-from laurel.sources.splits import spread
+from laurel.operators import signals
 
 RUN = "2024-01"
 AS_OF = "2002-01-01"
@@ -137,10 +136,11 @@ def links(spark, d) -> DataFrame:
 
 @view
 def platform_ratings(spark, d) -> DataFrame:
-    """Stars 1..5 per order; finished orders count for one platform, open ones for the other."""
-    o = table(spark, d, "orders").where(F.col("o_orderstatus").isin("F", "O"))
+    """Stars 1..5 per order; finished orders count for one platform, open ones for the other, the rest by their number."""
+    o = table(spark, d, "orders")
     stars = F.lit(1) + F.col("o_orderkey") % 5
-    f, y = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
+    rest, even = ~F.col("o_orderstatus").isin("F", "O"), F.col("o_orderkey") % 2 == 0
+    f, y = (F.col("o_orderstatus") == "F") | (rest & even), (F.col("o_orderstatus") == "O") | (rest & ~even)
     sums = o.groupBy("o_custkey").agg(
         F.sum(F.when(f, stars)).alias("g_sum"), F.count(F.when(f, 1)).alias("g_n"),
         F.sum(F.when(y, stars)).alias("y_sum"), F.count(F.when(y, 1)).alias("y_n"))
@@ -154,31 +154,34 @@ def platform_ratings(spark, d) -> DataFrame:
 
 @view
 def documents(spark, d) -> DataFrame:
-    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, d, "documents").select("doc_id", "text")
 
 
-@view
-def reviews(spark, d) -> DataFrame:
-    """documents as review texts of the customer whose order has the document's number."""
-    doc = documents(spark, d)
+def reviewed(spark, d, texts: DataFrame) -> DataFrame:
+    """What was made of documents (doc_id and more), as of reviews by the customer whose order has the document's number.
+
+    Texts are scored, flagged or cut by doc_id first: only the outcome is joined.
+    """
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return doc.join(o, F.col("doc_id") == F.col("o_orderkey")).select(
+    made = [c for c in texts.columns if c != "doc_id"]
+    return texts.join(o, F.col("doc_id") == F.col("o_orderkey")).select(
         F.lit(RUN).alias("run_id"), business_id(F.col("o_custkey")).alias("business_id"),
         F.when(F.col("doc_id") % 2 == 0, "google_places").otherwise("yelp").alias("source"),
-        F.col("doc_id").alias("pos"), "text",
+        F.col("doc_id").alias("pos"), *made,
         F.when(F.col("doc_id") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("publish_time"))
 
 
 @view
 def page_audits(spark, d) -> DataFrame:
-    p = spread(table(spark, d, "pages"), "page_id")
-    cols = audit(F.col("url"), F.col("html"), page_text(F.col("html")))
-    return p.select("page_id", "url", F.lit(True).alias("fetched"), *[c.alias(k) for k, c in cols.items()])
+    """Audits of pages; some crawls failed and brought no markup."""
+    html = F.when(F.col("page_id") % 50 != 7, F.col("html"))
+    p = table(spark, d, "pages").select("page_id", "url", html.alias("html"))
+    return signals.website_audit(p.withColumn("markdown", page_text(F.col("html"))), ["page_id"])
 
 
 @view
 def serp(spark, d) -> DataFrame:
-    """Result lists per topic: pages dealt out to the nation x segment grid; a list shows its first 20 results."""
+    """Result lists per topic: pages dealt out to the nation x segment grid."""
     seg = F.array(*[F.lit(s) for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")])
     k = F.col("page_id")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
@@ -187,17 +190,15 @@ def serp(spark, d) -> DataFrame:
             .select(topic_slug(F.get(seg, (F.floor(k / 25) % 5).cast("int")), F.col("n_name")).alias("topic_slug"),
                     "page_id", "url", title.alias("title"), F.lit("").alias("snippet")))
     place = F.row_number().over(Window.partitionBy("topic_slug").orderBy("page_id"))
-    return (rows.withColumn("position", place).where(F.col("position") <= fixed.SERP_DEPTH)
-            .withColumn("list_pos", F.col("position") - 1))
+    return rows.withColumn("position", place).withColumn("list_pos", F.col("position") - 1)
 
 
 @view
 def recommended(spark, d) -> DataFrame:
-    """Recommended names per topic: its ten richest businesses."""
-    c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    b = businesses(spark, d).join(c, "c_custkey")
-    place = F.row_number().over(Window.partitionBy("topic_slug").orderBy(F.col("c_acctbal").desc(), "c_custkey"))
-    return (b.withColumn("n", place).where(F.col("n") <= 10)
+    """Recommended names per topic: every tenth business, by its number."""
+    b = businesses(spark, d).where(F.col("c_custkey") % 10 == 3)
+    place = F.row_number().over(Window.partitionBy("topic_slug").orderBy("c_custkey"))
+    return (b.withColumn("n", place)
             .select("topic_slug", (F.col("n") - 1).alias("list_pos"), F.concat(F.lit("The "), "name").alias("name")))
 
 
@@ -229,8 +230,7 @@ def raw_payloads(spark, d) -> DataFrame:
     audit_fields = [c for c in audits.columns if c not in ("page_id", "business_id")]
     pages = rows(audits, site=document(F.col("url").alias("website")), firecrawl=document(*audit_fields), semrush=semrush)
 
-    views = (table(spark, d, "events").where(F.col("event_type") == "view")
-             .groupBy("user_id").agg(F.count(F.lit(1)).alias("count")))
+    views = table(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
     reddit = rows(views.withColumn("business_id", business_id(F.col("user_id"))), reddit=document("count"))
     return platforms.unionByName(pages).unionByName(reddit)
 

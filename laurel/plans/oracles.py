@@ -42,27 +42,27 @@ CTES = {
          CASE WHEN nk % 5 = 0 THEN 'find ' || lower(seg) END AS search_query
   FROM tn)""",
     "rat": """rat AS (
-  SELECT o_custkey, sum(1 + o_orderkey % 5) FILTER (o_orderstatus = 'F') / nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS gr,
-         nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS gn,
-         sum(1 + o_orderkey % 5) FILTER (o_orderstatus = 'O') / nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS yr,
-         nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS yn
-  FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY o_custkey),
+  SELECT o_custkey, sum(1 + o_orderkey % 5) FILTER (o_orderstatus = 'F' OR (o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 2 = 0)) / nullif(count(*) FILTER (o_orderstatus = 'F' OR (o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 2 = 0)), 0) AS gr,
+         nullif(count(*) FILTER (o_orderstatus = 'F' OR (o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 2 = 0)), 0) AS gn,
+         sum(1 + o_orderkey % 5) FILTER (o_orderstatus = 'O' OR (o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 2 = 1)) / nullif(count(*) FILTER (o_orderstatus = 'O' OR (o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 2 = 1)), 0) AS yr,
+         nullif(count(*) FILTER (o_orderstatus = 'O' OR (o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 2 = 1)), 0) AS yn
+  FROM orders GROUP BY o_custkey),
 bay AS (SELECT *, (80e0 + gn * gr) / (20e0 + gn) AS gb, (80e0 + yn * yr) / (20e0 + yn) AS yb FROM rat)""",
     "aud": """aud AS (
-  SELECT page_id, url, true AS fetched,
+  SELECT page_id, url, html IS NOT NULL AS fetched,
          len(regexp_extract_all(lower(html), '<h1[\\s>]'))::BIGINT AS h1_count,
          len(list_filter(string_split_regex(regexp_replace(html,
            '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g'), '\\s+'), lambda w: w <> ''))::BIGINT AS word_count,
          len(regexp_extract_all(html, '"@type"\\s*:\\s*"([^"]+)"', 1)) > 0 AS has_schema_org,
-         coalesce(list_sort(list_distinct(regexp_extract_all(html, '"@type"\\s*:\\s*"([^"]+)"', 1))), []) AS schema_types,
+         CASE WHEN html IS NOT NULL THEN coalesce(list_sort(list_distinct(regexp_extract_all(html, '"@type"\\s*:\\s*"([^"]+)"', 1))), []) END AS schema_types,
          contains(lower(html), 'property="og:') OR contains(lower(html), 'property=''og:') AS has_open_graph,
          contains(lower(html), 'name="viewport"') AS has_viewport, contains(lower(html), 'rel="canonical"') AS has_canonical,
-         starts_with(lower(url), 'https://') AS is_https
-  FROM pages),
+         CASE WHEN html IS NOT NULL THEN starts_with(lower(url), 'https://') END AS is_https
+  FROM (SELECT page_id, url, CASE WHEN page_id % 50 <> 7 THEN html END AS html FROM pages)),
 seo AS (
   SELECT page_id, word_count, PYROUND AS seo FROM (
-    SELECT page_id, word_count, least(100e0, (25 * is_https::INT + 15 * has_viewport::INT + 15 * has_schema_org::INT
-      + 10 * has_open_graph::INT + 10 * has_canonical::INT + 10 * (h1_count >= 1)::INT)::DOUBLE + least(15e0, word_count / 80e0)) AS x
+    SELECT page_id, word_count, CASE WHEN NOT fetched THEN 0e0 ELSE least(100e0, (25 * is_https::INT + 15 * has_viewport::INT + 15 * has_schema_org::INT
+      + 10 * has_open_graph::INT + 10 * has_canonical::INT + 10 * (h1_count >= 1)::INT)::DOUBLE + least(15e0, word_count / 80e0)) END AS x
     FROM aud))""",
     "rev": """rev AS (
   SELECT 'p:P' || lpad(o_custkey::VARCHAR, 9, '0') AS business_id, CASE WHEN doc_id % 2 = 0 THEN 'google_places' ELSE 'yelp' END AS source,
@@ -75,10 +75,10 @@ seo AS (
            row_number() OVER (PARTITION BY n_name, seg ORDER BY page_id) AS position
     FROM (SELECT page_id, url, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, page_id % 25 AS nk,
                  (['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[(page_id // 25) % 5 + 1] AS seg FROM pages)
-    JOIN nation ON nk = n_nationkey) WHERE position <= 20)""",
+    JOIN nation ON nk = n_nationkey))""",
     "rec": """rec AS (
   SELECT topic_slug, 'The ' || name AS name, n FROM (
-    SELECT topic_slug, name, row_number() OVER (PARTITION BY topic_slug ORDER BY bal DESC, k) AS n FROM biz) WHERE n <= 10)""",
+    SELECT topic_slug, name, row_number() OVER (PARTITION BY topic_slug ORDER BY k) AS n FROM biz WHERE k % 10 = 3))""",
 }
 
 
@@ -143,10 +143,13 @@ CTES["sig"] = f"""webhit AS (
     arg_min(position, position) FILTER ((length({norm('b.name')}) >= 3 AND contains({norm('title')}, {norm('b.name')}))
       OR (domain <> '' AND contains(s.url, domain))) AS serp_rank
   FROM biz b JOIN serp s ON s.topic_slug = b.topic_slug GROUP BY ALL),
+aihit0 AS (
+  SELECT b.topic_slug, b.business_id, r.name AS listed, r.n, (length({norm('b.name')}) >= 3 AND contains({norm('r.name')}, {norm('b.name')}))
+      OR (length({norm('r.name')}) >= 3 AND contains({norm('b.name')}, {norm('r.name')})) AS hit
+  FROM biz b JOIN rec r ON r.topic_slug = b.topic_slug),
 aihit AS (
-  SELECT b.topic_slug, b.business_id, bool_or((length({norm('b.name')}) >= 3 AND contains({norm('r.name')}, {norm('b.name')}))
-      OR (length({norm('r.name')}) >= 3 AND contains({norm('b.name')}, {norm('r.name')}))) AS mentioned
-  FROM biz b JOIN rec r ON r.topic_slug = b.topic_slug GROUP BY ALL)"""
+  SELECT topic_slug, business_id, bool_or(hit) AS mentioned, string_agg(listed, '|' ORDER BY n) FILTER (hit) AS recommended
+  FROM aihit0 GROUP BY ALL)"""
 
 
 def metrics_sql(signals: bool, reviews: bool) -> str:
@@ -162,7 +165,7 @@ def metrics_sql(signals: bool, reviews: bool) -> str:
     return f"""base AS (
   SELECT b.topic_slug, b.business_id, r.*, v.n AS views, a.seo, a.word_count, a.page_id, b.website, {pick}, {nlp}
   FROM biz b LEFT JOIN bay r ON r.o_custkey = b.k
-  LEFT JOIN (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY user_id) v ON v.user_id = b.k
+  LEFT JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) v ON v.user_id = b.k
   LEFT JOIN seo a ON a.page_id = b.k{join}),
 met AS (
   SELECT topic_slug, business_id, gr AS google_rating, gn::DOUBLE AS google_review_count, gb AS google_rating_bayes,
@@ -235,7 +238,6 @@ def sql(names: str, body: str, *extra: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
-CORE = ("biz rat aud", metrics_sql(False, False))
 FULL = ("biz rat aud sig nlp", metrics_sql(True, True))
 NO_REVIEWS = ("biz rat aud sig", metrics_sql(True, False))
 
@@ -260,12 +262,12 @@ O["cross_rating"] = sql("rat", """SELECT o_custkey,
   ((gb IS NOT NULL)::INT + (yb IS NOT NULL)::INT)::DOUBLE AS platforms FROM bay""")
 O["metric_unpivot"] = sql(NO_REVIEWS[0], unpivoted("all"), NO_REVIEWS[1])
 O["transform_stage"] = sql(FULL[0], unpivoted("rounded"), FULL[1])
-O["metric_pivot"] = sql(CORE[0], """SELECT topic_slug, business_id, google_rating, google_review_count, yelp_rating, pop_review_volume,
-  pop_cross_platform, pop_reddit_mentions, digital_has_website, digital_seo_score, search_authority FROM met""", CORE[1])
-O["source_payload_map"] = sql("biz rat aud", """SELECT business_id, coalesce(gn > 0, false) AS has_google_places, coalesce(yn > 0, false) AS has_yelp,
+O["metric_pivot"] = sql(FULL[0], "SELECT topic_slug, business_id, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in (k.replace(".", "_") for k in fixed.METRIC_SOURCES)) + " FROM met", FULL[1])
+O["source_payload_map"] = sql("biz rat aud", """SELECT business_id, NULL::VARCHAR AS topic_slug, coalesce(gn > 0, false) AS has_google_places, coalesce(yn > 0, false) AS has_yelp,
   website IS NOT NULL AS has_site, page_id IS NOT NULL AS has_firecrawl, page_id IS NOT NULL AS has_semrush, n IS NOT NULL AS has_reddit
   FROM biz LEFT JOIN rat ON k = o_custkey LEFT JOIN aud ON k = page_id
-  LEFT JOIN (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY user_id) ON k = user_id
+  LEFT JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) ON k = user_id
   WHERE gn > 0 OR yn > 0 OR website IS NOT NULL OR page_id IS NOT NULL OR n IS NOT NULL""")
 O["json_payload_extract"] = "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events"
 O["payload_roundtrip"] = sql("rat", """SELECT 'p:P' || lpad(o_custkey::VARCHAR, 9, '0') AS business_id, gr AS rating, gn AS n,
@@ -296,10 +298,9 @@ O["review_snippets"] = sql("rev", """SELECT business_id, n::INT AS n, md5(s) AS
 for _p, _e in PILLAR_SQL.items():
     _m = FULL if _p == "service" else NO_REVIEWS
     O[f"pillar_{_p}"] = sql(_m[0], f"SELECT topic_slug, business_id, round(x, 6) AS raw FROM (SELECT topic_slug, business_id, {_e} AS x FROM met) WHERE x IS NOT NULL", _m[1])
-O["midrank_percentile"] = sql(CORE[0], """SELECT topic_slug, business_id, pillar, pct AS normalized_score FROM nrm
-  WHERE pillar IN ('satisfaction', 'popularity', 'digital')""", CORE[1], RANK_CTES)
+O["midrank_percentile"] = sql(FULL[0], "SELECT topic_slug, business_id, pillar, pct AS normalized_score FROM nrm", FULL[1], RANK_CTES)
 O["midrank_percentile_imputed"] = """WITH v AS (SELECT c_custkey, c_mktsegment, n FROM customer LEFT JOIN (
-    SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON c_custkey = o_custkey)
+    SELECT o_custkey, nullif(count(*) FILTER (o_orderpriority = '1-URGENT'), 0) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey)
 SELECT c_custkey, c_mktsegment, coalesce(""" + pyround("x", 2) + """, 50e0) AS pct FROM (
   SELECT c_custkey, c_mktsegment, CASE WHEN n IS NOT NULL THEN (
     (SELECT count(*) FROM v b WHERE b.c_mktsegment = a.c_mktsegment AND b.n < a.n)
@@ -311,11 +312,11 @@ O["midrank_percentile_skew"] = f"""SELECT l_returnflag, l_extendedprice, max({py
   FROM lineitem) GROUP BY 1, 2"""
 O["position_in_skewed_groups"] = """SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC,
   l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity)::INT AS place, l_extendedprice, l_orderkey, l_linenumber FROM lineitem"""
-O["weighted_final"] = sql(CORE[0], "SELECT topic_slug, business_id, final_score FROM fin", CORE[1], RANK_CTES)
-O["final_rank"] = sql(CORE[0], "SELECT topic_slug, business_id, final_score, rank_position FROM rnk", CORE[1], RANK_CTES)
-O["pillar_scores_table"] = sql(CORE[0], """SELECT topic_slug, business_id, pillar, """ + pyround("raw", 2) + """ AS raw_score,
-  pct AS normalized_score FROM nrm""", CORE[1], RANK_CTES)
-O["pillar_breakdown_long"] = sql(CORE[0], f"SELECT topic_slug, business_id, pillar, {pyround('pct', 1)} AS score FROM nrm", CORE[1], RANK_CTES)
+O["weighted_final"] = sql(FULL[0], "SELECT topic_slug, business_id, final_score FROM fin", FULL[1], RANK_CTES)
+O["final_rank"] = sql(FULL[0], "SELECT topic_slug, business_id, final_score, rank_position FROM rnk", FULL[1], RANK_CTES)
+O["pillar_scores_table"] = sql(FULL[0], """SELECT topic_slug, business_id, pillar, """ + pyround("raw", 2) + """ AS raw_score,
+  pct AS normalized_score FROM nrm""", FULL[1], RANK_CTES)
+O["pillar_breakdown_long"] = sql(FULL[0], f"SELECT topic_slug, business_id, pillar, {pyround('pct', 1)} AS score FROM nrm", FULL[1], RANK_CTES)
 O["flagship_rank"] = sql(FULL[0], f"SELECT topic_slug, rank_position, business_id, final_score, {', '.join(W)} FROM rnk", FULL[1], RANK_CTES)
 
 O["page_audit"] = sql("aud", """SELECT page_id, fetched, h1_count, word_count, has_schema_org, to_json(schema_types)::VARCHAR AS schema_types,
@@ -461,11 +462,11 @@ O["raw_latest"] = """SELECT user_id::VARCHAR AS business_id, event_type AS sourc
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, props DESC) AS i FROM events) WHERE i = 1"""
 O["metric_upsert"] = """WITH last AS (SELECT o_custkey::VARCHAR AS business_id, lower(substr(o_orderpriority, 1, 1)) AS metric_key, o_totalprice AS value,
     o_orderstatus AS source, row_number() OVER (PARTITION BY o_custkey, o_orderpriority[1], o_orderstatus ORDER BY o_orderkey DESC) AS i
-  FROM orders WHERE o_orderstatus IN ('F', 'O'))
+  FROM orders)
 SELECT business_id, metric_key, value, source FROM (SELECT *, row_number() OVER (PARTITION BY business_id, metric_key ORDER BY source DESC) AS j
   FROM last WHERE i = 1) WHERE j = 1"""
-O["ranking_upsert"] = sql(CORE[0], """SELECT topic_slug, business_id, coalesce(r.final_score, 1e0) AS final_score, coalesce(r.rank_position, 99) AS rank_position,
-  'kept ' || name AS strength FROM biz LEFT JOIN rnk r USING (topic_slug, business_id)""", CORE[1], RANK_CTES)
+O["ranking_upsert"] = sql(FULL[0], """SELECT topic_slug, business_id, coalesce(r.final_score, 1e0) AS final_score, coalesce(r.rank_position, 99) AS rank_position,
+  'kept ' || name AS strength FROM biz LEFT JOIN rnk r USING (topic_slug, business_id)""", FULL[1], RANK_CTES)
 O["replace_topic_rows"] = sql("biz", """SELECT business_id, topic_slug, '2024-01' AS run_id, 1 AS v FROM biz b
   WHERE NOT EXISTS (SELECT 1 FROM biz n WHERE n.topic_slug = b.topic_slug AND n.bal > 0 AND contains(n.topic_slug, 'building'))
   UNION ALL SELECT business_id, topic_slug, '2024-01', 2 FROM biz WHERE bal > 0 AND contains(topic_slug, 'building')""")
@@ -490,18 +491,23 @@ WHERE na <> '' AND nb <> '' AND (contains(na, nb) OR contains(nb, na) OR len(lis
   >= greatest(1, least(len(list_distinct(string_split(na, ' '))), len(list_distinct(string_split(nb, ' ')))) // 2))
 GROUP BY business_id""")
 O["serp_rank_join"] = sql("sig", "SELECT topic_slug, business_id, query_results, serp_rank::INT AS serp_rank, serp_rank IS NOT NULL AS mentioned FROM webhit")
-O["ai_mention_join"] = sql("sig", "SELECT topic_slug, business_id, mentioned FROM aihit")
+O["ai_mention_join"] = sql("sig", "SELECT topic_slug, business_id, coalesce(mentioned, false) AS mentioned, coalesce(recommended, '') AS recommended FROM aihit")
+O["topic_businesses"] = sql("biz", "SELECT topic_slug, business_id, name, place_id, website, lat, lng FROM biz")
+O["pillar_upsert"] = sql(FULL[0], "SELECT topic_slug, business_id, 'satisfaction' AS pillar, CASE WHEN n.pillar IS NULL THEN 1e0 ELSE " + pyround("n.raw", 2)
+    + " END AS raw_score, CASE WHEN n.pillar IS NULL THEN 2e0 ELSE n.pct END AS normalized_score FROM biz b LEFT JOIN (SELECT * FROM nrm WHERE pillar = 'satisfaction') n"
+    + " USING (topic_slug, business_id) UNION ALL SELECT topic_slug, business_id, pillar, " + pyround("raw", 2)
+    + ", pct FROM nrm WHERE pillar <> 'satisfaction'", FULL[1], RANK_CTES)
 
 O["place_normalise"] = sql("biz", """SELECT topic_slug, 0 AS pos, place_id, CASE WHEN k % 3 <> 0 OR k % 2 = 0 THEN name ELSE 'Unknown' END AS name, address,
-  CASE WHEN k % 4 = 0 OR phone IS NULL THEN '+1' ELSE phone END AS phone, website, domain, canonical_category AS category FROM biz""")
+  CASE WHEN k % 4 = 0 OR phone IS NULL THEN '+1' ELSE phone END AS phone, website, domain, canonical_category AS category, lat, lng FROM biz""")
 O["listing_normalise"] = sql("biz", """SELECT topic_slug, 0 AS pos, yelp_id, name, CASE WHEN k % 2 = 0 THEN address || ', Toronto' END AS address, phone, website, domain,
-  CASE WHEN k % 5 <> 0 THEN canonical_category END AS category, 'yelp' AS discovered_via, (k % 5)::DOUBLE AS rating, k AS review_count FROM biz""")
+  CASE WHEN k % 5 <> 0 THEN canonical_category END AS category, 'yelp' AS discovered_via, (k % 5)::DOUBLE AS rating, k AS review_count, lat, lng FROM biz""")
 O["serp_normalise"] = """WITH p AS (SELECT page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1) AS t FROM pages)
 SELECT page_id, i AS list_pos, CASE WHEN page_id % 2 = 0 THEN page_id::INT ELSE i + 1 END AS position, t AS title, url, NULL AS snippet
 FROM p, (VALUES (0), (1)) v(i) WHERE page_id % 3 = 0
 UNION ALL SELECT page_id, 0, 1, t, url, CASE WHEN page_id % 3 = 1 THEN 'd' ELSE 's' END FROM p WHERE page_id % 3 <> 0"""
 O["mention_normalise"] = """SELECT event_id, 2 AS count, 'https://reddit.com' || CASE WHEN event_id % 2 = 0 THEN '/r/' || event_id ELSE '' END AS url,
-  event_id AS score FROM events WHERE event_type = 'click'"""
+  event_id AS score FROM events"""
 O["domain_report_parse"] = """SELECT lower(s_name) AS domain, s_suppkey % 5 <> 0 OR s_suppkey % 3 <> 0 AS available,
   CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey::DOUBLE END AS organic_keywords, NULL::DOUBLE AS organic_traffic,
   CASE WHEN s_suppkey % 5 <> 0 THEN (2 * s_suppkey)::DOUBLE END AS organic_cost,
@@ -518,16 +524,16 @@ O["suggested_topics"] = sql("tn reg", """SELECT 'ramen-' || slug AS slug, 'Best
   (SELECT count(*) FROM tn WHERE n_name = reg.name)::DOUBLE AS hot_score, false AS included FROM reg
 UNION ALL SELECT regexp_replace(lower('best vegan ' || name || ' ' || slug), '[^a-z0-9]+', '-', 'g'), 'best Vegan ' || name, 'food', slug, 0e0, false FROM reg""")
 O["demand_count"] = "SELECT p_brand AS query, count(*) FILTER (p_size > 5 AND p_name <> '')::DOUBLE AS hot_score FROM part GROUP BY p_brand"
-PUB = "pub AS (SELECT r.*, name, place_id, website, address, phone, photo_url, google_rating AS rating, google_review_count AS rating_count FROM rnk r JOIN biz USING (topic_slug, business_id) JOIN met USING (topic_slug, business_id))"
-O["ranking_wide"] = sql(CORE[0], "SELECT topic_slug, business_id, rank_position, name, website, rating, rating_count FROM pub", CORE[1], RANK_CTES, PUB)
-O["export_csv_rows"] = sql(CORE[0], """SELECT topic_slug, rank_position, final_score, final_score AS presence_score, name,
-  substr(trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80) || '-' || right(place_id, 6) AS slug, place_id, website, address, phone,
-  photo_url, rating, rating_count::INT AS rating_count, '[]' AS strengths FROM pub""", CORE[1], RANK_CTES, PUB)
-O["export_json_docs"] = sql(CORE[0], """SELECT topic_slug, 0 AS part, count(*)::INT AS n, arg_min(substr(trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80)
+PUB = "pub AS (SELECT r.*, name, place_id, website, address, lat, lng, phone, photo_url, google_rating AS rating, google_review_count AS rating_count FROM rnk r JOIN biz USING (topic_slug, business_id) JOIN met USING (topic_slug, business_id))"
+O["ranking_wide"] = sql(FULL[0], "SELECT topic_slug, business_id, rank_position, name, website, rating, rating_count FROM pub", FULL[1], RANK_CTES, PUB)
+O["export_csv_rows"] = sql(FULL[0], """SELECT topic_slug, rank_position, final_score, final_score AS presence_score, name,
+  substr(trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80) || '-' || right(place_id, 6) AS slug, place_id, website, address, lat, lng, phone,
+  photo_url, rating, rating_count::INT AS rating_count, '[]' AS strengths FROM pub""", FULL[1], RANK_CTES, PUB)
+O["export_json_docs"] = sql(FULL[0], """SELECT topic_slug, 0 AS part, count(*)::INT AS n, arg_min(substr(trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80)
   || '-' || right(place_id, 6), rank_position) AS first_slug, max(rank_position) AS last_rank FROM pub GROUP BY topic_slug
-  UNION ALL SELECT 'empty-topic', 0, 0, NULL, NULL""", CORE[1], RANK_CTES, PUB)
-O["strengths_context"] = sql(CORE[0] + " rev", """SELECT topic_slug, p.business_id, name, rank_position, """ + pyround("final_score", 1) + """ AS ranking_score,
+  UNION ALL SELECT 'empty-topic', 0, 0, NULL, NULL""", FULL[1], RANK_CTES, PUB)
+O["strengths_context"] = sql(FULL[0] + " rev", """SELECT topic_slug, p.business_id, name, rank_position, """ + pyround("final_score", 1) + """ AS ranking_score,
   rating_count::BIGINT AS google_review_count, round_even(""" + pyround("satisfaction", 1) + """, 0)::INT AS satisfaction,
   least(6, coalesce(s.n, 0))::INT AS n_snippets, coalesce(s.n, 0) > 0 AS has_snippets_key FROM pub p LEFT JOIN (
     SELECT business_id, count(*) AS n FROM rev WHERE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) > 20 GROUP BY 1) s ON s.business_id = p.business_id""",
-    CORE[1], RANK_CTES, PUB)
+    FULL[1], RANK_CTES, PUB)

@@ -33,8 +33,9 @@ def lexicon(spark) -> DataFrame:
 
 @view
 def scored_reviews(spark, d) -> DataFrame:
-    return sentiment.text_scores(D.reviews(spark, d), lexicon(spark), negations=D.NEGATIONS, boosters=D.BOOSTERS,
-                                 flags=sentiment.review_flags(D.ASPECT_WORDS, D.COMPLAINTS))
+    scores = sentiment.text_scores(D.documents(spark, d), lexicon(spark), ["doc_id"], D.NEGATIONS, D.BOOSTERS,
+                                   sentiment.review_flags(D.ASPECT_WORDS, D.COMPLAINTS))
+    return D.reviewed(spark, d, scores)
 
 
 @view
@@ -45,7 +46,7 @@ def signal_rows(spark, d) -> DataFrame:
     ai = signals.list_mentions(linked, D.recommended(spark, d))
     at = "2024-01-15"
     return (signals.as_raw(web, "web_search", ["query_results", "serp_rank", "mentioned"], D.RUN, at, True)
-            .unionByName(signals.as_raw(ai, "ai_search", ["mentioned"], D.RUN, at, True)))
+            .unionByName(signals.as_raw(ai, "ai_search", ["mentioned", "recommended"], D.RUN, at, True)))
 
 
 @view
@@ -56,27 +57,18 @@ def wide_without_reviews(spark, d) -> DataFrame:
 
 @view
 def all_metrics(spark, d) -> DataFrame:
-    recency = M.review_recency(D.reviews(spark, d), D.AS_OF)
+    recency = M.review_recency(D.reviewed(spark, d, D.documents(spark, d).select("doc_id")), D.AS_OF)
     reviews = sentiment.review_metrics(scored_reviews(spark, d)).join(recency, ["run_id", "business_id"], "left")
     return M.wide_metrics(D.links(spark, d), M.business_features(D.raw_payloads(spark, d)),
                           M.topic_features(signal_rows(spark, d)), reviews)
 
 
-@view
-def core_metrics(spark, d) -> DataFrame:
-    """Metrics that need orders, events and pages only: the input of the scoring queries."""
-    none = D.links(spark, d).select(*scoring.IDS, F.lit(None).cast("boolean").alias("web_mentioned"),
-                                    F.lit(None).cast("long").alias("serp_rank"),
-                                    F.lit(None).cast("boolean").alias("ai_mentioned")).limit(0)
-    return M.wide_metrics(D.links(spark, d), M.business_features(D.raw_payloads(spark, d)), none)
-
-
-def core_pillars(spark, d) -> DataFrame:
-    return scoring.normalise_pillars(scoring.pillar_rows(core_metrics(spark, d)))
+def pillars(spark, d) -> DataFrame:
+    return scoring.normalise_pillars(scoring.pillar_rows(all_metrics(spark, d)))
 
 
-def core_ranked(spark, d) -> DataFrame:
-    return scoring.rank_topics(scoring.finals(core_pillars(spark, d)))
+def ranked(spark, d) -> DataFrame:
+    return scoring.rank_topics(scoring.finals(pillars(spark, d)))
 
 
 @view
@@ -160,10 +152,9 @@ def metric_unpivot(spark, d):
 
 @query
 def metric_pivot(spark, d):
-    long = M.unpivot_metrics(core_metrics(spark, d))
-    return scoring.pivot_metrics(long).select(
-        "topic_slug", "business_id", "google_rating", "google_review_count", "yelp_rating", "pop_review_volume",
-        "pop_cross_platform", "pop_reddit_mentions", "digital_has_website", "digital_seo_score", "search_authority")
+    wide = scoring.pivot_metrics(M.unpivot_metrics(all_metrics(spark, d)))
+    keys = [k.replace(".", "_") for k in fixed.METRIC_SOURCES]
+    return short(wide.select("topic_slug", "business_id", *[F.col(k).cast("double").alias(k) for k in keys]), *keys)
 
 
 @query
@@ -175,7 +166,7 @@ def transform_stage(spark, d):
 @query
 def source_payload_map(spark, d):
     m = payloads.source_map(D.raw_payloads(spark, d))
-    return m.select("business_id", *[F.col(s).isNotNull().alias(f"has_{s}") for s in ("google_places", "yelp", "site",
+    return m.select("business_id", "topic_slug", *[F.col(s).isNotNull().alias(f"has_{s}") for s in ("google_places", "yelp", "site",
                                                                                     "firecrawl", "semrush", "reddit")])
 
 
@@ -212,7 +203,7 @@ def review_text_extraction(spark, d):
 
 @query
 def upper_median_recency(spark, d):
-    return M.review_recency(D.reviews(spark, d), D.AS_OF).drop("run_id")
+    return M.review_recency(D.reviewed(spark, d, D.documents(spark, d).select("doc_id")), D.AS_OF).drop("run_id")
 
 
 @query
@@ -227,7 +218,9 @@ def order_recency(spark, d):
 
 @query
 def keyword_rates(spark, d):
-    return sentiment.keyword_rates(D.reviews(spark, d), sentiment.review_flags(D.ASPECT_WORDS, D.COMPLAINTS)).drop("run_id")
+    flags = sentiment.review_flags(D.ASPECT_WORDS, D.COMPLAINTS)
+    flagged = D.documents(spark, d).withColumn("low", F.lower("text")).select("doc_id", *[c.alias(n) for n, c in flags.items()])
+    return sentiment.flag_rates(D.reviewed(spark, d, flagged), list(flags)).drop("run_id")
 
 
 @query
@@ -246,9 +239,13 @@ def aspect_mean(spark, d):
     return short(m, *[c for c in m.columns if c != "business_id"])
 
 
+def snippets(spark, d) -> DataFrame:
+    return P.shortest_snippets(D.reviewed(spark, d, P.cut_snippets(D.documents(spark, d))))
+
+
 @query
 def review_snippets(spark, d):
-    s = P.review_snippets(D.reviews(spark, d))
+    s = snippets(spark, d)
     return s.select("business_id", F.col("n"), F.md5("snippet").alias("snippet_md5"))
 
 
@@ -269,17 +266,16 @@ for _p in fixed.PILLARS:
 
 @query
 def midrank_percentile(spark, d):
-    p = core_pillars(spark, d)
-    return p.where("pillar in ('satisfaction', 'popularity', 'digital')").select(
-        "topic_slug", "business_id", "pillar", "normalized_score")
+    return pillars(spark, d).select("topic_slug", "business_id", "pillar", "normalized_score")
 
 
 @query
 def midrank_percentile_imputed(spark, d):
-    """Customers without any order count as neutral in their segment."""
+    """Customers without an urgent order count as neutral in their segment."""
     c = D.table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    o = D.table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").groupBy("o_custkey").count()
-    v = c.join(o, F.col("c_custkey") == F.col("o_custkey"), "left").withColumn("raw", F.col("count").cast("double"))
+    urgent = F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1))
+    o = D.table(spark, d, "orders").groupBy("o_custkey").agg(urgent.alias("n"))
+    v = c.join(o, F.col("c_custkey") == F.col("o_custkey"), "left").withColumn("raw", F.when(F.col("n") > 0, F.col("n").cast("double")))
     return ranks.midrank_percentile(v, ["c_mktsegment"], "raw", "pct", impute=50.0).select("c_custkey", "c_mktsegment", "pct")
 
 
@@ -287,48 +283,48 @@ def midrank_percentile_imputed(spark, d):
 def midrank_percentile_skew(spark, d):
     """All line items ranked by price inside three big, uneven groups."""
     li = D.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
-    out = ranks.midrank_percentile(li, ["l_returnflag"], "l_extendedprice", "pct", lo=0.0, hi=110000.0)
+    out = ranks.midrank_percentile(li, ["l_returnflag"], "l_extendedprice", "pct")
     return out.groupBy("l_returnflag", "l_extendedprice").agg(F.max("pct").alias("pct"), F.count(F.lit(1)).alias("n"))
 
 
 @query
 def position_in_skewed_groups(spark, d):
-    """Line items numbered inside three big groups, with the range-partitioned plan."""
+    """Line items numbered inside three big groups."""
     li = D.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                               "l_returnflag", "l_extendedprice")
     order = [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
              F.col("l_suppkey"), F.col("l_quantity")]
-    out = ranks.position_in_groups(li, ["l_returnflag"], order, "place", max_group_rows=max(1000, li.count() // 20))
+    out = ranks.position_in_groups(li, ["l_returnflag"], order, "place")
     return out.select("l_returnflag", "place", "l_extendedprice", "l_orderkey", "l_linenumber")
 
 
 @query
 def weighted_final(spark, d):
-    return scoring.finals(core_pillars(spark, d)).select("topic_slug", "business_id", "final_score")
+    return scoring.finals(pillars(spark, d)).select("topic_slug", "business_id", "final_score")
 
 
 @query
 def final_rank(spark, d):
-    return core_ranked(spark, d).select("topic_slug", "business_id", "final_score", "rank_position")
+    return ranked(spark, d).select("topic_slug", "business_id", "final_score", "rank_position")
 
 
 @query
 def pillar_scores_table(spark, d):
-    return scoring.pillar_scores(core_pillars(spark, d)).select("topic_slug", "business_id", "pillar", "raw_score",
+    return scoring.pillar_scores(pillars(spark, d)).select("topic_slug", "business_id", "pillar", "raw_score",
                                                                "normalized_score")
 
 
 @query
 def pillar_breakdown_long(spark, d):
-    r = scoring.rankings(core_ranked(spark, d))
+    r = scoring.rankings(ranked(spark, d))
     return r.select("topic_slug", "business_id", F.explode("pillar_breakdown").alias("pillar", "score"))
 
 
 @query
 def flagship_rank(spark, d):
     """Landed payloads, reviews, search lists and recommendations -> ranked topics, end to end."""
-    ranked = scoring.score(all_metrics(spark, d))
-    return ranked.select("topic_slug", "rank_position", "business_id", "final_score", *fixed.PILLARS)
+    rows = scoring.score(all_metrics(spark, d))
+    return rows.select("topic_slug", "rank_position", "business_id", "final_score", *fixed.PILLARS)
 
 
 # --- pages and names ----------------------------------------------------------------------
@@ -500,7 +496,7 @@ def metric_upsert(spark, d):
     def last(status):
         return U.latest_by_key(base.where(F.col("source") == status), ["business_id", "topic_slug", "run_id", "metric_key"],
                                ["o_orderkey"]).drop("o_orderkey")
-    return U.save_metrics(last("F"), last("O")).drop("topic_slug", "run_id")
+    return U.save_metrics(U.save_metrics(last("F"), last("O")), last("P")).drop("topic_slug", "run_id")
 
 
 @query
@@ -509,11 +505,20 @@ def ranking_upsert(spark, d):
     old = D.businesses(spark, d).select(
         "topic_slug", "business_id", F.lit(D.RUN).alias("run_id"), F.lit(1.0).alias("final_score"),
         F.lit(99).alias("rank_position"), F.array(F.concat(F.lit("kept "), "name")).alias("strengths"))
-    new = core_ranked(spark, d).select("topic_slug", "business_id", "run_id", "final_score", "rank_position")
+    new = ranked(spark, d).select("topic_slug", "business_id", "run_id", "final_score", "rank_position")
     return U.merge(old, new, ["topic_slug", "business_id", "run_id"], keep=["strengths"]).select(
         "topic_slug", "business_id", "final_score", "rank_position", F.get("strengths", F.lit(0)).alias("strength"))
 
 
+@query
+def pillar_upsert(spark, d):
+    """A second scoring replaces the pillar scores of the topics it covers."""
+    keys = [F.col("topic_slug"), F.col("business_id"), F.lit(D.RUN).alias("run_id"), F.lit("satisfaction").alias("pillar")]
+    old = D.businesses(spark, d).select(*keys, F.lit(1.0).alias("raw_score"), F.lit(2.0).alias("normalized_score"))
+    new = scoring.pillar_scores(pillars(spark, d)).select("topic_slug", "business_id", "run_id", "pillar", "raw_score", "normalized_score")
+    return U.save_pillar_scores(old, new).drop("run_id")
+
+
 @query
 def replace_topic_rows(spark, d):
     """Default re-run policy: a topic's rows of the run are replaced as a whole."""
@@ -591,6 +596,13 @@ def platform_match_geo(spark, d):
     return E.match_platform(b, listings)
 
 
+@query
+def topic_businesses(spark, d):
+    """Every (topic, business) of the run with its master record."""
+    return E.businesses_of_topics(D.links(spark, d), master(spark, d)).select(
+        "topic_slug", "business_id", "name", "place_id", "website", "lat", "lng")
+
+
 @query
 def serp_rank_join(spark, d):
     return signals.serp_mentions(D.linked_names(spark, d), D.serp(spark, d)).drop("run_id")
@@ -598,7 +610,7 @@ def serp_rank_join(spark, d):
 
 @query
 def ai_mention_join(spark, d):
-    return signals.list_mentions(D.linked_names(spark, d), D.recommended(spark, d)).drop("run_id")
+    return signals.list_mentions(D.linked_names(spark, d), D.recommended(spark, d)).drop("run_id").withColumn("recommended", F.array_join("recommended", "|"))
 
 
 # --- provider responses ------------------------------------------------------------------------------
@@ -615,7 +627,7 @@ def place_normalise(spark, d):
         F.lit("+1").alias("internationalPhoneNumber"), F.col("website").alias("websiteUri"),
         F.col("canonical_category").alias("primaryType"))
     r = b.select("topic_slug", F.to_json(F.struct(F.array(place).alias("places"))).alias("response"))
-    return providers.places(r, ["topic_slug"]).drop("lat", "lng")
+    return providers.places(r, ["topic_slug"])
 
 
 @query
@@ -631,7 +643,7 @@ def listing_normalise(spark, d):
         F.when(k % 5 != 0, F.array(F.struct(F.col("canonical_category").alias("alias")), F.struct(F.lit("x").alias("alias"))))
         .alias("categories"), (k % 5).cast("double").alias("rating"), k.alias("review_count"))
     r = b.select("topic_slug", F.to_json(F.struct(F.array(item).alias("businesses"))).alias("response"))
-    return providers.listings(r, ["topic_slug"]).drop("lat", "lng")
+    return providers.listings(r, ["topic_slug"])
 
 
 @query
@@ -651,7 +663,7 @@ def serp_normalise(spark, d):
 
 @query
 def mention_normalise(spark, d):
-    e = D.table(spark, d, "events").where("event_type = 'click'")
+    e = D.table(spark, d, "events")
     k = F.col("event_id")
     child = F.struct(F.struct(F.col("event_type").alias("title"), k.alias("score"),
                               F.when(k % 2 == 0, F.concat(F.lit("/r/"), k.cast("string"))).alias("permalink")).alias("data"))
@@ -719,9 +731,9 @@ def demand_count(spark, d):
 # --- publishing -----------------------------------------------------------------------------------------
 
 def published(spark, d) -> DataFrame:
-    core = staged(core_metrics(spark, d), "core-metrics")
-    ranked = scoring.rankings(scoring.score(core))
-    return P.ranking_wide(ranked, D.businesses(spark, d), M.unpivot_metrics(core))
+    wide = staged(all_metrics(spark, d), "all-metrics")
+    rows = scoring.rankings(scoring.score(wide))
+    return P.ranking_wide(rows, D.businesses(spark, d), M.unpivot_metrics(wide))
 
 
 @query
@@ -731,13 +743,13 @@ def ranking_wide(spark, d):
 
 @query
 def export_csv_rows(spark, d):
-    return P.csv_rows(P.export_rows(published(spark, d))).drop("lat", "lng")
+    return P.csv_rows(P.export_rows(published(spark, d)))
 
 
 @query
 def export_json_docs(spark, d):
     every = D.topics(spark, d).select("slug").unionByName(small_table(spark, [("empty-topic",)], ["slug"]))
-    docs = P.topic_documents(P.export_rows(published(spark, d)), every, D.RUN)
+    docs = P.topic_documents(P.export_rows(published(spark, d)), every, D.RUN, 1_000_000)
     r = F.col("rankings")
     return docs.select("topic_slug", "part", F.size(r).alias("n"), F.get(r, F.lit(0))["slug"].alias("first_slug"),
                        F.get(r, F.size(r) - 1)["rank_position"].alias("last_rank"))
@@ -745,10 +757,10 @@ def export_json_docs(spark, d):
 
 @query
 def strengths_context(spark, d):
-    core = staged(core_metrics(spark, d), "core-metrics")
+    wide = staged(all_metrics(spark, d), "all-metrics")
     b = D.businesses(spark, d).select("business_id", "name")
-    ranked = scoring.rankings(scoring.score(core)).join(b, "business_id")
-    c = P.strengths_context(ranked, core, P.snippet_lists(P.review_snippets(D.reviews(spark, d))))
+    rows = scoring.rankings(scoring.score(wide)).join(b, "business_id")
+    c = P.strengths_context(rows, wide, P.snippet_lists(snippets(spark, d)))
     got = F.from_json("context", "struct<name:string,rank_position:int,ranking_score:double,google_review_count:long,"
                                  "pillar_percentiles:map<string,int>,review_highlights:array<string>>")
     c = c.withColumn("c", got)

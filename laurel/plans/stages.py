@@ -57,12 +57,6 @@ def discover(w: Warehouse, landed: dict[str, DataFrame], run_id: str, depth: int
         w.replace_run(name, rows, run_id)
 
 
-def linked_businesses(w: Warehouse, run_id: str) -> DataFrame:
-    """Every (topic, business) of the run with the business fields."""
-    b = w.latest("businesses", run_id)
-    return w.run("business_topics", run_id).select("business_id", "topic_slug", "run_id").join(b, "business_id")
-
-
 def collect(w: Warehouse, landed: dict[str, DataFrame], run_id: str, at: str) -> None:
     """Landed source data -> raw rows.  Every input is optional:
 
@@ -114,12 +108,14 @@ def collect(w: Warehouse, landed: dict[str, DataFrame], run_id: str, at: str) ->
     with_site = site.where(has_text(F.col("website")))
     add(E.not_yet_collected(with_site, raw, run_id, "site"), "site", ["website"])
     if "pages" in landed:
-        pages = landed["pages"].select(F.col("url").alias("_url"), "html", "markdown")
+        pages = landed["pages"].select(F.col("url").alias("_url"), "html", "markdown")  # both null: the crawl failed
         fetched = with_site.withColumn("url", with_scheme(F.col("website"))).join(pages, F.col("url") == F.col("_url"))
         audits = signals.website_audit(fetched, ["business_id"])
         add(audits, "firecrawl", [c for c in audits.columns if c != "business_id"])
-    if "rank_reports" in landed and "link_reports" in landed:
-        reports = providers.domain_reports(landed["rank_reports"], landed["link_reports"])
+    if "rank_reports" in landed or "link_reports" in landed:
+        # either kind of report will do
+        none = w.spark.createDataFrame([], "domain string, report string")
+        reports = providers.domain_reports(landed.get("rank_reports", none), landed.get("link_reports", none))
         by_domain = with_site.select("business_id", domain_of(F.col("website")).alias("domain")).where("domain is not null")
         add(by_domain.join(reports, "domain"), "semrush", reports.columns)
     if "forum" in landed:
@@ -129,7 +125,7 @@ def collect(w: Warehouse, landed: dict[str, DataFrame], run_id: str, at: str) ->
     if "serp" in landed:
         add(signals.serp_mentions(named, landed["serp"]), "web_search", ["query_results", "serp_rank", "mentioned"], True)
     if "recommended" in landed:
-        add(signals.list_mentions(named, landed["recommended"]), "ai_search", ["mentioned"], True)
+        add(signals.list_mentions(named, landed["recommended"]), "ai_search", ["mentioned", "recommended"], True)
 
     # everything is read before anything is replaced
     batch = staged(U.union_all(new), "raw-batch") if new else None
@@ -180,9 +176,9 @@ def photos(w: Warehouse, landed: DataFrame, run_id: str) -> None:
     w.snapshot("businesses", U.set_photos(master, got.where(has_text(F.col("photo_url")))), run_id)
 
 
-def export(w: Warehouse, run_id: str, out: str) -> bool:
-    """JSON documents per topic and the combined CSV; False when there was nothing for the CSV."""
+def export(w: Warehouse, run_id: str, out: str, part_ranks: int = 10_000) -> bool:
+    """JSON documents per topic (of at most part_ranks rankings each) and the combined CSV; False when there was nothing for the CSV."""
     wide = P.ranking_wide(w.run("rankings", run_id), w.latest("businesses", run_id), w.run("metrics", run_id))
     rows = staged(P.export_rows(wide), "export-rows")
-    sinks.write_documents(P.topic_documents(rows, included(w, run_id), run_id), f"{out}/topics")
+    sinks.write_documents(P.topic_documents(rows, included(w, run_id), run_id, part_ranks), f"{out}/topics")
     return sinks.write_csv(rows, f"{out}/rankings_csv/run_id={run_id}")

@@ -1,6 +1,5 @@
 """Table and payload schemas (DDL strings)."""
 
-RUNS = "id string, started_at timestamp, finished_at timestamp, notes string"
 REGIONS = ("slug string, name string, parent_slug string, center_lat double, center_lng double, "
            "search_radius_m int, is_neighbourhood boolean")
 TOPICS = ("slug string, title string, description string, category string, region_slug string, "

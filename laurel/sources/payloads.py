@@ -13,11 +13,6 @@ def typed(source: str, payload: str = "payload", source_col: str = "source") ->
     return F.when(F.col(source_col) == source, parsed)
 
 
-def read_raw(spark, path: str) -> DataFrame:
-    """Landed raw rows (JSON lines); run_id and source partitions prune."""
-    return spark.read.schema(schemas.RAW).json(path)
-
-
 def parse_payloads(raw: DataFrame) -> DataFrame:
     """Raw rows with one typed struct column per source."""
     return raw.select("business_id", "topic_slug", "source", "run_id", "collected_at",
@@ -25,15 +20,16 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
 
 
 def source_map(raw: DataFrame) -> DataFrame:
-    """One row per (business, run) with the payload of each source."""
-    return (raw.groupBy("business_id", "run_id")
+    """One row per (business, topic, run) with the payload of each source; sources that know no topic have a null one."""
+    return (raw.groupBy("business_id", "topic_slug", "run_id")
             .agg(*[F.max(F.when(F.col("source") == s, F.col("payload"))).alias(s) for s in schemas.PAYLOADS]))
 
 
 def review_rows(raw: DataFrame) -> DataFrame:
     """Non-empty review texts, place provider first, with their place in the list.
 
-    A text may be a plain string or an object with a text field.
+    A text may be a plain string or an object with a text field; a plain one
+    may begin with a brace.
     """
     g, y = typed("google_places"), typed("yelp")
     wanted = raw.where(F.col("source").isin("google_places", "yelp"))
@@ -41,7 +37,8 @@ def review_rows(raw: DataFrame) -> DataFrame:
         "run_id", "business_id", "source",
         F.posexplode(F.coalesce(
             F.transform(g["reviews"], lambda r: F.struct(
-                F.when(F.ltrim(r["text"]).startswith("{"), F.get_json_object(r["text"], "$.text"))
+                F.when(F.ltrim(r["text"]).startswith("{") & F.get_json_object(r["text"], "$").isNotNull(),
+                       F.get_json_object(r["text"], "$.text"))
                 .otherwise(r["text"]).alias("text"), r["publishTime"].alias("publish_time"))),
             F.transform(y["reviews"], lambda r: F.struct(
                 r["text"].alias("text"), F.lit(None).cast("string").alias("publish_time"))),

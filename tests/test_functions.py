@@ -65,6 +65,11 @@ def test_titles(spark):
         ["coffee"], ["tea", "toast"]]
 
 
+def test_single_quotes_are_no_json(spark):
+    row = spark.createDataFrame([("['Blue', 'Red']",)], "x string").select(X.name_list(F.col("x")).alias("n"), X.topic_ideas(F.col("x")).alias("t")).first()
+    assert row["n"] == ["['Blue', 'Red']"] and row["t"] == []
+
+
 def test_name_list(spark):
     replies = ['["A", " B ", ""]', 'Sure!\n["A", "B"]\nBye', "- A\n* B\n\n", "1. A\n2) B", "", "[oops, not json\n3. C]", None,
                "\n".join(f"{i}. n{i}" for i in range(15))]

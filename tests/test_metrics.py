@@ -131,6 +131,8 @@ def test_sentiment_rules(spark):
     assert got[3] == compound((2 + 0.293 + 0.293 * 0.9) * -0.74)
     assert got[4] == compound(-2.0) and got[5] == compound(-2.293) and got[6] == got[7] == 0.0
     assert got[8] == compound(2.0) and got[9] == compound(2 + 0.293 * 0.9)
+    again = {r["i"]: r["compound"] for r in T.text_scores(df, lex.unionByName(lex), ["i"]).collect()}
+    assert again == got  # a repeated term counts once
 
 
 def test_review_metrics_and_summary(spark):

@@ -1,11 +1,14 @@
 import json
+import random
+import re
 
 from pyspark.sql import functions as F
 
-from laurel import schemas
+from laurel import fixed, schemas
 from laurel.operators import publish as P
 from laurel.operators import signals as G
 from laurel.sources import catalog as K
+from laurel.sources import payloads
 from laurel.sources import providers as V
 
 
@@ -109,15 +112,62 @@ def test_list_mentions(spark):
     assert got == {"0": True, "1": True, "2": False, "3": False}
 
 
+def test_mentions_in_long_lists_against_brute_force(spark):
+    rng = random.Random(3)
+    word = lambda: rng.choice(["blue", "moon", "fox", "an", "grill", "cafe", "the", "x1", "diner", "red"])
+    names = [(" ".join(word() for _ in range(rng.randint(1, 3))), rng.choice([None, "", "a.com", "blue.org", "x"])) for _ in range(60)]
+    title = lambda: " ".join(word() for _ in range(rng.randint(0, 9)))
+    found = [("t", i, 2 * i + 1, title(), rng.choice([None, f"http://w.a.com/{i}", "https://blue.org/?q=x"]), rng.choice([None, title()]))
+             for i in range(5_000)]
+    found = found[:4_000] + [("other", *r[1:]) for r in found[4_000:]]
+    results = spark.createDataFrame(found, "topic_slug string, list_pos int, position int, title string, url string, snippet string")
+    norm = lambda s: " ".join(w for w in re.findall("[a-z0-9]+", (s or "").lower()) if w not in fixed.SIGNAL_STOP_WORDS)
+    inside = lambda a, b: len(norm(a)) >= 3 and norm(a) in norm(b)
+    got = {r["business_id"]: r for r in G.serp_mentions(linked(spark, names), results).collect()}
+    assert len(got) == len(names)
+    for i, (n, d) in enumerate(names):
+        hit = [p for t, _, p, a, u, s in found if t == "t" and (inside(n, a) or inside(n, s) or (d and d in (u or "")))]
+        assert (got[str(i)]["serp_rank"], got[str(i)]["query_results"]) == (hit[0] if hit else None, 4_000)
+    listed = [("t", i, title()) for i in range(0, 3_000)]
+    rec = spark.createDataFrame(listed, "topic_slug string, list_pos int, name string")
+    got = {r["business_id"]: (r["mentioned"], r["recommended"]) for r in G.list_mentions(linked(spark, names), rec).collect()}
+    for i, (n, _) in enumerate(names):
+        hit = [x for _, _, x in listed if inside(n, x) or inside(x, n)]
+        assert got[str(i)] == (bool(hit), hit)
+
+
+def test_failed_crawl_scores_nothing(spark):
+    from laurel.functions import ratings
+    pages = spark.createDataFrame([("a", "https://a.com", None, None), ("b", "https://b.com", "", None)], "id string, url string, html string, markdown string")
+    audits = G.website_audit(pages, ["id"])
+    flags = ("fetched", "is_https", "has_viewport", "has_schema_org", "has_open_graph", "has_canonical", "h1_count", "word_count")
+    got = {r["id"]: (r["fetched"], r["p"]) for r in audits.withColumn("p", ratings.seo_points(*[F.col(c) for c in flags])).collect()}
+    assert got == {"a": (False, 0.0), "b": (True, 25.0)}
+
+
+def test_review_texts_that_begin_with_a_brace(spark):
+    payload = json.dumps({"reviews": [{"text": "{really} good"}, {"text": {"text": "an object"}}, {"text": "plain"}]})
+    raw = spark.createDataFrame([("b", None, "google_places", "r", None, payload)],
+                                "business_id string, topic_slug string, source string, run_id string, collected_at timestamp, payload string")
+    assert [r["text"] for r in payloads.review_texts(raw).orderBy("pos").collect()] == ["{really} good", "an object", "plain"]
+
+
+def test_source_map_keeps_topics_apart(spark):
+    rows = [("b", t, "web_search", "r", None, json.dumps({"serp_rank": n})) for t, n in (("t1", 1), ("t2", 2))]
+    raw = spark.createDataFrame(rows, "business_id string, topic_slug string, source string, run_id string, collected_at timestamp, payload string")
+    got = {r["topic_slug"]: json.loads(r["web_search"])["serp_rank"] for r in payloads.source_map(raw).collect()}
+    assert got == {"t1": 1, "t2": 2}
+
+
 def test_documents_and_csv(spark, tmp_path):
     from laurel.sources import sinks
     P_rows = [("2026-01", "t", i, 50.0, 50.0, f"n{i}", f"s{i}", "P", None, None, None, None, None, None, None, None, ["a \"b\""], {"ai": 1.0})
-              for i in range(1, P.DOC_RANKS + 6)]
+              for i in range(1, 1006)]
     rows = spark.createDataFrame(P_rows, "run_id string, topic_slug string, rank_position int, final_score double, presence_score double, name string,"
                                  "slug string, place_id string, website string, address string, lat double, lng double, phone string,"
                                  "photo_url string, rating double, rating_count int, strengths array<string>, pillar_breakdown map<string,double>")
     topics = spark.createDataFrame([("t",), ("empty",)], "slug string")
-    docs = P.topic_documents(rows, topics, "2026-01")
+    docs = P.topic_documents(rows, topics, "2026-01", part_ranks=1000)
     got = {(d["topic_slug"], d["part"]): [r["rank_position"] for r in d["rankings"]] for d in docs.collect()}
     assert got == {("t", 0): list(range(1, 1001)), ("t", 1): list(range(1001, 1006)), ("empty", 0): []}
     sinks.write_documents(docs, str(tmp_path / "json"))
