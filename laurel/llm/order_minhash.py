@@ -3,7 +3,8 @@
 A text is the sequence of its 5-word windows, each labelled with how often it has occurred before in the text.  For each of TABLES hash
 orders the SAMPLE smallest labelled windows are kept in the order of the text and hashed to a bucket: texts share a bucket only if the same
 windows come in the same order.  Each bucket pairs its members with two members of it picked by hash; members that verification
-leaves outside the component of the picked one are then compared with the rest of their bucket, so that no link is lost to the choice.
+leaves outside the component of the picked one then meet the rest of their bucket, so that no link is lost to the choice.  Of these
+pairs only those are aligned whose bit maps of windows leave the threshold within reach.
 
 Pairs are verified by alignment of the window sequences inside the band that the threshold allows: with A aligned windows of m and n, the
 similarity is A / (m + n - A).  A text of 1 to 4 words is one window.  Texts without words are alike only if equal.
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -32,6 +35,8 @@ WINDOW, THRESHOLD = 5, 0.8
 SAMPLE, TABLES = 6, 28
 #: Words whose hashes a worker remembers; windows that are hashed for all tables at once.
 MEMO, SLICE = 500_000, 8_192
+#: 64-bit words of a text's map of windows.
+MAP = 32
 
 
 def window_hashes(words: list[str], memo: dict[str, int]) -> np.ndarray:
@@ -167,6 +172,37 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select(node_name("low_a", "high_a").alias("a"), node_name("low_b", "high_b").alias("b"))
 
 
+def window_map(text: Column) -> Column:
+    """One bit for the hash of each labelled window of a text, in MAP longs."""
+
+    @F.pandas_udf("array<long>")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo: dict[str, int] = {}
+        for texts in parts:
+            out = []
+            for t in texts:
+                words, flags = words_of(t), np.zeros(64 * MAP, np.uint8)
+                if words:
+                    flags[(window_hashes(words, memo) % np.uint64(64 * MAP)).astype(np.int64)] = 1
+                out.append(np.packbits(flags, bitorder="little").view("<i8"))
+            yield pd.Series(out, dtype=object)
+
+    return run(text)
+
+
+def may_be_alike(n: str, map_: str, other_n: str, other_map: str) -> Column:
+    """Whether two numbers of words and maps of windows allow the threshold.
+
+    Each bit that only one map has stands for a window at least that the other text has not, so what is left bounds what they share.
+    """
+    windows = lambda c: F.greatest(F.col(c) - (WINDOW - 1), F.lit(1))
+    only = lambda a, b: reduce(add, [F.bit_count(F.col(a)[i].bitwiseAND(F.bitwise_not(F.col(b)[i]))) for i in range(MAP)])
+    need = (windows(n) + windows(other_n)) * (THRESHOLD / (1 + THRESHOLD)) - 1e-9
+    # lengths first: they rule out most pairs before any map is looked at
+    return ((F.least(windows(n), windows(other_n)) >= need) & (windows(n) - only(map_, other_map) >= need)
+            & (windows(other_n) - only(other_map, map_) >= need))
+
+
 def node_name(low: str, high: str) -> Column:
     return F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.hex(low), 16, "0"))
 
@@ -191,26 +227,24 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
     nodes = docs.select(*node_of(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = staged(nodes.join(wanted, ["low", "high"], "left_semi").groupBy("low", "high").agg(F.first("text").alias("text")), "omh-texts")
     first = staged(verified(stars, texts), "omh-links")
-    second = staged(verified(outsiders(members, components(first), stars), texts), "omh-links")
+    second = staged(verified(outsiders(members, components(first), stars, texts), texts), "omh-links")
     return first.unionByName(second)
 
 
-def outsiders(members: DataFrame, roots: DataFrame, tried: DataFrame) -> DataFrame:
-    """Untried pairs of a bucket: members outside the picked one's component against the members of other components.
-
-    The number of windows alone rules out most of them: texts as alike as the threshold differ in length by a bounded factor.
-    """
+def outsiders(members: DataFrame, roots: DataFrame, tried: DataFrame, texts: DataFrame) -> DataFrame:
+    """Untried pairs of a bucket that may be alike: members outside the picked one's component against those of other components."""
     name = lambda s: node_name(f"low{s}", f"high{s}")
     of = lambda s: roots.select(F.col("node").alias(f"_n{s}"), F.col("root").alias(f"_r{s}"))
     known = (members.withColumns({"_n": name(""), "_np": name("_p")}).join(of(""), "_n", "left").join(of("p"), "_np", "left")
              .select("bucket", "low", "high", "n", F.coalesce("_r", "_n").alias("root"), F.coalesce("_rp", "_np").alias("main")))
     known = staged(known.distinct(), "omh-members")
-    out = known.where("root != main").select("bucket", *[F.col(c).alias(f"_{c}") for c in ("low", "high", "n", "root", "main")])
-    windows = lambda c: F.greatest(F.col(c) - (WINDOW - 1), F.lit(1))
-    fits = F.least(windows("n"), windows("_n")) >= THRESHOLD * F.greatest(windows("n"), windows("_n"))
+    left = known.where("root != main").select("bucket").distinct()
+    maps = texts.select("low", "high", window_map(F.col("text")).alias("map"))
+    known = staged(known.join(left, "bucket", "left_semi").join(maps, ["low", "high"]), "omh-outsiders")
+    out = known.where("root != main").toDF(*[f"_{c}" for c in known.columns])
     # of two outsiders one meets the other; the rest of the bucket is met by every outsider
-    once = (F.col("root") == F.col("main")) | (F.struct("_low", "_high") < F.struct("low", "high"))
-    pairs = out.join(known, (out["bucket"] == known["bucket"]) & (F.col("root") != F.col("_root")) & fits & once)
+    once = (F.col("root") == F.col("main")) | (F.col("_low") < F.col("low")) | ((F.col("_low") == F.col("low")) & (F.col("_high") < F.col("high")))
+    pairs = out.join(known, (F.col("_bucket") == F.col("bucket")) & (F.col("root") != F.col("_root")) & once & may_be_alike("n", "map", "_n", "_map"))
     pairs = pairs.select(*ordered([F.col("_low"), F.col("_high")], [F.col("low"), F.col("high")])).distinct()
     return pairs.join(tried, ["low_a", "high_a", "low_b", "high_b"], "left_anti")
 
