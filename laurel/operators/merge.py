@@ -88,6 +88,12 @@ def save_rankings(rankings, batch):
     return merge(rankings, batch, ["topic_slug", "business_id", "run_id"], keep=["strengths", "created_at"])
 
 
+def stamp_created(table: DataFrame, at: str | None, which: Column | None = None) -> DataFrame:
+    """created_at of rows (of those in ``which``) that have none yet."""
+    new = F.lit(at).cast("timestamp")
+    return table.withColumn("created_at", F.coalesce("created_at", new if which is None else F.when(which, new)))
+
+
 def reset_topics(tables: dict[str, DataFrame], topics: DataFrame, run_id: str) -> dict[str, DataFrame]:
     """Drops the run's rows of these topics (topic_slug) from every given table."""
     gone = topics.select("topic_slug", F.lit(run_id).alias("run_id"))

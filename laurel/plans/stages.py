@@ -37,8 +37,11 @@ def included(w: Warehouse, run_id: str, only: list[str] | None = None) -> DataFr
 
 
 def discover(w: Warehouse, landed: dict[str, DataFrame], run_id: str, depth: int = fixed.TOPIC_DEPTH,
-             only: list[str] | None = None) -> None:
-    """landed: text_hits, nearby_hits, platform_hits, ai_names by topic; place_hits by query."""
+             only: list[str] | None = None, at: str | None = None) -> None:
+    """landed: text_hits, nearby_hits, platform_hits, ai_names by topic; place_hits by query.
+
+    ``at`` is the created_at of new businesses and links.
+    """
     links = w.run("business_topics", run_id)
     todo = staged(C.topics_to_discover(included(w, run_id, only), links, run_id, depth), "topics-todo")
     profiles = C.topic_profiles(todo)
@@ -51,8 +54,9 @@ def discover(w: Warehouse, landed: dict[str, DataFrame], run_id: str, depth: int
     gone = todo.select(F.col("slug").alias("topic_slug"))
     tables = {n: w.run(n, run_id) for n in ("rankings", "pillar_scores", "metrics", "business_topics")}
     cleared = U.reset_topics(tables, gone, run_id)
-    cleared["business_topics"] = U.link_topics(cleared["business_topics"], E.topic_links(resolved, run_id))
-    w.snapshot("businesses", E.upsert_businesses(master, resolved, run_id), run_id)
+    cleared["business_topics"] = U.stamp_created(U.link_topics(cleared["business_topics"], E.topic_links(resolved, run_id)), at)
+    merged = E.upsert_businesses(master, resolved, run_id)
+    w.snapshot("businesses", U.stamp_created(merged, at, F.col("first_seen_run") == run_id), run_id)
     for name, rows in cleared.items():
         w.replace_run(name, rows, run_id)
 
@@ -148,13 +152,16 @@ def transform(w: Warehouse, lexicon: DataFrame, run_id: str, as_of: str, replace
                   else U.save_metrics(old, long), run_id)
 
 
-def score(w: Warehouse, run_id: str, weights: dict[str, float] = fixed.PILLAR_WEIGHTS) -> None:
+def score(w: Warehouse, run_id: str, weights: dict[str, float] = fixed.PILLAR_WEIGHTS, at: str | None = None) -> None:
+    """``at`` is the created_at of new rankings."""
     wide = scoring.pivot_metrics(w.run("metrics", run_id))
     normalised = staged(scoring.normalise_pillars(scoring.pillar_rows(wide)), "normalised")
     ranked = scoring.rank_topics(scoring.finals(normalised, weights))
-    written = w.run("rankings", run_id).select("topic_slug", "business_id", "run_id", F.col("strengths").alias("_s"))
+    written = w.run("rankings", run_id).select("topic_slug", "business_id", "run_id", F.col("strengths").alias("_s"),
+                                              F.col("created_at").alias("_at"))
     rows = (scoring.rankings(ranked).join(written, ["topic_slug", "business_id", "run_id"], "left")
-            .withColumn("strengths", F.col("_s")).drop("_s"))
+            .withColumns({"strengths": F.col("_s"), "created_at": F.col("_at")}).drop("_s", "_at"))
+    rows = U.stamp_created(rows, at)
     w.replace_run("pillar_scores", scoring.pillar_scores(normalised), run_id)
     w.replace_run("rankings", rows, run_id)
 

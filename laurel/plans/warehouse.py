@@ -1,11 +1,18 @@
-"""Tables as parquet folders: run-stamped ones by run_id, dimensions and master as one snapshot per run."""
+"""Tables as parquet folders: run-stamped ones by run_id, dimensions and master as one snapshot per run.
+
+Every write goes to a version folder of its own, which a row in the table's commits then makes current.  A writer that dies
+earlier leaves the former version in place, and rows may be read from the partition they replace.  Former versions stay until
+they are cleared away.
+"""
+
+import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laurel import schemas
-from laurel.session import staged
 
 RUN_TABLES = {"business_topics": schemas.BUSINESS_TOPICS, "raw_collections": schemas.RAW, "metrics": schemas.METRICS,
               "pillar_scores": schemas.PILLAR_SCORES, "rankings": schemas.RANKINGS}
@@ -18,39 +25,51 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _read(self, name: str, schema: str) -> DataFrame:
+    def _read(self, path: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _commits(self, name: str) -> DataFrame:
+        return self._read(f"{self.root}/commits/{name}", "part string, version string")
+
+    def _commit(self, name: str, part: str, version: str) -> None:
+        row = self.spark.createDataFrame([(part, version)], "part string, version string")
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits/{name}")
+
+    def _current(self, name: str, part: str, version: str | None, schema: str) -> DataFrame:
+        """Rows of a version; an empty table when nothing was committed."""
+        return self._read(f"{self.root}/{name}/{part}/{version}", schema) if version else self.spark.createDataFrame([], schema)
+
     def run(self, name: str, run_id: str) -> DataFrame:
-        """One run's rows; other runs are pruned by partition."""
-        rows = self._read(name, RUN_TABLES[name]).where(F.col("run_id") == run_id)
+        """One run's rows; nothing else is read."""
+        schema = RUN_TABLES[name]
+        version = self._commits(name).where(F.col("part") == run_id).agg(F.max("version")).first()[0]
+        rows = self._current(name, f"run_id={run_id}", version, schema).withColumn("run_id", F.lit(run_id))
         # partition columns come last when read; keep the declared order
-        return rows.select(*[f.split()[0] for f in RUN_TABLES[name].split(", ")])
+        return rows.select(*[f.split()[0] for f in schema.split(", ")])
 
     def latest(self, name: str, run_id: str) -> DataFrame:
         """The newest snapshot up to this run."""
-        every = self._read(name, SNAPSHOT_TABLES[name] + ", as_of_run string").where(F.col("as_of_run") <= run_id)
-        newest = every.agg(F.max("as_of_run")).first()[0]
-        return every.where(F.col("as_of_run") == newest).drop("as_of_run") if newest else every.drop("as_of_run")
+        newest = self._commits(name).where(F.col("part") <= run_id).agg(F.max(F.struct("part", "version"))).first()[0]
+        part, version = newest or (run_id, None)
+        return self._current(name, f"as_of_run={part}", version, SNAPSHOT_TABLES[name])
 
-    def _replace(self, name: str, rows: DataFrame, schema: str, partition: str) -> None:
+    def _replace(self, name: str, rows: DataFrame, schema: str, key: str, part: str) -> None:
         cols = self.spark.createDataFrame([], schema)
         shaped = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                               for f in cols.schema])
-        # staged first: the rows may have been read from the partition they replace
-        rows = staged(shaped, name).drop("run_id")
+                               for f in cols.schema]).drop("run_id")
         inner = INNER_PARTITIONS.get(name, [])
-        # static: a partition that is empty now has to become empty on disk too
-        (rows.repartition(*inner, "business_id") if inner else rows).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy(*inner).parquet(f"{self.root}/{name}/{partition}")
+        version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        (shaped.repartition(*inner, "business_id") if inner else shaped).write.partitionBy(*inner).parquet(
+            f"{self.root}/{name}/{key}={part}/{version}")
+        self._commit(name, part, version)
 
     def replace_run(self, name: str, rows: DataFrame, run_id: str) -> None:
-        self._replace(name, rows, RUN_TABLES[name], f"run_id={run_id}")
+        self._replace(name, rows, RUN_TABLES[name], "run_id", run_id)
 
     def snapshot(self, name: str, rows: DataFrame, run_id: str) -> None:
-        self._replace(name, rows, SNAPSHOT_TABLES[name], f"as_of_run={run_id}")
+        self._replace(name, rows, SNAPSHOT_TABLES[name], "as_of_run", run_id)

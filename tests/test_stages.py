@@ -1,10 +1,12 @@
 import json
 
+import pytest
+
 from laurel import schemas
 from laurel.operators import sentiment
 from laurel.plans import stages as S
 from laurel.plans.warehouse import Warehouse
-from laurel.streaming.ingest import ingest_raw
+from laurel.streaming.ingest import ingest_raw, merge_batch
 
 RUN = "2026-01"
 
@@ -52,10 +54,10 @@ def test_month_end_to_end_and_rerun(spark, tmp_path):
     out = str(tmp_path / "out")
     shots = []
     for _ in range(2):
-        S.discover(w, landed_inputs(spark), RUN)
+        S.discover(w, landed_inputs(spark), RUN, at="2026-01-09")
         S.collect(w, collected_inputs(spark), RUN, "2026-01-10")
         S.transform(w, sentiment.demo_lexicon(spark), RUN, "2026-01-31")
-        S.score(w, RUN)
+        S.score(w, RUN, at="2026-02-01")
         todo = S.strengths(w, spark.createDataFrame([("best-cafe", "p:P1", RUN, '["Loved", "Near"]')],
                                                     "topic_slug string, business_id string, run_id string, reply string"), RUN)
         assert {r["business_id"] for r in todo.collect()} == {"p:P3", *[r["business_id"] for r in todo.collect() if r["business_id"].startswith("h:")]}
@@ -77,9 +79,11 @@ def test_month_end_to_end_and_rerun(spark, tmp_path):
     docs = {r["topic_slug"]: r["rankings"] for r in spark.read.json(f"{out}/topics").collect()}
     assert docs["best-none"] == [] and docs["best-cafe"][0]["slug"] == "blue-moon-P1" and docs["best-cafe"][0]["rating_count"] == 300
     # a later month starts from this month's businesses and leaves its rows alone
-    S.discover(w, landed_inputs(spark), "2026-02")
+    assert str(ranks[0]["created_at"]) == "2026-02-01 00:00:00" and str(b["p:P1"]["created_at"]) == "2026-01-09 00:00:00"
+    S.discover(w, landed_inputs(spark), "2026-02", at="2026-02-09")
     later = {r["business_id"]: r for r in w.latest("businesses", "2026-02").collect()}
     assert later["p:P1"]["first_seen_run"] == RUN and later["p:P1"]["last_seen_run"] == "2026-02"
+    assert later["p:P1"]["created_at"] == b["p:P1"]["created_at"]
     assert w.latest("businesses", RUN).where("last_seen_run = '2026-02'").count() == 0
 
 
@@ -110,3 +114,37 @@ def test_stream_ingest(spark, tmp_path):
     ingest_raw(spark, land, table, check).awaitTermination()
     got = spark.read.schema(schemas.RAW).parquet(table).orderBy("business_id").collect()
     assert [(r["business_id"], r["payload"], r["run_id"]) for r in got] == [("a", "new", RUN), ("b", "b", RUN), ("c", "c", "2025-12")]
+
+
+def test_write_that_dies_before_its_commit(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, str(tmp_path / "dwh"))
+    links = [("x", "t", RUN, "yelp", "q", None, None), ("y", "t", RUN, "yelp", "q", None, None)]
+    w.replace_run("business_topics", spark.createDataFrame(links[:1], schemas.BUSINESS_TOPICS), RUN)
+
+    def die(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(w, "_commit", die)
+        with pytest.raises(RuntimeError):
+            w.replace_run("business_topics", spark.createDataFrame(links, schemas.BUSINESS_TOPICS), RUN)
+    ids = lambda: sorted(r["business_id"] for r in w.run("business_topics", RUN).collect())
+    assert ids() == ["x"] and w.run("business_topics", "2025-12").count() == 0
+    w.replace_run("business_topics", spark.createDataFrame(links, schemas.BUSINESS_TOPICS), RUN)
+    assert ids() == ["x", "y"]
+    # from the partition it replaces, and down to nothing
+    w.replace_run("business_topics", w.run("business_topics", RUN).where("false"), RUN)
+    assert ids() == []
+
+
+def test_replayed_batch_after_lost_partitions(spark, tmp_path):
+    table, work = str(tmp_path / "table"), str(tmp_path / "work")
+
+    def rows(*ids):
+        return spark.createDataFrame([(i, None, "yelp", RUN, None, "{}") for i in ids], schemas.RAW)
+    merge = merge_batch(table, work)
+    merge(rows("a", "b"), 0)
+    merge(rows("c"), 1)
+    # the job died after the old files went and before the new ones came
+    rows().write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_id", "source").parquet(table)
+    merge(rows("c"), 1)
+    assert sorted(r["business_id"] for r in spark.read.schema(schemas.RAW).parquet(table).collect()) == ["a", "b", "c"]
