@@ -30,8 +30,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 #: Any assignment holds one of these in lower case.
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: Base64 with both alphabets; line ends inside are those of wrapped key files.
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}(?:\r?\n[A-Za-z0-9+/_-]{4,})*={0,2}")
+#: A line of base64 with either alphabet, and a further one of a wrapped key file.
+ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+FURTHER = re.compile(r"\r?\n(?!-----)[A-Za-z0-9+/_-]+={0,2}")
 HEX_BLOB = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
 #: A JSON object encodes to ey.. or, with white space after the brace, ew..
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
@@ -101,18 +102,41 @@ def der_key(data: bytes) -> str | None:
     return None
 
 
+OPENSSH = b"openssh-key-v1\0"
+
+
+def ssh_field(data: bytes, at: int) -> int | None:
+    """Where the length-prefixed field at this place ends; None if that is beyond the data."""
+    end = at + 4 + int.from_bytes(data[at:at + 4], "big")
+    return end if end <= len(data) else None
+
+
+def ssh_private_size(data: bytes) -> int | None:
+    """Bytes of the OpenSSH private key that data begins with: three names, the number of keys, their public parts, the private part."""
+    at: int | None = len(OPENSSH)
+    for _ in range(3):
+        if (at := ssh_field(data, at)) is None:
+            return None
+    keys = int.from_bytes(data[at:at + 4], "big")
+    at += 4
+    for _ in range(keys + 1 if keys else 0):
+        if (at := ssh_field(data, at)) is None:
+            return None
+    return at if keys else None
+
+
 def ssh_key(data: bytes) -> bool:
-    """An OpenSSH private key, or a public blob whose length-prefixed fields fill it exactly."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
+    """An OpenSSH private key, or a public blob; length-prefixed fields fill it exactly."""
+    if data.startswith(OPENSSH):
+        return ssh_private_size(data) == len(data)
     at, fields = 0, []
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at:at + 4], "big")
-        if size > len(data) - at - 4:
+    while at < len(data):
+        end = ssh_field(data, at)
+        if end is None:
             return False
-        fields.append(data[at + 4:at + 4 + size])
-        at += 4 + size
-    return at == len(data) and len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk-ssh)-[a-z0-9-]+(@openssh\.com)?", fields[0]) is not None
+        fields.append(data[at + 4:end])
+        at = end
+    return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk-ssh)-[a-z0-9-]+(@openssh\.com)?", fields[0]) is not None
 
 
 def token_header(s: str) -> bool:
@@ -133,6 +157,45 @@ def kind_of(data: bytes | None) -> str | None:
     return "ssh_key" if data[:3] in (b"ope", b"\0\0\0") and ssh_key(data) else None
 
 
+def wrapped_end(text: str, start: int, end: int, size: int | None = None) -> int | None:
+    """Where base64 that begins with the line text[start:end] ends, further lines included.
+
+    With a size: where so many bytes end, None if no line ends there; lines that follow them belong to something else.
+    """
+    have = len(text[start:end].rstrip("="))
+    need = None if size is None else -(-size * 4 // 3)
+    if need is not None and need > len(text) - start:
+        return None
+    while (need is None or have < need) and text[end - 1] != "=" and (m := FURTHER.match(text, end)):
+        have += len(m[0].strip("\r\n").rstrip("="))
+        end = m.end()
+    return end if need is None or have == need else None
+
+
+def encoded_key(text: str, start: int, end: int) -> tuple[str, int] | None:
+    """Kind and end of the key whose base64 begins with the line text[start:end].
+
+    The lengths that the key states tell which of the lines after the first are its own.
+    """
+    head = unbase64(text[start:start + 40])
+    stop: int | None = end
+    if head[0] == 0x30:
+        n = head[1] & 0x7F if head[1] & 0x80 else 0
+        size = 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1])
+        stop = wrapped_end(text, start, end, size) if n <= 4 else None
+    elif OPENSSH.startswith(head[:len(OPENSSH)]):
+        run = re.sub(r"[\r\n=]", "", text[start:wrapped_end(text, start, end)])
+        size = ssh_private_size(unbase64(run[:-1] if len(run) % 4 == 1 else run))
+        stop = size and wrapped_end(text, start, end, size)
+    elif head[:3] == b"\0\0\0":
+        if not kind_of(unbase64(text[start:end])):
+            stop = wrapped_end(text, start, end)
+    else:
+        return None
+    kind = kind_of(unbase64(text[start:stop])) if stop else None
+    return (kind, stop) if kind else None
+
+
 def base_spans(text: str) -> list[tuple[int, str, int]]:
     found = []
     low = text.lower()
@@ -149,9 +212,12 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     for m in HEX_BLOB.finditer(text):
         if len(m[0]) % 2 == 0 and (kind := kind_of(bytes.fromhex(m[0]))):
             found.append((m.start(), kind, m.end()))
-    for m in ENCODED.finditer(text):
-        if kind := kind_of(unbase64(m[0])):
-            found.append((m.start(), kind, m.end()))
+    at = 0
+    while m := ENCODED.search(text, at):
+        key = encoded_key(text, *m.span())
+        if key:
+            found.append((m.start(), *key))
+        at = key[1] if key else m.end()
     for m in SIGNED.finditer(text):
         if token_header(m[0].split(".", 1)[0]):
             found.append((m.start(), "signed_token", m.end()))

@@ -259,6 +259,37 @@ def test_structures():
         assert not [k for _, k, _ in secret_scan.spans(f"x {s} y") if k not in secret_scan.BASE], s
 
 
+def openssh_key(rng):
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    return (b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big")
+            + field(field(b"ssh-ed25519") + field(rng.randbytes(32))) + field(rng.randbytes(136)))
+
+
+def test_keys_end_where_their_lengths_say():
+    rng = random.Random(4)
+    for size in range(62, 68):  # with and without padding
+        key = der(0x30, der(2, b"\0") + b"".join(der(2, rng.randbytes(size)) for _ in range(8)))
+        ssh = openssh_key(rng) if size == 62 else key
+        for data, kind in ((key, "private_key"), (ssh, "ssh_key" if size == 62 else "private_key")):
+            one, many = base64.b64encode(data).decode(), base64.encodebytes(data).decode().strip()
+            for s in (one, many, one.rstrip("="), many.replace("\n", "\r\n")):
+                text = f"-----BEGIN KEY-----\n{s}\n-----END KEY-----\nwords that follow"
+                assert (20, kind, 20 + len(s)) in secret_scan.spans(text)
+                assert (0, kind, len(s)) in secret_scan.spans(s + "\nwords")
+                # a line before, and another key at once
+                text = "x" * 50 + f"\n{s}\n{one}"
+                found = [x for x in secret_scan.spans(text) if x[1] == kind]
+                assert found == [(51, kind, 51 + len(s)), (52 + len(s), kind, 52 + len(s) + len(one))]
+        cut = base64.b64encode(data[:-6]).decode().rstrip("=")
+        assert not [x for x in secret_scan.spans(f"{cut}\n-----END KEY-----") if x[1] not in secret_scan.BASE]
+
+
+def test_long_wrapped_lines_without_a_key():
+    rng = random.Random(5)
+    text = base64.encodebytes(b"\x30\x84\x7f\0\0\0" + rng.randbytes(3_000_000)).decode()
+    assert not [x for x in secret_scan.spans(text) if x[1] not in secret_scan.BASE]
+
+
 def brute_base(text):
     found = []
     for m in re.finditer(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
