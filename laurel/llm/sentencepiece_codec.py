@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,12 @@ class Vocabulary:
         # where no piece crosses into a blank, or over a line end, texts are cut there
         self.cut = None if crossing else re.compile(rf"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+" if lines else rf"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
+    @cached_property
+    def steps(self) -> dict[str, tuple[int, float, bool]]:
+        """Id (-1: none), score, and whether longer pieces begin so, of each piece and beginning of one."""
+        begun = {p: (-1, 0.0, True) for p in self.prefixes}
+        return begun | {p: (i, score, p in begun) for p, (i, score) in self.pieces.items()}
+
     def normal(self, text: str) -> str:
         if self.library:
             return self.library.normalize(text)
@@ -69,26 +76,28 @@ class Vocabulary:
 
 def viterbi(text: str, v: Vocabulary) -> Iterator[list[int]]:
     """Ids of the best segmentation of a normalised text, a list for each committed stretch."""
-    pieces, prefixes, unknown_score = v.pieces, v.prefixes, v.unknown_score
+    step_of, unknown_score, longest = v.steps.get, v.unknown_score, v.longest
     base, n = 0, len(text)
     score: dict[int, float] = {0: 0.0}  # of the boundaries ahead, at most the longest piece away
     back: dict[int, tuple[int, int]] = {}  # boundary: start and id of its best last piece; id -1 is an unknown character
-    reach, check = 0, 4 * v.longest
+    reach, check = 0, 4 * longest
     for i in range(n):
-        here = score.pop(i)
-        j, single = i + 1, False
-        while j <= n:
-            part = text[i:j]
-            known = pieces.get(part)
-            if known:
-                total = here + known[1]
+        here, single = score.pop(i), False
+        for j in range(i + 1, min(n, i + longest) + 1):
+            step = step_of(text[i:j])
+            if step is None:
+                break
+            id_, gain, more = step
+            if id_ >= 0:
+                total = here + gain
                 if j not in score or total > score[j]:
-                    score[j], back[j] = total, (i, known[0])
-                single |= j == i + 1
-                reach = max(reach, j)
-            if part not in prefixes:
+                    score[j], back[j] = total, (i, id_)
+                if j == i + 1:
+                    single = True
+                if j > reach:
+                    reach = j
+            if not more:
                 break
-            j += 1
         if not single:
             total = here + unknown_score
             if i + 1 not in score or total > score[i + 1]:
@@ -103,18 +112,21 @@ def viterbi(text: str, v: Vocabulary) -> Iterator[list[int]]:
                 live.remove(last)
                 live.add(back[last][0])
             meet = live.pop()
-            check = 4 * v.longest if meet > base else i + 1 - base + 4 * v.longest
+            check = 4 * longest if meet > base else i + 1 - base + 4 * longest
         else:
             continue
         if meet > base:
             ids, at = [], meet
             while at > base:
-                start, id_ = back[at]
-                ids.append([id_] if id_ >= 0 else v.character(text[start]))
-                at = start
-            yield [x for some in reversed(ids) for x in some]
+                at, id_ = back[at]
+                if id_ >= 0:
+                    ids.append(id_)
+                else:
+                    ids += reversed(v.character(text[at]))
+            ids.reverse()
+            yield ids
             base = meet
-            back = {k: b for k, b in back.items() if k > base}
+            back = {k: b for k, b in back.items() if k > base} if reach > base else {}
             if len(score) == 1:
                 score = {k: 0.0 for k in score}  # sums start again where all paths met
 
@@ -125,11 +137,11 @@ class Codec:
         self.memo: dict[str, bytes] = {}
 
     def segment(self, part: str) -> bytes:
-        out = b"".join(np.array(ids, "<i4").tobytes() for ids in viterbi(part, self.v))
-        if len(part) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[part] = out
+        if len(part) > MEMO_CHARS:
+            return b"".join(np.array(ids, "<i4").tobytes() for ids in viterbi(part, self.v))
+        if len(self.memo) >= MEMO:
+            self.memo.clear()
+        self.memo[part] = out = np.array([x for ids in viterbi(part, self.v) for x in ids], "<i4").tobytes()
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
