@@ -11,9 +11,11 @@ Documents with equal ids lie next to each other, in the order of their texts.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -117,6 +119,13 @@ class Encoder:
         return b"".join([fresh[p] if p in fresh else memo[p] for p in parts])
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str, dtype: str, cuts: bool) -> Encoder:
+    """One for all tasks that a worker process runs.  A task has one core, so the library's own threads stay off."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path, dtype, cuts)
+
+
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, vocabulary: int, text: str = "text", key: str = "doc_id",
                  end_id: int = END_ID, partitions: int | None = None, cuts: bool = True) -> DataFrame:
     """Write docs in ascending order of key; returns the manifest: shard, file, n_docs, n_ids, start."""
@@ -126,7 +135,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, vocabulary: int,
     end = np.array([end_id], dtype).tobytes()
 
     def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer, dtype, cuts)
+        encode = encoder(tokenizer, dtype, cuts).encode
         file, out, first = f"{folder}/{uuid.uuid4().hex}.ids", None, None
         ends, keys, nulls, total, at = [], [], 0, 0, 0
         for part in parts:
@@ -140,7 +149,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, vocabulary: int,
                 if first is None and not null:
                     first = int(k)
                 nulls += bool(null)
-                ids = encoder.encode(t) + end
+                ids = encode(t) + end
                 total += len(ids) // width
                 ends.append(total)
                 keys.append(0 if null else int(k))
