@@ -328,6 +328,65 @@ def test_recall_of_buckets(spark):
     assert len(alike) > 100 and len(found) >= 0.98 * len(alike)
 
 
+def short_pairs():
+    """Texts of 5 to 14 words with one word more, less or changed at an end."""
+    rng = random.Random(12)
+    for n in range(5, 15):
+        for _ in range(40):
+            w = words(rng, n)
+            new = words(rng, 1)
+            for other in (w + new, new + w, w[1:], w[:-1], w[:-1] + new, new + w[1:], w[1:] + new):
+                yield " ".join(w), " ".join(other)
+
+
+def test_short_texts_one_end_word_apart_meet():
+    odd, seen = order_minhash.multipliers(), Counter()
+    signs = lambda t: dict(zip(*(x.tolist() for x in order_minhash.signs_of(decontaminate.words_of(t), {}, odd))))
+    for a, b in short_pairs():
+        alike = brute_similarity(a, b) >= 0.8
+        x, y = signs(a), signs(b)
+        # a part meets whole texts only
+        assert not alike or any(not (x[k] and y[k]) for k in x.keys() & y.keys()), (a, b)
+        seen[alike] += 1
+    assert seen[True] > 500 and seen[False] > 500
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abc"])
+def test_short_texts_with_loops_meet_as_brute_force_says(letters):
+    """Texts of few different words, where windows inside can be left out: those of at most SHORT windows meet if and only if they are alike."""
+    rng, odd = random.Random(len(letters)), order_minhash.multipliers()
+    longest = order_minhash.SHORT + 4
+    texts = {" ".join(rng.choice(letters) * rng.randint(1, 6) for _ in range(rng.randint(1, 5))).replace(" ", "") for _ in range(400)}
+    texts |= {(letters * 9)[:n] for n in range(1, longest + 1)}
+    texts |= {t[:i] + t[i + g:] for t in [*texts] for g in (1, 2) for i in range(0, len(t), 3)} - {""}
+    texts = sorted(" ".join(t) for t in texts if len(t) <= longest)[::len(letters)]
+    buckets = [dict(zip(*(x.tolist() for x in order_minhash.signs_of(t.split(), {}, odd)))) for t in texts]
+    tables = [max(1, len(t.split()) - 4) >= 12 for t in texts]
+    alike = 0
+    for i, a in enumerate(texts):
+        for j in range(i):
+            x, y = buckets[i], buckets[j]
+            meet = any(not (x[k] and y[k]) for k in x.keys() & y.keys())
+            if order_minhash.similarity(a, texts[j]) > 0:
+                alike += 1
+                assert meet, (a, texts[j])
+            else:
+                assert not meet or tables[i] and tables[j], (a, texts[j])
+    assert alike > 5
+
+
+def test_classes_of_short_texts_equal_brute_force(spark):
+    """Also many texts that share all but an end word: they are alike through the text that they share only."""
+    rng = random.Random(13)
+    rows = [t for pair in [*short_pairs()][::37] for t in pair]
+    for n in (8, 9, 12, 13, 16):
+        shared = words(rng, n)
+        rows += [" ".join(shared + words(rng, 1)) for _ in range(12)] + ([" ".join(shared)] if n != 9 else [])
+    rows = [*enumerate(rows)]
+    got = order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert order((r["doc_id"], r["class_id"]) for r in got) == order(brute_classes(rows))
+
+
 def test_near_dedup_query(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, small, "documents").collect()]
     short = [r for r in rows if len(r[1]) < 6_000]
