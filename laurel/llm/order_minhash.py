@@ -20,8 +20,9 @@ has the smallest doc_id among its documents (null if all are null).  Every row g
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import add
 
@@ -44,6 +45,8 @@ SHORT = 13
 MEMO, SLICE = 500_000, 8_192
 #: 64-bit words of a text's map of windows.
 MAP = 32
+#: Windows of a text whose places alignment keeps as bits, at most.
+MASKS = 256
 
 
 def window_hashes(words: list[str], memo: dict[str, int]) -> np.ndarray:
@@ -150,19 +153,36 @@ def similarity(a: str | None, b: str | None, least: float = THRESHOLD) -> float:
     return value if value >= least - 1e-12 else 0.0
 
 
+def bits(places: Sequence[int]) -> int:
+    """The integer that has these bits, in ascending order."""
+    if len(places) < 2:
+        return 1 << places[0] if places else 0
+    out = bytearray((places[-1] >> 3) + 1)
+    for j in places:
+        out[j >> 3] |= 1 << (j & 7)
+    return int.from_bytes(out, "little")
+
+
 def banded(x: list[int], y: list[int], band: int) -> int:
-    """Longest common subsequence whose pairs lie at most band off the diagonal; a row of the table is the bits of an integer."""
+    """Longest common subsequence whose pairs lie at most band off the diagonal; a row of the table is the bits of an integer.
+
+    Memory is linear in the length: windows are held by their places, only the up to MASKS that come most often by their bits.
+    """
     if not x or not y:
         return 0
-    places: dict[int, int] = {}
+    places: dict[int, list[int]] = {}
     for j, w in enumerate(y):
-        places[w] = places.get(w, 0) | 1 << j
+        places.setdefault(w, []).append(j)
+    often = {w: bits(at) for w, at in places.items() if len(at) * MASKS > len(y) and len(at) > 1}
     full = (1 << len(y)) - 1
     row, strip = full, (1 << 2 * band + 1) - 1
     for i, w in enumerate(x):
-        hit = places.get(w, 0)
+        if w in often:
+            hit = often[w] & (strip << i - band if i >= band else strip >> band - i)
+        else:
+            at = places.get(w, ())
+            hit = bits(at[bisect_left(at, i - band):bisect_right(at, i + band)])
         if hit:
-            hit &= strip << i - band if i >= band else strip >> band - i
             up = row & hit
             row = ((row + up) | (row - up)) & full
     return len(y) - row.bit_count()

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -234,6 +235,35 @@ def test_similarity_equals_brute_force(seed):
     assert got == (pytest.approx(full) if full >= 0.8 else 0.0)
 
 
+def test_long_pair_edited_at_both_ends_takes_linear_memory():
+    n = 20_000
+    x = [*range(n)]
+    y = [-1, *range(1, n - 1), -2]
+    tracemalloc.start()
+    try:
+        assert order_minhash.banded(x, y, n // 5) == n - 2
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10e6
+
+
+@pytest.mark.parametrize("masks", [0, 4, 10_000])
+def test_alignment_by_places_and_by_bits_is_the_same(monkeypatch, masks):
+    rng = random.Random(masks)
+    monkeypatch.setattr(order_minhash, "MASKS", masks)
+    for _ in range(60):
+        x = [rng.randrange(rng.choice((2, 9, 90))) for _ in range(rng.randint(0, 40))]
+        y = [rng.randrange(9) for _ in range(rng.randint(0, 40))]
+        band = rng.randint(0, 12)
+        row = [0] * (len(y) + 1)
+        for i, u in enumerate(x):
+            last, row = row, [0]
+            for j, v in enumerate(y):
+                row.append(last[j] + 1 if u == v and abs(i - j) <= band else max(last[j + 1], row[-1]))
+        assert order_minhash.banded(x, y, band) == row[-1]
+
+
 def brute_classes(rows):
     texts = sorted({t or "" for _, t in rows})
     root = {t: t for t in texts}
