@@ -2,7 +2,8 @@
 
 Pattern spans are reported as they are.  Further candidates are reported only when their structure holds: a base64 or hex string
 decodes to DER whose nested lengths add up and which looks like a key, an OpenSSH key blob whose length fields fill it exactly, or a
-signed token whose header is a JSON object that names an algorithm.
+signed token whose header is a JSON object that names an algorithm.  Lines of base64 may be indented, joined by blanks or by escaped
+line breaks (\\n in JSON), and may touch the -----BEGIN and -----END of their frame.
 
 Spans are code points, end exclusive.  A null text has no spans; repeated rows give repeated results; other columns of the input
 stay as they are.  Texts are taken whole.
@@ -30,9 +31,14 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 #: Any assignment holds one of these in lower case.
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: A line of base64 with either alphabet, and a further one of a wrapped key file.
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
-FURTHER = re.compile(r"\r?\n(?!-----)[A-Za-z0-9+/_-]+={0,2}")
+#: Texts without such a run hold no line of base64.
+LONG = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40}")
+#: A character of base64 with either alphabet; five dashes begin or end a key's frame.
+CHAR = r"(?:[A-Za-z0-9+/_]|-(?!----(?!-)))"
+#: A line of base64, also behind a frame or an escaped break, and a further one behind breaks, escaped breaks and blanks.
+ENCODED = re.compile(r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nrt])|(?<=-----)|(?<=\\[nrt]))" + CHAR + "{40,}+={0,2}")
+FURTHER = re.compile(r"(?:[ \t\r\n]|\\[nrt])++(?!-----)(" + CHAR + "++)={0,2}")
+BETWEEN = re.compile(r"[ \t\r\n=]|\\[nrt]")
 HEX_BLOB = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
 #: A JSON object encodes to ey.. or, with white space after the brace, ew..
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
@@ -43,7 +49,7 @@ ALGORITHMS = {"none", "HS256", "HS384", "HS512", "RS256", "RS384", "RS512", "ES2
 
 def unbase64(s: str) -> bytes | None:
     """Bytes of a base64 string of either alphabet, with or without padding; None if it is none."""
-    s = re.sub(r"[\r\n=]", "", s).replace("-", "+").replace("_", "/")
+    s = BETWEEN.sub("", s).replace("-", "+").replace("_", "/")
     if len(s) % 4 == 1:
         return None
     try:
@@ -167,11 +173,26 @@ def wrapped_end(text: str, start: int, end: int, size: int | None = None) -> int
     if need is not None and need > len(text) - start:
         return None
     while (need is None or have < need) and text[end - 1] != "=" and (m := FURTHER.match(text, end)):
-        have += len(m[0].strip("\r\n").rstrip("="))
+        have += len(m[1])
         end = m.end()
     return end if need is None or have == need else None
 
 
+def public_end(text: str, start: int, end: int) -> int | None:
+    """Where the public blob ends that begins with the line text[start:end]: the last line end at which two or more of its fields end, too."""
+    ends = [(end, have := len(text[start:end].rstrip("=")))]
+    while text[end - 1] != "=" and (m := FURTHER.match(text, end)):
+        end = m.end()
+        ends.append((end, have := have + len(m[1])))
+    run = BETWEEN.sub("", text[start:end])
+    data = unbase64(run[:-1] if len(run) % 4 == 1 else run)
+    at, fields = 0, []
+    while at < len(data) and (stop := ssh_field(data, at)) is not None:
+        fields.append(at := stop)
+    sizes = set(fields[1:])
+    return next((e for e, n in reversed(ends) if n % 4 != 1 and n * 3 // 4 in sizes), None)
+
+
 def encoded_key(text: str, start: int, end: int) -> tuple[str, int] | None:
     """Kind and end of the key whose base64 begins with the line text[start:end].
 
@@ -184,12 +205,12 @@ def encoded_key(text: str, start: int, end: int) -> tuple[str, int] | None:
         size = 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1])
         stop = wrapped_end(text, start, end, size) if n <= 4 else None
     elif OPENSSH.startswith(head[:len(OPENSSH)]):
-        run = re.sub(r"[\r\n=]", "", text[start:wrapped_end(text, start, end)])
+        run = BETWEEN.sub("", text[start:wrapped_end(text, start, end)])
         size = ssh_private_size(unbase64(run[:-1] if len(run) % 4 == 1 else run))
         stop = size and wrapped_end(text, start, end, size)
-    elif head[:3] == b"\0\0\0":
+    elif head[:3] == b"\0\0\0" and head[4:].startswith((b"ssh-", b"ecdsa-", b"sk-ssh-")):
         if not kind_of(unbase64(text[start:end])):
-            stop = wrapped_end(text, start, end)
+            stop = public_end(text, start, end)
     else:
         return None
     kind = kind_of(unbase64(text[start:stop])) if stop else None
@@ -212,7 +233,7 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     for m in HEX_BLOB.finditer(text):
         if len(m[0]) % 2 == 0 and (kind := kind_of(bytes.fromhex(m[0]))):
             found.append((m.start(), kind, m.end()))
-    at = 0
+    at = 0 if LONG.search(text) else len(text)
     while m := ENCODED.search(text, at):
         key = encoded_key(text, *m.span())
         if key:

@@ -284,6 +284,27 @@ def test_keys_end_where_their_lengths_say():
         assert not [x for x in secret_scan.spans(f"{cut}\n-----END KEY-----") if x[1] not in secret_scan.BASE]
 
 
+def test_keys_in_every_spelling_of_their_lines():
+    rng = random.Random(6)
+    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\1\0\1", rng.randbytes(257)))
+    for size in range(62, 68):
+        key = der(0x30, der(2, b"\0") + b"".join(der(2, rng.randbytes(size)) for _ in range(8)))
+        for data, kind in ((key, "private_key"), (openssh_key(rng), "ssh_key"), (ssh, "ssh_key")):
+            lines = base64.encodebytes(data).decode().split()
+            for gap in ("", " ", "\n    ", " \n", "  \t\r\n\t", "\\n", "\\r\\n", "\\n    ", "\n\n"):
+                s = gap.join(lines)
+                for before, after in (("-----BEGIN KEY-----", "-----END KEY-----"), (f"-----BEGIN KEY-----{gap}", f"{gap}-----END KEY-----\\n\""),
+                                      (f'{{"key": "', '", "x": 1}'), ("key: |\n  ", "\n  -----END KEY-----\nwords that follow")):
+                    found = [x for x in secret_scan.spans(before + s + after) if x[1] not in secret_scan.BASE]
+                    assert found == [(len(before), kind, len(before) + len(s))], (gap, before, after)
+            # a line is missing
+            cut = "\\n".join(lines[:1] + lines[2:])
+            assert not [x for x in secret_scan.spans(f"-----BEGIN KEY-----{cut}-----END KEY-----") if x[1] not in secret_scan.BASE]
+    # the last character of the other alphabet is a dash
+    url = next(u for _ in range(9_999) if (u := base64.urlsafe_b64encode(der(0x30, der(2, b"\0") + b"".join(der(2, rng.randbytes(64)) for _ in range(7)) + der(2, rng.randbytes(63)))).decode()).endswith("-"))
+    assert (20, "private_key", 20 + len(url)) in secret_scan.spans(f"-----BEGIN KEY-----\n{url}-----END KEY-----")
+
+
 def test_long_wrapped_lines_without_a_key():
     rng = random.Random(5)
     text = base64.encodebytes(b"\x30\x84\x7f\0\0\0" + rng.randbytes(3_000_000)).decode()
