@@ -1,12 +1,12 @@
-"""Suffix sorting by recursive induction over disk-backed queues.
+"""Suffix sorting by recursive induction over queues that go to disk beyond a size.
 
 A suffix is of type S if it is smaller than the one that begins a place later, else of type L; S suffixes right of an L suffix are the
 seeds.  Sorted seeds induce all L suffixes in one pass from the left and then all S suffixes in one from the right.  Seeds are sorted the
 same way: equal stretches between seeds get equal names, and the string of names is suffix-sorted recursively.
 
 The priority queue of a pass is one file-backed array, divided by leading symbol: suffixes reach a part in sorted order, so taking
-the least one is reading on.  Each pass takes as many as it can before the first place that one of them fills, as whole arrays, and arrays
-beyond a size are memory maps in a scratch folder, read and written once from end to end, so that memory does not bound a shard.
+the least one is reading on.  Each pass takes as many as it can before the first place that one of them fills, as whole arrays, and queues
+beyond a size are memory maps in a scratch folder, read and written once from end to end.  Symbols, types and numbers of suffixes stay in memory.
 """
 
 import os

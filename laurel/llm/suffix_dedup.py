@@ -1,4 +1,4 @@
-"""Exact removal of repeated byte strings: suffix arrays by external induced sorting, over what can repeat at all.
+"""Removal of repeated byte strings: 64-bit hashes and counts for equal runs, suffix arrays by induced sorting for those that differ.
 
 A byte goes if a LENGTH-byte string that covers it also starts anywhere else, in the same document or another; strings lie inside one
 document and are judged on the input.  A null text is empty.  Rows count as documents, so repeated rows remove each other; their ids play
@@ -6,7 +6,7 @@ no part.
 
 1. Every start of a LENGTH-byte string belongs to the least-hashed GRAM-byte anchor inside the string.  Equal strings have equal anchors,
    so a start whose anchor occurs once in the corpus needs no more work.  Starts next to each other with one anchor form a run.
-2. Where all runs of an anchor are equal byte for byte, their starts all repeat.  For the others, each different run is taken once; runs
+2. Where all runs of an anchor have one 64-bit hash, their starts all repeat.  For the others, each different run is taken once; runs
    are dealt to shards by anchor, starts whose bytes left or right of the anchor are in no other run are left out, and each shard is
    suffix-sorted (``induced_sort``), with the common prefix of neighbours counted up to LENGTH.  Anchors with very many different runs are dealt by start, under a hash of both ends of its string.
 3. Results are a bit for each start of a run.  They go to sharded minimal perfect hashes in the shared folder, which the last
