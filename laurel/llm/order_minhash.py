@@ -318,23 +318,23 @@ def outsiders(members: DataFrame, roots: DataFrame, tried: DataFrame, texts: Dat
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row for each row of docs: doc_id, low, high, class_id, n_copies (rows with this very text), n_links (other texts it is linked to),
-    and kept: whether the row's doc_id and text are those that stand for the class."""
+    """One row for each row of docs: doc_id, low, high, class_id, n_copies (rows with this very text), n_joining_links
+    (verified links of its text that were found to join the class, not all there are: the number depends on the hashes), and kept: whether the row's doc_id and text are those that stand for the class."""
     found = staged(links(docs, text).distinct(), "omh-links")
     roots = components(found)
-    degree = found.select("a").union(found.select("b")).toDF("node").groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = found.select("a").union(found.select("b")).toDF("node").groupBy("node").agg(F.count(F.lit(1)).alias("n_joining_links"))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), *node_of(F.col(text)))
     nodes = rows.groupBy("low", "high").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"))
     nodes = (nodes.withColumn("node", node_name("low", "high")).join(roots, "node", "left").join(degree, "node", "left")
-             .select("low", "high", "node", "first_id", "n_copies", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+             .select("low", "high", "node", "first_id", "n_copies", F.coalesce("root", "node").alias("root"), F.coalesce("n_joining_links", F.lit(0)).alias("n_joining_links")))
     nodes = staged(nodes, "omh-nodes")
     # nulls last: a known id stands for the class if there is one
     best = nodes.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull(), F.col("first_id").alias("id"), F.col("node"))).alias("_best"))
-    named = (nodes.where("n_links > 0").join(best, "root")
-             .select("low", "high", "n_copies", "n_links", F.col("_best.id").alias("class_id"), (F.col("_best.node") == F.col("node")).alias("stands"), "first_id")
-             .unionByName(nodes.where("n_links = 0").select("low", "high", "n_copies", "n_links", F.col("first_id").alias("class_id"), F.lit(True).alias("stands"), "first_id")))
+    named = (nodes.where("n_joining_links > 0").join(best, "root")
+             .select("low", "high", "n_copies", "n_joining_links", F.col("_best.id").alias("class_id"), (F.col("_best.node") == F.col("node")).alias("stands"), "first_id")
+             .unionByName(nodes.where("n_joining_links = 0").select("low", "high", "n_copies", "n_joining_links", F.col("first_id").alias("class_id"), F.lit(True).alias("stands"), "first_id")))
     out = rows.join(named, ["low", "high"])
-    return out.select("doc_id", "low", "high", "class_id", "n_copies", "n_links", (F.col("stands") & F.col("doc_id").eqNullSafe(F.col("first_id"))).alias("kept"))
+    return out.select("doc_id", "low", "high", "class_id", "n_copies", "n_joining_links", (F.col("stands") & F.col("doc_id").eqNullSafe(F.col("first_id"))).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

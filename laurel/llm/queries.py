@@ -61,7 +61,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "class_id", "n_copies", "n_links", "kept")
+    return found.select("doc_id", "class_id", "n_copies", "n_joining_links", "kept")
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

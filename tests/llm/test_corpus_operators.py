@@ -417,6 +417,16 @@ def test_classes_of_short_texts_equal_brute_force(spark):
     assert order((r["doc_id"], r["class_id"]) for r in got) == order(brute_classes(rows))
 
 
+def test_links_are_named_as_those_that_join_the_class(spark):
+    """Of a class of near copies only links that join it are looked at; no column says that these are all."""
+    rng = random.Random(14)
+    origin = words(rng, 60)
+    rows = [(i, " ".join([*origin[:-1], f"end{i}"])) for i in range(12)]
+    got = order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "n_links" not in got.columns
+    assert {r["class_id"] for r in got.collect()} == {0} and {r["n_joining_links"] > 0 for r in got.collect()} == {True}
+
+
 def test_near_dedup_query(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, small, "documents").collect()]
     short = [r for r in rows if len(r[1]) < 6_000]
