@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laurel.llm import (decontaminate, language_id, line_dedup, order_minhash, quality_rules, secret_scan, sentencepiece_codec,
+from laurel.llm import (collocations, decontaminate, language_id, line_dedup, order_minhash, quality_rules, secret_scan, sentencepiece_codec,
                         suffix_dedup, token_output, url_filter)
 from laurel.llm.common import shared_folder, table
 from laurel.session import staged
@@ -93,8 +93,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.listed(spans).alias("spans"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_sentencepiece, op4_url_filter, op5_line_dedup,
-                                   op6_order_minhash, op7_token_output, op8_suffix_array_dedup, op9_language_id, op10_secret_scan)}
+                                   op6_order_minhash, op7_token_output, op8_suffix_array_dedup, op9_language_id, op10_secret_scan, op12_collocations)}
 
 ORACLES = {
     "op4_url_filter": """
@@ -123,5 +127,28 @@ m AS (SELECT k.r, k.doc_id, k.i, k.line, coalesce(c.n >= 3 AND k.doc_id <> c.lar
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r, doc_id
+""",
+    "op12_collocations": r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT doc, lang, unnest(string_split_regex(text, '[.,;:!?\n\x0B\f\r]')) AS piece FROM d),
+q AS (SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(piece, '[ \t]'), x -> x <> '') AS words FROM p),
+w AS (SELECT piece, lang, words, len(words) AS many, unnest(range(1, len(words) + 1)) AS i FROM q WHERE len(words) > 0),
+g AS (SELECT lang, words[i:i + k - 1] AS gram, k FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= many),
+f AS (SELECT lang, gram, k, count(*) AS a FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 100),
+inner_ AS (SELECT lang, gram[1:k - 1] AS gram, a FROM c UNION ALL SELECT lang, gram[2:] AS gram, a FROM c),
+covered AS (SELECT lang, gram, max(a) AS longer FROM inner_ GROUP BY lang, gram),
+kept AS (SELECT c.* FROM c LEFT JOIN covered USING (lang, gram) WHERE coalesce(longer < a, true)),
+cut AS (SELECT lang, gram, k, a, unnest(range(1, k)) AS at FROM kept),
+s AS (SELECT cut.lang, cut.gram, cut.a, cut.at, x.a AS l, y.a AS r, t.n,
+             ((1000::HUGEINT * cut.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.gram = cut.gram[1:at] JOIN f y ON y.lang = cut.lang AND y.gram = cut.gram[at + 1:]
+      JOIN t ON t.lang = cut.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, gram ORDER BY score, at) AS nth FROM s),
+r AS (SELECT lang, array_to_string(gram, ' ') AS phrase, a, l, r, n, score FROM b WHERE nth = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM r) WHERE rank <= 2000
 """,
 }
