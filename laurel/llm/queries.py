@@ -138,15 +138,15 @@ g AS (SELECT lang, words[i:i + k - 1] AS gram, k FROM w, (SELECT unnest([1, 2, 3
 f AS (SELECT lang, gram, k, count(*) AS a FROM g GROUP BY ALL),
 t AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
 c AS (SELECT * FROM f WHERE k > 1 AND a >= 100),
-inner_ AS (SELECT lang, gram[1:k - 1] AS gram, a FROM c UNION ALL SELECT lang, gram[2:] AS gram, a FROM c),
+inner_ AS (SELECT lang, gram[1:k - 1] AS gram, a FROM c UNION ALL SELECT lang, gram[2:k] AS gram, a FROM c),
 covered AS (SELECT lang, gram, max(a) AS longer FROM inner_ GROUP BY lang, gram),
 kept AS (SELECT c.* FROM c LEFT JOIN covered USING (lang, gram) WHERE coalesce(longer < a, true)),
-cut AS (SELECT lang, gram, k, a, unnest(range(1, k)) AS at FROM kept),
-s AS (SELECT cut.lang, cut.gram, cut.a, cut.at, x.a AS l, y.a AS r, t.n,
+cut AS (SELECT lang, gram, k, a, unnest(range(1, k)) AS j FROM kept),
+s AS (SELECT cut.lang, cut.gram, cut.a, cut.j, x.a AS l, y.a AS r, t.n,
              ((1000::HUGEINT * cut.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
-      FROM cut JOIN f x ON x.lang = cut.lang AND x.gram = cut.gram[1:at] JOIN f y ON y.lang = cut.lang AND y.gram = cut.gram[at + 1:]
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.gram = list_slice(cut.gram, 1, cut.j) JOIN f y ON y.lang = cut.lang AND y.gram = list_slice(cut.gram, cut.j + 1, cut.k)
       JOIN t ON t.lang = cut.lang),
-b AS (SELECT *, row_number() OVER (PARTITION BY lang, gram ORDER BY score, at) AS nth FROM s),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, gram ORDER BY score, j) AS nth FROM s),
 r AS (SELECT lang, array_to_string(gram, ' ') AS phrase, a, l, r, n, score FROM b WHERE nth = 1)
 SELECT lang, rank, phrase, a, l, r, n, score
 FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM r) WHERE rank <= 2000
