@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laurel.llm import (collocations, decontaminate, language_id, line_dedup, order_minhash, quality_rules, secret_scan, sentencepiece_codec,
-                        suffix_dedup, token_output, url_filter)
+                        suffix_dedup, token_alignment, token_output, url_filter)
 from laurel.llm.common import shared_folder, table
 from laurel.session import staged
 
@@ -97,8 +97,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.alignment(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_sentencepiece, op4_url_filter, op5_line_dedup,
-                                   op6_order_minhash, op7_token_output, op8_suffix_array_dedup, op9_language_id, op10_secret_scan, op12_collocations)}
+                                   op6_order_minhash, op7_token_output, op8_suffix_array_dedup, op9_language_id, op10_secret_scan, op12_collocations, op13_token_alignment)}
 
 ORACLES = {
     "op4_url_filter": """
@@ -132,7 +137,7 @@ FROM m GROUP BY r, doc_id
 WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 p AS (SELECT doc, lang, unnest(string_split_regex(text, '[.,;:!?\n\x0B\f\r]')) AS piece FROM d),
-q AS (SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(piece, '[ \t]'), x -> x <> '') AS words FROM p),
+q AS (SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(piece, '[ \t]'), lambda x: x <> '') AS words FROM p),
 w AS (SELECT piece, lang, words, len(words) AS many, unnest(range(1, len(words) + 1)) AS i FROM q WHERE len(words) > 0),
 g AS (SELECT lang, words[i:i + k - 1] AS gram, k FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= many),
 f AS (SELECT lang, gram, k, count(*) AS a FROM g GROUP BY ALL),
