@@ -36,7 +36,7 @@ from laurel.session import staged
 LEAST, LONGEST, TOP = 100, 5, 2_000
 UNKNOWN = "und"
 #: Bytes of text that are split at once, words that a task holds before it passes them on, n-grams that it counts at once.
-SLICE, HELD, GRAMS = 1 << 20, 400_000, 3_000_000
+SLICE, HELD, GRAMS = 1 << 20, 250_000, 1_000_000
 #: Occurrences of frequent words that a range of n-grams stands for, on average.
 RANGE_WORDS = 4_000_000
 #: Every separator becomes a full stop, which no word holds; tabs become blanks.

@@ -22,11 +22,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import accumulate
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pandas as pd
@@ -39,9 +38,9 @@ from laurel.session import staged
 
 LONG_CHARS, CHUNK_CHARS, FAN = 1 << 16, 1 << 15, 8
 #: Parts that a worker remembers: twice this number at most, those used lately among them.
-MEMO, MEMO_CHARS = 60_000, 48
-#: Characters of text that are encoded together, and links that are looked up together.
-BLOCK, LINKS = 1 << 20, 2_000_000
+MEMO, MEMO_CHARS = 120_000, 48
+#: Characters of text that are encoded together, links that are looked up together, parts that A encodes as one text.
+BLOCK, LINKS, JOINED = 1 << 20, 2_000_000, 256
 #: A blank behind a character that is no white space begins a part.
 PART = re.compile(r" (?:[^ ]+|(?<=\s) +)*")
 CUT_A = re.compile("(?<=\\S)(?=[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
@@ -69,16 +68,43 @@ class Tokenizers:
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
         self.crossing = any("▁" in p.lstrip("▁") for i, p in enumerate(pieces) if not self.b.is_control(i))
+        self.sizes_a, self.sizes_b = np.array(self.size_a), np.array(self.size_b)
+        n = max(len(self.size_a), len(self.size_b))
+        #: Decimal ids of A, inside and at the end of a group, and of B, as they are written.
+        self.written = np.array([[f"{i}{mark}" for i in range(n)] for mark in (",", "|", ",", ";")], object)
         self.shift = max(1, (len(self.bytes_b) - 1).bit_length())
 
-    def encode_a(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts that begin with a blank, as B's are; a text that A does not give back has None."""
-        out = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        return [ids if b"".join(map(self.bytes_a.__getitem__, ids)) == t.encode("utf-8", "replace") else None for t, ids in zip(texts, out)]
+    def encode_a(self, texts: list[str]) -> list[list[int] | None]:
+        """Ids of texts that begin with a blank, as B's are; a text that the ids do not give back has None."""
+        return given_back(texts, self._ids_a(texts), self.bytes_a)
+
+    def _ids_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text.  Texts are encoded JOINED at a time: no token crosses from a character that is no white space to a blank."""
+        out: list[list[int]] = []
+        joined = [texts[i:i + JOINED] for i in range(0, len(texts), JOINED)]
+        found = self.a.encode_batch_fast(["".join(x) for x in joined], add_special_tokens=False)
+        for some, e in zip(joined, found):
+            ids = e.ids
+            ends = np.cumsum(self.sizes_a[ids])
+            want = np.cumsum([len(x.encode("utf-8", "replace")) for x in some])
+            cut = np.searchsorted(ends, want)
+            if any(x[-1:].isspace() for x in some[:-1]) or not len(ids) or cut[-1] >= len(ends) or (ends[cut] != want).any():
+                out += [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
+            else:
+                at = [0, *(cut + 1).tolist()]
+                out += [ids[i:j] for i, j in zip(at, at[1:])]
+        return out
+
+    def encode_b(self, texts: list[str]) -> list[list[int] | None]:
+        return given_back(texts, self.b.encode([t[1:] for t in texts], num_threads=1), self.bytes_b)
+
 
-    def encode_b(self, texts: list[str]) -> list[list[int]]:
-        out = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return [ids if b"".join(map(self.bytes_b.__getitem__, ids)) == t.encode("utf-8", "replace") else None for t, ids in zip(texts, out)]
+def given_back(texts: list[str], found: list[list[int]], bytes_of: list[bytes]) -> list[list[int] | None]:
+    join = lambda ids: b"".join(map(bytes_of.__getitem__, ids))
+    if join(chain.from_iterable(found)) == "".join(texts).encode("utf-8", "replace"):
+        # each text begins with a blank behind which no token goes on, so all are given back if they are together
+        return found
+    return [ids if join(ids) == t.encode("utf-8", "replace") else None for t, ids in zip(texts, found)]
 
 
 @dataclass
@@ -178,29 +204,36 @@ def whole(f: Fragment, shift: int) -> Fragment:
     return edge.then(f, shift).then(edge, shift)
 
 
-def closed(a: list[int], b: list[int], t: Tokenizers) -> tuple[int, list[int], str]:
-    """Number of groups, links and the groups' text of a part that begins and ends with a group."""
-    i = j = gi = gj = 0
-    n, m, shift, size_a, size_b = len(a), len(b), t.shift, t.size_a, t.size_b
-    x, y = size_a[a[0]], size_b[b[0]]
-    groups, links = [], []
-    while True:
-        links.append(a[i] << shift | b[j])
-        if x < y:
-            i += 1
-            x += size_a[a[i]]
-        elif y < x:
-            j += 1
-            y += size_b[b[j]]
-        else:
-            i += 1
-            j += 1
-            groups.append(",".join(map(str, a[gi:i])) + "|" + ",".join(map(str, b[gj:j])))
-            if i == n or j == m:
-                return len(groups), links, ";".join(groups)
-            gi, gj = i, j
-            x += size_a[a[i]]
-            y += size_b[b[j]]
+def closed(a: list[list[int]], b: list[list[int]], t: Tokenizers) -> list[tuple[int, str, bytes]]:
+    """Number of groups, their text and the links' codes of parts that begin and end with a group, all at once.
+
+    The parts' tokens lie behind each other, so that their ends are common ends.
+    """
+    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a, n_a), (b, n_b)))
+    ends_a, ends_b = np.cumsum(t.sizes_a[ids_a]), np.cumsum(t.sizes_b[ids_b])
+    # between two neighbouring ends of either lies one link
+    both = np.union1d(ends_a, ends_b)
+    at_a, at_b = np.searchsorted(ends_a, both), np.searchsorted(ends_b, both)
+    codes = (ids_a[at_a].astype(np.uint64) << np.uint64(t.shift)) | ids_b[at_b].astype(np.uint64)
+    shared = (ends_a[at_a] == both) & (ends_b[at_b] == both)
+    last_a, last_b = np.zeros(len(ids_a), bool), np.zeros(len(ids_b), bool)
+    last_a[at_a[shared]] = True
+    last_b[at_b[shared]] = True
+    groups_a, groups_b = (np.cumsum(x) - x for x in (last_a, last_b))  # number of each token's group
+    before_a, before_b = (np.concatenate(([0], np.flatnonzero(x) + 1)) for x in (last_a, last_b))  # tokens before each group
+    words = np.empty(len(ids_a) + len(ids_b), object)
+    words[np.arange(len(ids_a)) + before_b[groups_a]] = t.written[last_a.astype(np.int64), ids_a]
+    words[np.arange(len(ids_b)) + before_a[groups_b + 1]] = t.written[2 + last_b.astype(np.int64), ids_b]
+    stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
+    stop_words, stop_groups = (stop_a + stop_b).tolist(), np.cumsum(last_a)[stop_a - 1].tolist()
+    stop_links = (8 * (np.searchsorted(both, ends_a[stop_a - 1]) + 1)).tolist()
+    words, codes, out = words.tolist(), codes.tobytes(), []
+    w = g = c = 0
+    for ww, gg, cc in zip(stop_words, stop_groups, stop_links):
+        out.append((gg - g, "".join(words[w:ww]), codes[c:cc]))
+        w, g, c = ww, gg, cc
+    return out
 
 
 _kept: dict = {}
@@ -222,14 +255,13 @@ class Aligner:
 
     def learn(self, parts: list[str]) -> dict[str, tuple | None]:
         """Of each part: numbers of A and B tokens and of groups, the groups' text, the links' codes; None if it is not given back."""
-        t, out = self.t, {}
-        for p, a, b in zip(parts, t.encode_a(parts), t.encode_b(parts)):
-            if a is None or b is None:
-                out[p] = None
-                continue
-            n_groups, links, text = closed(a, b, t)
-            out[p] = (len(a), len(b), n_groups, text, array("Q", links).tobytes())
-        return out
+        found = dict.fromkeys(parts)
+        both = zip(parts, self.t.encode_a(parts), self.t.encode_b(parts))
+        good = [(p, a, b) for p, a, b in both if a and b]
+        if good:
+            parts, a, b = zip(*good)
+            found.update((p, (len(x), len(y), *got)) for p, x, y, got in zip(parts, a, b, closed(a, b, self.t)))
+        return found
 
     def align(self, texts: list[str | None]) -> list[tuple]:
         """n_a, n_b, n_groups, sha256 of the groups, codes of the links (64-bit), for each text."""
@@ -242,6 +274,7 @@ class Aligner:
                 known[p] = self.old[p]
             else:
                 new.append(p)
+        new.sort(key=lambda p: p[-1:].isspace())  # those that end in white space are encoded one by one
         known.update(self.learn(new))
         for p, x in known.items():
             if len(p) <= MEMO_CHARS:
@@ -255,7 +288,7 @@ class Aligner:
                 out.append((0, 0, 0, "", b""))
                 continue
             n_a, n_b, groups, text, codes = zip(*got)
-            out.append((sum(n_a), sum(n_b), sum(groups), hashlib.sha256(";".join(text).encode()).hexdigest(), b"".join(codes)))
+            out.append((sum(n_a), sum(n_b), sum(groups), hashlib.sha256("".join(text)[:-1].encode()).hexdigest(), b"".join(codes)))
         return out
 
 
@@ -318,6 +351,12 @@ def chunks_of(text: str, chunk_chars: int, crossing: bool) -> Iterator[tuple[str
             return
 
 
+def frames(rows: Iterator[dict], size: int = 64) -> Iterator[pd.DataFrame]:
+    while some := list(islice(rows, size)):
+        frame = pd.DataFrame(some)
+        yield frame.assign(doc_id=pd.array([None if pd.isna(x) else int(x) for x in frame["doc_id"]], "Int64"))
+
+
 STRETCH = "row string, no long, doc_id long, a string, b string, begin long"
 PIECE = "row string, no long, doc_id long, good boolean, n_a long, n_b long, cut boolean, lead long, head binary, tail binary, groups string, n_groups long, links binary"
 
@@ -337,21 +376,22 @@ def long_texts(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int, fan:
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         crossing = tokenizers(path_a, path_b).crossing
-        for part in parts:
-            for row, doc_id, text in zip(part["row"], part["doc_id"], part["text"]):
-                for no, (a, b, begin) in enumerate(chunks_of(text, chunk_chars, crossing)):
-                    yield pd.DataFrame({"row": [row], "no": [no], "doc_id": pd.array([doc_id], "Int64"), "a": [a], "b": [b], "begin": [begin]})
+        made = ({"row": row, "no": no, "doc_id": doc_id, "a": a, "b": b, "begin": begin}
+                for part in parts for row, doc_id, text in zip(part["row"], part["doc_id"], part["text"])
+                for no, (a, b, begin) in enumerate(chunks_of(text, chunk_chars, crossing)))
+        return frames(made)
 
     def align(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = tokenizers(path_a, path_b)
-        for part in parts:
-            for r in part.itertuples():
-                a, b = (encode([x])[0] if x else [] for encode, x in ((t.encode_a, r.a), (t.encode_b, r.b)))
-                good = a is not None and b is not None
-                o = Open(a, [t.size_a[i] for i in a], b, [t.size_b[i] for i in b]) if good else Open()
-                f = scan(o, int(r.begin), t.shift) if good and (a or b) else Fragment()
-                doc_id = None if pd.isna(r.doc_id) else int(r.doc_id)
-                yield pd.DataFrame([piece(r.row, r.no, doc_id, good, len(a or ()), len(b or ()), f)]).astype({"doc_id": "Int64"})
+
+        def of(r) -> dict:
+            a, b = (encode([x])[0] if x else [] for encode, x in ((t.encode_a, r.a), (t.encode_b, r.b)))
+            good = a is not None and b is not None
+            o = Open(a, [t.size_a[i] for i in a], b, [t.size_b[i] for i in b]) if good else Open()
+            f = scan(o, int(r.begin), t.shift) if good and (a or b) else Fragment()
+            return piece(r.row, r.no, r.doc_id, good, len(a or ()), len(b or ()), f)
+
+        return frames(of(r) for part in parts for r in part.itertuples())
 
     def compose(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("no")
@@ -359,9 +399,8 @@ def long_texts(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int, fan:
         total = Fragment()
         for r in part.itertuples() if good else ():
             total = total.then(fragment_of(r._asdict()), shift)
-        doc_id = part["doc_id"].iloc[0]
-        made = piece(key[0], int(part["no"].iloc[0]) // fan, None if pd.isna(doc_id) else int(doc_id), good, int(part["n_a"].sum()), int(part["n_b"].sum()), total)
-        return pd.DataFrame([made]).astype({"doc_id": "Int64"})
+        made = piece(key[0], int(part["no"].iloc[0]) // fan, part["doc_id"].iloc[0], good, int(part["n_a"].sum()), int(part["n_b"].sum()), total)
+        return next(frames(iter([made])))
 
     def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
         shift = tokenizers(path_a, path_b).shift
