@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laurel.llm import (collocations, decontaminate, language_id, line_dedup, order_minhash, quality_rules, secret_scan, sentencepiece_codec,
+from laurel.llm import (collocations, decontaminate, language_id, line_dedup, order_minhash, pii, quality_rules, secret_scan, sentencepiece_codec,
                         suffix_dedup, token_alignment, token_output, url_filter)
 from laurel.llm.common import shared_folder, table
 from laurel.session import staged
@@ -93,6 +93,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.listed(spans).alias("spans"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", pii.personal_data(F.col("text"), pii.fit(docs), spark).alias("_s"))
+    base, spans = F.col("_s.base"), pii.in_order(F.concat("_s.base", "_s.added"))
+    count = lambda kind: F.size(secret_scan.of_kind(base, kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+                        secret_scan.listed(spans).alias("spans"), F.size("_s.added").cast("long").alias("n_added"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
@@ -103,7 +112,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_sentencepiece, op4_url_filter, op5_line_dedup,
-                                   op6_order_minhash, op7_token_output, op8_suffix_array_dedup, op9_language_id, op10_secret_scan, op12_collocations, op13_token_alignment)}
+                                   op6_order_minhash, op7_token_output, op8_suffix_array_dedup, op9_language_id, op10_secret_scan, op11_pii, op12_collocations, op13_token_alignment)}
 
 ORACLES = {
     "op4_url_filter": """

@@ -41,10 +41,10 @@ LONG_CHARS, CHUNK_CHARS, FAN = 1 << 16, 1 << 15, 8
 MEMO, MEMO_CHARS = 120_000, 48
 #: Characters of text that are encoded together, links that are looked up together, parts that A encodes as one text.
 BLOCK, LINKS, JOINED = 1 << 20, 2_000_000, 256
-#: A blank behind a character that is no white space begins a part.
-PART = re.compile(r" (?:[^ ]+|(?<=\s) +)*")
+#: A blank behind a character that is no white space begins a part, but for a last one: B adds a part's first blank itself, to what is not empty.
+PART = re.compile(r" (?:[^ ]+|(?<=\s) +| \Z)*")
 CUT_A = re.compile("(?<=\\S)(?=[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
-CUT_B = re.compile(r"(?<=\S)(?= )")
+CUT_B = re.compile(r"(?<=\S)(?= (?!\Z))")
 
 
 class Tokenizers:
