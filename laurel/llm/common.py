@@ -17,6 +17,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Texts go to Python workers in batches of at most so many rows, so that workers hold few of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """URI of a new folder that driver and executors share, for files that tasks write."""
     root = staging_root(spark).rstrip("/")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from laurel.llm import (collocations, decontaminate, language_id, line_dedup, order_minhash, pii, quality_rules, secret_scan, sentencepiece_codec,
                         suffix_dedup, token_alignment, token_output, url_filter)
-from laurel.llm.common import shared_folder, table
+from laurel.llm.common import shared_folder, small_batches, table
 from laurel.session import staged
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -40,13 +40,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_file("piece_bpe_32k.model")
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("ids", sentencepiece_codec.encode(F.col("text"), path))
-    coded = coded.withColumn("back", sentencepiece_codec.decode(F.col("ids"), path))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sentencepiece_codec.ids_crc32(F.col("ids")).alias("ids_crc32"),
-                        F.sha2("back", 256).alias("decoded_sha256"),
-                        (F.col("back") == F.coalesce(F.translate("text", sentencepiece_codec.BLANK, " "), F.lit(""))).alias("round_trip"))
+    coded = docs.select("doc_id", "text", sentencepiece_codec.coded(F.col("text"), tokenizer_file("piece_bpe_32k.model")).alias("c"))
+    return coded.select("doc_id", F.size("c.ids").cast("long").alias("n_tokens"), "c.ids_crc32", F.sha2("c.text", 256).alias("decoded_sha256"),
+                        (F.col("c.text") == F.coalesce(F.translate("text", sentencepiece_codec.BLANK, " "), F.lit(""))).alias("round_trip"))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +58,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = order_minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "class_id", "n_copies", "n_joining_links", "kept")
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = token_output.write_shards(docs, tokenizer_file("word_bpe_49k.json"), shared_folder(spark, "token-ids"), vocabulary=49_408)
     return token_output.read_shards(manifest)
@@ -94,6 +94,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = docs.select("doc_id", pii.personal_data(F.col("text"), pii.fit(docs), spark).alias("_s"))
     base, spans = F.col("_s.base"), pii.in_order(F.concat("_s.base", "_s.added"))
@@ -103,10 +104,12 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_alignment.alignment(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
 

@@ -7,7 +7,7 @@ cross, such as those before a blank, are convergence points known beforehand; pa
 
 Characters outside the vocabulary become bytes where the vocabulary has byte pieces, else the unknown id.  Null and empty texts have no
 ids.  Decoding gives the text back, except that U+2581, which stands for a blank inside pieces, comes back as a blank, as it does in the
-library, and that normalisation named in the vocabulary file stays applied.
+library, and that normalisation named in the vocabulary file stays applied.  Repeated rows give repeated results; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,8 +23,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-#: Parts of texts that a worker remembers, and their greatest length.
-MEMO, MEMO_CHARS = 300_000, 64
+#: Parts of texts that a worker remembers (twice this number at most, those used lately among them), and their greatest length.
+MEMO, MEMO_CHARS = 100_000, 64
+#: Bytes of ids and text that are passed on together.
+BLOCK = 4 << 20
 #: Below the lowest score, as much as the library takes off for an unknown character.
 UNKNOWN_PENALTY = 10.0
 
@@ -135,13 +137,17 @@ class Codec:
     def __init__(self, path: str):
         self.v = Vocabulary(path)
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def segment(self, part: str) -> bytes:
         if len(part) > MEMO_CHARS:
             return b"".join(np.array(ids, "<i4").tobytes() for ids in viterbi(part, self.v))
+        out = self.old.get(part)
+        if out is None:
+            out = np.array([x for ids in viterbi(part, self.v) for x in ids], "<i4").tobytes()
         if len(self.memo) >= MEMO:
-            self.memo.clear()
-        self.memo[part] = out = np.array([x for ids in viterbi(part, self.v) for x in ids], "<i4").tobytes()
+            self.memo, self.old = {}, self.memo
+        self.memo[part] = out
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -151,8 +157,8 @@ class Codec:
         if self.v.cut is None:
             data = b"".join(np.array(ids, "<i4").tobytes() for ids in viterbi(text, self.v))
         else:
-            get, segment = self.memo.get, self.segment
-            data = b"".join([segment(p) if (known := get(p)) is None else known for p in self.v.cut.findall(text)])
+            segment = self.segment
+            data = b"".join([segment(p) if (known := self.memo.get(p)) is None else known for p in self.v.cut.findall(text)])
         return np.frombuffer(data, "<i4")
 
     def decode(self, ids: np.ndarray | list[int] | None) -> str:
@@ -163,12 +169,43 @@ class Codec:
         return text[1:] if self.v.prefix and text[:1] == " " else text
 
 
+@lru_cache(maxsize=1)
+def codec_of(path: str) -> Codec:
+    """One for all tasks of a worker."""
+    return Codec(path)
+
+
+def coded(text: Column, path: str) -> Column:
+    """Struct of ids, their ids_crc32, and the text that they decode to, in one step and with one vocabulary."""
+
+    @F.pandas_udf("ids array<int>, ids_crc32 long, text string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = codec_of(path)
+
+        def out(held: list[np.ndarray]) -> pd.DataFrame:
+            return pd.DataFrame({"ids": pd.Series(held, dtype=object), "ids_crc32": pd.Series([zlib.crc32(x.tobytes()) for x in held], dtype="int64"),
+                                 "text": pd.Series([codec.decode(x) for x in held], dtype=object)})
+
+        for texts in parts:
+            held, size = [], 0
+            for t in texts:
+                held.append(codec.encode(t))
+                size += held[-1].nbytes
+                if size > BLOCK:
+                    yield out(held)
+                    held, size = [], 0
+            if held or not len(texts):
+                yield out(held)
+
+    return run.asNondeterministic()(text)
+
+
 def encode(text: Column, path: str) -> Column:
     """Array of ids."""
 
     @F.pandas_udf("array<int>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for texts in parts:
             yield pd.Series([codec.encode(t) for t in texts], dtype=object)
 
@@ -178,7 +215,7 @@ def encode(text: Column, path: str) -> Column:
 def decode(ids: Column, path: str) -> Column:
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for some in parts:
             yield pd.Series([codec.decode(x) for x in some], dtype=object)
 

@@ -27,8 +27,10 @@ from laurel.session import staged
 
 END_ID = 2
 MAGIC = b"LTOK0001"
-#: Different chunks of text whose ids a worker remembers.
-MEMO = 300_000
+#: Different parts of texts whose ids a worker remembers: twice this number at most, those used lately among them.
+MEMO = 150_000
+#: Parts that are encoded as one text; characters of text that are encoded together.
+JOINED, BLOCK = 256, 1 << 20
 #: Ids are held up to this many bytes before they are written.
 BUFFER = 4 << 20
 
@@ -90,33 +92,57 @@ class Encoder:
     """Whole texts to ids, through the tokenizers library.
 
     Texts are cut at blanks and line ends, which the tokenizer's own splitting drops, so ids of the parts are ids of the text; parts
-    already seen are looked up.  ``cuts`` has to be False for a tokenizer that keeps white space: texts are then encoded whole.
+    seen lately are looked up, and new ones are encoded together, JOINED at a time, with MARK between them.  ``cuts`` has to be False for a tokenizer
+    that keeps white space: texts are then encoded whole.
     """
 
+    MARK = "\x01"
+
     def __init__(self, path: str, dtype: str, cuts: bool = True):
         from tokenizers import Tokenizer
         self.tokenizer, self.dtype, self.cuts = Tokenizer.from_file(path), dtype, cuts
-        self.memo: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        mark = self._ids([self.MARK])[0]
+        #: Id of MARK; None if it is not one token, and parts are encoded one by one.
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
+        alone = parts if self.mark is None else [p for p in parts if self.MARK in p]
+        found = {p: self._bytes(ids) for p, ids in zip(alone, self._ids(alone))}
+        rest = [p for p in parts if p not in found]
+        groups = [rest[i:i + JOINED] for i in range(0, len(rest), JOINED)]
+        for some, ids in zip(groups, self._ids([f" {self.MARK} ".join(g) for g in groups])):
+            ids = np.array(ids, self.dtype)
+            cut = [-1, *np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            found.update((p, ids[i + 1:j].tobytes()) for p, i, j in zip(some, cut, cut[1:]))
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
         if not self.cuts:
-            return self._ids([text])[0]
-        parts = text.replace("\n", " ").split(" ")
-        memo = self.memo
-        try:
-            return b"".join([memo[p] for p in parts])
-        except KeyError:
-            if len(memo) > MEMO:
-                memo.clear()
-        new = [p for p in set(parts) if p not in memo]
-        fresh = dict(zip(new, self._ids(new)))
-        memo.update((k, v) for k, v in fresh.items() if len(k) <= 64)
-        return b"".join([fresh[p] if p in fresh else memo[p] for p in parts])
+            return [self._bytes(self._ids([t])[0]) if t else b"" for t in texts]
+        split = [t.replace("\n", " ").split(" ") if t else () for t in texts]
+        known, new = {}, []
+        for p in set().union(*split):
+            if p in self.young:
+                known[p] = self.young[p]
+            elif p in self.old:
+                self.young[p] = known[p] = self.old[p]
+            else:
+                new.append(p)
+        if new:
+            fresh = self.learn(new)
+            known |= fresh
+            self.young.update((p, x) for p, x in fresh.items() if len(p) <= 64)
+        if len(self.young) > MEMO:
+            self.young, self.old = {}, self.young
+        return [b"".join([known[p] for p in parts]) for parts in split]
 
 
 @lru_cache(maxsize=1)
@@ -126,6 +152,18 @@ def encoder(path: str, dtype: str, cuts: bool) -> Encoder:
     return Encoder(path, dtype, cuts)
 
 
+def in_blocks(texts: pd.Series, encode) -> Iterator[bytes]:
+    """encode() of each text, of blocks of texts at a time."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or "")
+        if size > BLOCK:
+            yield from encode(held)
+            held, size = [], 0
+    yield from encode(held)
+
+
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, vocabulary: int, text: str = "text", key: str = "doc_id",
                  end_id: int = END_ID, partitions: int | None = None, cuts: bool = True) -> DataFrame:
     """Write docs in ascending order of key; returns the manifest: shard, file, n_docs, n_ids, start."""
@@ -145,11 +183,11 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, vocabulary: int,
                 out = fs.open_output_stream(path)
                 out.write(MAGIC)
             held, size = [], 0
-            for k, null, t in zip(part["_key"], part["_null"], part["_text"]):
+            for k, null, t in zip(part["_key"], part["_null"], in_blocks(part["_text"], encode)):
                 if first is None and not null:
                     first = int(k)
                 nulls += bool(null)
-                ids = encode(t) + end
+                ids = t + end
                 total += len(ids) // width
                 ends.append(total)
                 keys.append(0 if null else int(k))
