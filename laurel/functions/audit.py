@@ -17,6 +17,16 @@ def page_text(html: Column) -> Column:
     return F.regexp_replace(html, VISIBLE_TEXT_CUTS, " ")
 
 
+def page_title(html: Column) -> Column:
+    """Text of the first title element, for landed pages without metadata; null without one."""
+    return F.nullif(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1), F.lit(""))
+
+
+def page_description(html: Column) -> Column:
+    """Content of the description meta element; null without one."""
+    return F.nullif(F.regexp_extract(html, r"""(?is)<meta\s+name=["']description["']\s+content=["']([^"']*)["']""", 1), F.lit(""))
+
+
 def audit(url: Column, html: Column, markdown: Column) -> dict[str, Column]:
     html = F.coalesce(html, F.lit(""))
     low = F.lower(html)

@@ -19,11 +19,16 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
 
+def quoted(v: str) -> str:
+    """A SQL text literal."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def text_array(values) -> Column:
     """A constant array, built in one call."""
     if not values:
         return F.expr("cast(array() as array<string>)")
-    return F.expr("array(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values) + ")")
+    return F.expr("array(" + ", ".join(map(quoted, values)) + ")")
 
 
 def has_text(c: Column) -> Column:

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from laurel.functions.numbers import round_half_even
 from laurel.session import staged
 
+#: A key counts as hot from this part of all rows on.
+SHARES = 256
+
 
 def _ranged(df: DataFrame, groups: list[str], order: list[Column], name: str) -> DataFrame:
     """Rows range-partitioned by (group, order), with the number of their range as ``_range``.
@@ -39,14 +42,31 @@ def midrank_percentile(df: DataFrame, groups: list[str], value: str, out: str =
     in_range = Window.partitionBy(*groups, "_range").orderBy(value)
     local = ranged.withColumn("_less", F.sum("_n").over(in_range) - F.col("_n"))
     pct = (F.col("_before") + F.col("_less") + F.lit(0.5) * F.col("_n")) / F.col("_all") * F.lit(100.0)
-    table = (local.join(_before(ranged, groups, F.sum("_n")), [*groups, "_range"]).select(*groups, value, pct.alias("_pct"))
-             .select(*groups, value, round_half_even(F.col("_pct"), 2).alias(out)))
-    result = df.join(table, [*groups, value], "left")
+    table = (local.join(_before(ranged, groups, F.sum("_n")), [*groups, "_range"]).select(*groups, value, "_n", pct.alias("_pct"))
+             .select(*groups, value, "_n", round_half_even(F.col("_pct"), 2).alias(out)))
+    total = ranged.agg(F.sum("_n")).first()[0] or 0
+    result = _attach(df, table, [*groups, value], total).drop("_n")
     if impute is None:
         return result
     return result.withColumn(out, F.coalesce(F.col(out), F.lit(impute)))
 
 
+def _attach(df: DataFrame, table: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """df with the columns of table, which has one row for each key and in ``_n`` how many rows of df have it (``total`` of all).
+
+    Keys with more than a SHARES-th of all rows are salted: there are fewer than
+    SHARES of them, which bounds what is broadcast, and each gets as many salts as
+    it has shares, to which its rows are dealt by their hash.
+    """
+    shares = F.ceil(F.col("_n") * F.lit(SHARES) / F.lit(float(max(total, 1)))).cast("int")
+    hot = table.where(F.col("_n") * F.lit(SHARES) > F.lit(total)).select(*keys, shares.alias("_shares"))
+    salts = F.explode(F.sequence(F.lit(0), F.when(F.col("_n") * F.lit(SHARES) > F.lit(total), shares - 1).otherwise(F.lit(0))))
+    row = F.xxhash64(*[F.col(c) for c in df.columns])
+    salt = F.coalesce(F.pmod(row, F.col("_shares").cast("long")).cast("int"), F.lit(0))
+    dealt = df.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_shares")
+    return dealt.join(table.withColumn("_salt", salts), [*keys, "_salt"], "left").drop("_salt")
+
+
 def position_in_groups(df: DataFrame, groups: list[str], order: list[Column], out: str = "rank_position") -> DataFrame:
     """row_number() per group; ``order`` must be a total order.
 

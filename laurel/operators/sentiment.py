@@ -5,13 +5,15 @@ words before a lexicon word, and s / sqrt(s^2 + 15) as the text score.  Scores
 depend on the lexicon table the caller passes; they are not those of any package.
 """
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laurel import fixed
 from laurel.functions.numbers import round_half_even
-from laurel.functions.text import contains_any
-from laurel.session import small_table
+from laurel.functions.text import contains_any, quoted
+from laurel.session import small_table, staged
 
 # A small lexicon for demonstrations, on its own coarse scale.  Real runs pass their own (term, valence) table.
 _STRONG, _PLAIN, _WEAK = 3.0, 2.0, 1.0
@@ -33,6 +35,9 @@ NORMALISER = 15.0
 MICRO = 1_000_000  # valences add up as whole micro-units: the sum is exact in any order
 TOKEN = r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*"
 
+#: Terms of a lexicon that a plan may hold (about 50 bytes each).
+DICTIONARY_TERMS = 20_000
+
 TEXT_KEY = ["run_id", "business_id", "source", "pos"]
 
 
@@ -56,35 +61,74 @@ def _valence(valence: Column, before: list[Column], negations, boosters) -> Colu
 
 
 def text_scores(texts: DataFrame, lexicon: DataFrame, keys: list[str] = TEXT_KEY, negations=NEGATIONS,
-                boosters=BOOSTERS, flags: dict[str, Column] | None = None) -> DataFrame:
-    """keys, one boolean per flag, and the compound score (-1..1, 4 places) of every text.
-
-    Each text is split and scored once, whatever number of aspects is asked for.
-    Words join the lexicon table, of which a repeated term counts once (with its
-    highest valence); no text is shuffled, and where Spark broadcasts the lexicon
-    the map-side aggregate folds a text's words back into one row.
+                boosters=BOOSTERS, flags: dict[str, Column] | None = None, partitions: int | None = None,
+                dictionary_terms: int = DICTIONARY_TERMS) -> DataFrame:
+    """keys, one boolean per flag, and the compound score (-1..1, 4 places) of every text, a row for each.
+
+    Each text is split and scored once, whatever number of aspects is asked for.  A
+    lexicon of at most ``dictionary_terms`` terms becomes a dictionary in the plan: a
+    text's words meet it inside the row, only its hits get their context, and
+    nothing is shuffled.  A larger lexicon is joined as a table.  A repeated
+    term counts once, with its highest valence.
+    ``partitions`` deals the texts to so many tasks first, for sources of fewer splits.
     """
     flags = flags or {}
-    low = texts.select(*keys, F.lower("text").alias("low"))
-    split = low.select(*keys, *[c.alias(n) for n, c in flags.items()],
-                       F.regexp_extract_all("low", F.lit(TOKEN), 0).alias("_words"))
-    words = F.col("_words")
-    places = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1))
-    in_context = F.transform(places, lambda i: F.struct(
-        F.get(words, i).alias("term"), F.get(words, i - 1).alias("b1"), F.get(words, i - 2).alias("b2"),
-        F.get(words, i - 3).alias("b3")))
-    # outer: a text without a lexicon word still gives a row
-    tokens = split.select(*keys, *flags, F.explode_outer(in_context).alias("_t")).select(*keys, *flags, "_t.*")
     terms = lexicon.where(F.col("term").isNotNull()).groupBy("term").agg(F.max("valence").alias("valence"))
-    hit = tokens.join(terms, "term", "left")
-    value = _valence(F.col("valence"), [F.col("b1"), F.col("b2"), F.col("b3")], negations, boosters)
-    micro = F.coalesce(F.rint(value * MICRO).cast("long"), F.lit(0))
+    known = {r["term"]: r["valence"] for r in terms.limit(dictionary_terms + 1).collect()}
+    texts = texts.select(*keys, "text")
+    low = (texts.repartition(partitions) if partitions else texts).select(*keys, F.lower("text").alias("low"))
+    split = low.select(*keys, *[c.alias(n) for n, c in flags.items()], F.regexp_extract_all("low", F.lit(TOKEN), 0).alias("_words"))
+    if len(known) > dictionary_terms:
+        summed = _by_join(split, terms, [*keys, *flags], negations, boosters)
+    else:
+        summed = split.select(*keys, *flags, _by_dictionary(known, negations, boosters).alias("_sum"))
     s = F.col("_sum") / F.lit(float(MICRO))
-    return (hit.groupBy(*keys, *flags).agg(F.sum(micro).alias("_sum"))
-            .select(*keys, *flags, (s / F.sqrt(s * s + NORMALISER)).alias("_score"))
+    return (summed.select(*keys, *flags, (s / F.sqrt(s * s + NORMALISER)).alias("_score"))
             .select(*keys, *flags, round_half_even(F.col("_score"), 4).alias("compound")))
 
 
+def _micro(valence: Column) -> Column:
+    return F.coalesce(F.rint(valence * MICRO).cast("long"), F.lit(0).cast("long"))
+
+
+def _by_dictionary(known: dict[str, float | None], negations, boosters) -> Column:
+    """Sum over the lexicon words of ``_words``, in micro-units.
+
+    Places of hits come from a hash set of all terms; their valences from short
+    maps by the terms' crc32, as a map is searched from its beginning.
+    """
+    if not known:
+        return F.lit(0).cast("long")
+    buckets: list[dict[str, float | None]] = [{} for _ in range(-(-len(known) // 4))]
+    for term, valence in known.items():
+        buckets[zlib.crc32(term.encode()) % len(buckets)][term] = valence
+    double = lambda v: f"cast({'null' if v is None else repr(str(v))} as double)"
+    maps = [f"map({', '.join(f'{quoted(t)}, {double(v)}' for t, v in b.items())})" if b else "cast(map() as map<string, double>)" for b in buckets]
+    table = F.expr(f"array({', '.join(maps)})")
+    places = F.expr(f"filter(sequence(0, size(_words) - 1), i -> get(_words, i) in ({', '.join(map(quoted, known))}))")
+    words = F.col("_words")
+
+    def worth(i: Column) -> Column:
+        word = F.get(words, i)
+        own = F.get(table, (F.crc32(word) % len(buckets)).cast("int"))[word]
+        return _micro(_valence(own, [F.get(words, i - k) for k in (1, 2, 3)], negations, boosters))
+
+    return F.when(F.size(words) > 0, F.aggregate(F.transform(places, worth), F.lit(0).cast("long"), lambda a, b: a + b)).otherwise(F.lit(0).cast("long"))
+
+
+def _by_join(split: DataFrame, terms: DataFrame, keys: list[str], negations, boosters) -> DataFrame:
+    """keys and ``_sum``, for lexicons too large for a plan: words become rows, told apart by their text's own number."""
+    words = F.col("_words")
+    places = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1))
+    in_context = F.transform(places, lambda i: F.struct(F.get(words, i).alias("term"), *[F.get(words, i - k).alias(f"b{k}") for k in (1, 2, 3)]))
+    rows = staged(split.withColumn("_text", F.expr("uuid()")), "split-texts")
+    # outer: a text without a word still gives a row
+    tokens = rows.select(*keys, "_text", F.explode_outer(in_context).alias("_t")).select(*keys, "_text", "_t.*")
+    value = _valence(F.col("valence"), [F.col("b1"), F.col("b2"), F.col("b3")], negations, boosters)
+    hit = tokens.join(terms, "term", "left")
+    return hit.groupBy(*keys, "_text").agg(F.sum(_micro(value)).alias("_sum")).drop("_text")
+
+
 def review_flags(aspects=fixed.ASPECTS, complaints=fixed.COMPLAINT_WORDS) -> dict[str, Column]:
     """One substring flag per aspect and one for complaints, on the whole lower-cased text (column ``low``)."""
     made = {f"is_{a}": contains_any(F.col("low"), words) for a, words in aspects.items()}

@@ -5,39 +5,64 @@ from pyspark.sql import functions as F
 
 from laurel.functions.audit import audit
 from laurel.functions.text import has_text, norm_name
+from laurel.session import staged
 
-#: Lengths of the blocks that a contained text and the one around it share; a needle uses the longest that it fills.
-BLOCKS = (8, 3, 1)
+#: Lengths of the grams that a contained text and the one around it share; a needle uses the longest that it fills.
+GRAMS = (8, 3, 1)
 
 
-def _block(needle: Column) -> Column:
-    """The beginning of a needle, as long as one of BLOCKS; null for an empty one."""
-    out = F.lit(None).cast("string")
-    for n in sorted(BLOCKS):
-        out = F.when(F.length(needle) >= n, F.substring(needle, 1, n)).otherwise(out)
+def _gram_length(needle: Column) -> Column:
+    """The longest of GRAMS that a needle fills; null for an empty one."""
+    out = F.lit(None).cast("int")
+    for n in sorted(GRAMS):
+        out = F.when(F.length(needle) >= n, F.lit(n)).otherwise(out)
     return out
 
 
-def _tails(text: Column, shortest: int) -> Column:
-    """(block, tail) for every place of a text: what begins there, to its end."""
-    def at(n: int) -> Column:
-        places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1))
-        found = F.transform(places, lambda i: F.struct(F.substring(text, i, F.lit(n)).alias("block"),
-                                                       F.substring(text, i, F.length(text)).alias("tail")))
-        return F.coalesce(found, F.array().cast("array<struct<block:string,tail:string>>"))
-    return F.concat(*[at(n) for n in BLOCKS if n >= shortest])
+def _grams(text: Column, lengths: Column) -> Column:
+    """The distinct grams of a text, of each of these lengths."""
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+
+    def of(n: int) -> Column:
+        # cut from an array of characters: a place in a text is found by walking to it
+        starts = F.when((F.size(chars) >= n) & F.array_contains(lengths, n), F.sequence(F.lit(1), F.size(chars) - n + 1))
+        found = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, F.lit(n)), ""))
+        return F.coalesce(F.array_distinct(found), F.array().cast("array<string>"))
+    return F.concat(*[of(n) for n in GRAMS])
+
+
+def _hash(text: Column) -> list[Column]:
+    """128 bits that stand for a text where only its place is carried."""
+    return [F.xxhash64(text).alias("_low"), F.xxhash64(F.lit("second half"), text).alias("_high")]
 
 
 def _contained(needles: DataFrame, texts: DataFrame, shortest: int) -> DataFrame:
     """Pairs of a topic's rows where ``needle`` (of at least ``shortest`` characters) is somewhere in ``text``.
 
-    An equi-join on (topic, how the needle begins) with every place of the text,
-    so that only rows which share that beginning meet.
+    An index of grams: each text gives (topic, gram, its hash) once for each of
+    its grams, of the lengths that the topic's needles use and of grams that a
+    needle has.  A needle meets texts at that gram of its own which the fewest
+    texts have, and none if a gram of it is in no text; one ``contains`` then
+    decides.  Rows grow with the length of a text, whatever needles share.
     """
-    a = needles.where(F.length("needle") >= shortest).withColumn("_block", _block(F.col("needle")))
-    b = (texts.select([c for c in texts.columns if c != "text"] + [F.inline(_tails(F.col("text"), shortest))])
-         .withColumnRenamed("block", "_block"))
-    return a.join(b, ["topic_slug", "_block"]).where(F.col("tail").startswith(F.col("needle"))).drop("_block", "tail", "needle")
+    needles = needles.where(F.length("needle") >= shortest)
+    asked = needles.select("topic_slug", "needle").distinct().withColumn("_n", _gram_length(F.col("needle")))
+    own = asked.select("topic_slug", "needle", F.explode(_grams(F.col("needle"), F.array("_n"))).alias("gram"))
+    own = staged(own, "needle-grams")
+    lengths = asked.groupBy("topic_slug").agg(F.collect_set("_n").alias("_lengths"))
+    looked = texts.select("topic_slug", "text").where(F.length("text") >= shortest).distinct()
+    grams = (looked.join(lengths, "topic_slug")
+             .select("topic_slug", *_hash(F.col("text")), F.explode(_grams(F.col("text"), F.col("_lengths"))).alias("gram")))
+    index = staged(grams.join(own.select("topic_slug", "gram").distinct(), ["topic_slug", "gram"], "left_semi"), "text-grams")
+    often = index.groupBy("topic_slug", "gram").agg(F.count(F.lit(1)).alias("_often"))
+    chosen = (own.join(often, ["topic_slug", "gram"], "left").groupBy("topic_slug", "needle")
+              .agg(F.min(F.struct("_often", "gram")).alias("_rarest"), F.max(F.col("_often").isNull()).alias("_missing"))
+              .where("NOT _missing").select("topic_slug", "needle", "_rarest.gram"))
+    place = ["topic_slug", "_low", "_high"]
+    pairs = (chosen.join(index, ["topic_slug", "gram"]).join(looked.select("topic_slug", *_hash(F.col("text")), "text"), place)
+             .where(F.col("text").contains(F.col("needle"))).select(*place, "needle"))
+    shown = texts.select([c for c in texts.columns if c != "text"] + _hash(F.col("text")))
+    return pairs.join(needles, ["topic_slug", "needle"]).join(shown, place).drop("_low", "_high", "needle")
 
 
 def serp_mentions(linked: DataFrame, results: DataFrame) -> DataFrame:
@@ -79,14 +104,22 @@ def list_mentions(linked: DataFrame, recommended: DataFrame) -> DataFrame:
                     F.coalesce(F.col("_l.listed"), F.array().cast("array<string>")).alias("recommended")))
 
 
-def website_audit(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """pages: keys, url, html, markdown -> the audit columns.
+#: What a crawler tells about a page beside its markup.
+PAGE_FIELDS = {"title": "string", "description": "string", "summary": "string", "status": "long"}
+
+
+def website_audit(pages: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """pages: keys, url, html, markdown and, where landed, title, description, summary and status -> the audit columns.
 
     A page without html and markdown was not fetched: it keeps its key and
-    ``fetched`` false, and nothing is measured.
+    ``fetched`` false, and nothing is measured.  ``partitions`` deals pages
+    to so many tasks first, for sources of fewer splits.
     """
+    told = [F.col(c).cast(t).alias(c) if c in pages.columns else F.lit(None).cast(t).alias(c) for c, t in PAGE_FIELDS.items()]
+    pages = pages.select(*keys, "url", "html", "markdown", *told)
+    pages = pages.repartition(partitions) if partitions else pages
     fetched = F.col("html").isNotNull() | F.col("markdown").isNotNull()
-    cols = audit(F.col("url"), F.col("html"), F.col("markdown"))
+    cols = {c: F.col(c) for c in PAGE_FIELDS} | audit(F.col("url"), F.col("html"), F.col("markdown"))
     return pages.select(*keys, "url", fetched.alias("fetched"), *[F.when(fetched, c).alias(k) for k, c in cols.items()])
 
 

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from laurel.functions.audit import page_text
+from laurel.functions.audit import page_description, page_text, page_title
 from laurel.functions.text import domain_of, slugify
 from laurel.operators import signals
 
@@ -24,6 +24,9 @@ ASPECT_WORDS = {"service": ["tion", "ent"], "wait": ["ing"], "cleanliness": ["sc
 COMPLAINTS = ["ther", "aux", "ungen"]
 
 
+#: Tasks that texts and pages are dealt to before they are scored and audited; None leaves them as the files are split.
+TEXT_TASKS: int | None = None
+
 _VIEWS: dict[tuple, DataFrame] = {}
 
 
@@ -173,10 +176,12 @@ def reviewed(spark, d, texts: DataFrame) -> DataFrame:
 
 @view
 def page_audits(spark, d) -> DataFrame:
-    """Audits of pages; some crawls failed and brought no markup."""
-    html = F.when(F.col("page_id") % 50 != 7, F.col("html"))
-    p = table(spark, d, "pages").select("page_id", "url", html.alias("html"))
-    return signals.website_audit(p.withColumn("markdown", page_text(F.col("html"))), ["page_id"])
+    """Audits of every page, and of one failed crawl beside each twentieth of them (negative ids), which brought no markup."""
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    failed = pages.where("page_id % 20 = 7").select((-F.col("page_id")).alias("page_id"), "url", F.lit(None).cast("string").alias("html"))
+    crawls = pages.withColumn("title", page_title(F.col("html"))).unionByName(failed, allowMissingColumns=True)
+    crawls = crawls.withColumns({"description": page_description(F.col("html")), "status": F.when(F.col("html").isNotNull(), F.lit(200).cast("long"))})
+    return signals.website_audit(crawls.withColumn("markdown", page_text(F.col("html"))), ["page_id"], partitions=TEXT_TASKS)
 
 
 @view
@@ -222,7 +227,7 @@ def raw_payloads(spark, d) -> DataFrame:
                      yelp=F.when(F.col("yelp_review_count") > 0, yelp))
 
     k = F.col("page_id")
-    audits = page_audits(spark, d).withColumn("business_id", business_id(k))
+    audits = page_audits(spark, d).where(k >= 0).withColumn("business_id", business_id(k))
     semrush = document(domain_of(F.col("url")).alias("domain"), (k % 4 != 3).alias("available"),
                        (k % 1000).cast("double").alias("organic_keywords"),
                        F.col("word_count").cast("double").alias("organic_traffic"),

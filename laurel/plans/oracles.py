@@ -57,8 +57,11 @@ bay AS (SELECT *, (80e0 + gn * gr) / (20e0 + gn) AS gb, (80e0 + yn * yr) / (20e0
          CASE WHEN html IS NOT NULL THEN coalesce(list_sort(list_distinct(regexp_extract_all(html, '"@type"\\s*:\\s*"([^"]+)"', 1))), []) END AS schema_types,
          contains(lower(html), 'property="og:') OR contains(lower(html), 'property=''og:') AS has_open_graph,
          contains(lower(html), 'name="viewport"') AS has_viewport, contains(lower(html), 'rel="canonical"') AS has_canonical,
-         CASE WHEN html IS NOT NULL THEN starts_with(lower(url), 'https://') END AS is_https
-  FROM (SELECT page_id, url, CASE WHEN page_id % 50 <> 7 THEN html END AS html FROM pages)),
+         CASE WHEN html IS NOT NULL THEN starts_with(lower(url), 'https://') END AS is_https,
+         CASE WHEN html IS NOT NULL THEN nullif(regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1), '') END AS title,
+         CASE WHEN html IS NOT NULL THEN nullif(regexp_extract(html, '(?is)<meta\\s+name=["'']description["'']\\s+content=["'']([^"'']*)["'']', 1), '') END AS description,
+         NULL::VARCHAR AS summary, CASE WHEN html IS NOT NULL THEN 200 END::BIGINT AS status
+  FROM (SELECT page_id, url, html FROM pages UNION ALL SELECT -page_id, url, NULL FROM pages WHERE page_id % 20 = 7)),
 seo AS (
   SELECT page_id, word_count, PYROUND AS seo FROM (
     SELECT page_id, word_count, CASE WHEN NOT fetched THEN 0e0 ELSE least(100e0, (25 * is_https::INT + 15 * has_viewport::INT + 15 * has_schema_org::INT
@@ -320,7 +323,7 @@ O["pillar_breakdown_long"] = sql(FULL[0], f"SELECT topic_slug, business_id, pill
 O["flagship_rank"] = sql(FULL[0], f"SELECT topic_slug, rank_position, business_id, final_score, {', '.join(W)} FROM rnk", FULL[1], RANK_CTES)
 
 O["page_audit"] = sql("aud", """SELECT page_id, fetched, h1_count, word_count, has_schema_org, to_json(schema_types)::VARCHAR AS schema_types,
-  has_open_graph, has_viewport, has_canonical, is_https FROM aud""")
+  has_open_graph, has_viewport, has_canonical, is_https, md5(title) AS title_md5, description, summary, status FROM aud""")
 O["seo_score"] = sql("aud", "SELECT page_id, seo AS seo_score FROM seo")
 O["domain_of"] = sql("dom", "SELECT page_id, domain, domain AS domain_of_bare FROM dom")
 O["norm_name"] = sql("biz", f"""SELECT business_id, {norm("'The ' || name || ' Restaurant, Inc.'")} AS norm,

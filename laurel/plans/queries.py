@@ -34,7 +34,7 @@ def lexicon(spark) -> DataFrame:
 @view
 def scored_reviews(spark, d) -> DataFrame:
     scores = sentiment.text_scores(D.documents(spark, d), lexicon(spark), ["doc_id"], D.NEGATIONS, D.BOOSTERS,
-                                   sentiment.review_flags(D.ASPECT_WORDS, D.COMPLAINTS))
+                                   sentiment.review_flags(D.ASPECT_WORDS, D.COMPLAINTS), partitions=D.TEXT_TASKS)
     return D.reviewed(spark, d, scores)
 
 
@@ -225,7 +225,7 @@ def keyword_rates(spark, d):
 
 @query
 def lexicon_sentiment(spark, d):
-    return sentiment.text_scores(D.documents(spark, d), lexicon(spark), ["doc_id"], D.NEGATIONS, D.BOOSTERS)
+    return sentiment.text_scores(D.documents(spark, d), lexicon(spark), ["doc_id"], D.NEGATIONS, D.BOOSTERS, partitions=D.TEXT_TASKS)
 
 
 @query
@@ -331,7 +331,8 @@ def flagship_rank(spark, d):
 
 @query
 def page_audit(spark, d):
-    return D.page_audits(spark, d).withColumn("schema_types", F.to_json("schema_types")).drop("url")
+    a = D.page_audits(spark, d)
+    return a.withColumns({"schema_types": F.to_json("schema_types"), "title_md5": F.md5("title")}).drop("url", "title")
 
 
 @query

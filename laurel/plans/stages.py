@@ -112,7 +112,8 @@ def collect(w: Warehouse, landed: dict[str, DataFrame], run_id: str, at: str) ->
     with_site = site.where(has_text(F.col("website")))
     add(E.not_yet_collected(with_site, raw, run_id, "site"), "site", ["website"])
     if "pages" in landed:
-        pages = landed["pages"].select(F.col("url").alias("_url"), "html", "markdown")  # both null: the crawl failed
+        told = [c for c in signals.PAGE_FIELDS if c in landed["pages"].columns]
+        pages = landed["pages"].select(F.col("url").alias("_url"), "html", "markdown", *told)  # both null: the crawl failed
         fetched = with_site.withColumn("url", with_scheme(F.col("website"))).join(pages, F.col("url") == F.col("_url"))
         audits = signals.website_audit(fetched, ["business_id"])
         add(audits, "firecrawl", [c for c in audits.columns if c != "business_id"])

@@ -1,5 +1,7 @@
 import json
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +137,22 @@ def test_sentiment_rules(spark):
     assert again == got  # a repeated term counts once
 
 
+def test_dictionary_and_join_score_alike(spark):
+    rng = random.Random(6)
+    words = ["good", "bad", "it's", "ça", "not", "very", "x", "quote'd", "back\\slash", "so", ",", "\n", "GOOD"]
+    texts = [None, "", " "] + [" ".join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(200)] + ["good " * 5_000]
+    df = spark.createDataFrame([(i % 150, t) for i, t in enumerate(texts)], "i int, text string")
+    lex = spark.createDataFrame([("good", 2.0), ("bad", -2.5), ("it's", 0.1), ("ça", 1e-3), ("quote'd", None), ("back\\slash", 3.0), (None, 1.0), ("bad", -3.0)],
+                                "term string, valence double")
+    flags = {"is_x": F.col("low").contains("x")}
+    small, large = (T.text_scores(df, lex, ["i"], flags=flags, dictionary_terms=n, partitions=3) for n in (100, 2))
+    rows = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert rows(small) == rows(large) and small.count() == len(texts)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "hashpartitioning" not in plan
+    assert {r["compound"] for r in T.text_scores(df, lex.where("false"), ["i"]).collect()} == {0.0}
+
+
 def test_review_metrics_and_summary(spark):
     r = reviews(spark, [("a", "g", "good service", None), ("a", "g", "bad price", None), ("a", "y", "table", None)])
     lex = small_table(spark, [("good", 2.0), ("bad", -2.0)], ["term", "valence"])

@@ -122,3 +122,20 @@ def test_pivot_and_breakdown(spark):
     assert row["google_rating"] == 4.5 and row["ai_mentioned"] is None
     df = spark.createDataFrame([(33.333, None)], "satisfaction double, ai double")
     assert df.select(S.breakdown(["satisfaction", "ai"])).first()[0] == {"satisfaction": 33.3}
+
+
+def test_percentiles_of_two_values_spread_over_tasks(spark):
+    n = 400_000
+    df = spark.range(n).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("business_id"),
+                               F.when(F.col("id") % 4 == 0, 100.0).otherwise(0.0).alias("v"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = midrank_percentile(df, ["topic"], "v", "p")
+        assert {(r["v"], r["p"], r["count"]) for r in got.groupBy("v", "p").count().collect()} == {(0.0, 37.5, n * 3 // 4), (100.0, 87.5, n // 4)}
+        sizes = sorted(r["count"] for r in got.groupBy(F.spark_partition_id().alias("part")).count().collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(sizes) > 28 and sizes[-1] < 3 * sizes[len(sizes) // 2]

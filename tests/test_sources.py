@@ -112,6 +112,23 @@ def test_list_mentions(spark):
     assert got == {"0": True, "1": True, "2": False, "3": False}
 
 
+def test_mentions_of_names_that_begin_alike_in_a_long_text(spark):
+    rng = random.Random(8)
+    tail = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    names = [("restaurant at the " + tail(), None) for _ in range(5_000)]
+    body = " ".join(rng.choice(["restaurant at the " + tail(), tail(), names[rng.randrange(5_000)][0], "restaurant at"]) for _ in range(1_400))
+    assert len(body) > 20_000
+    rows = [("t", 0, 1, "short", "u", body), ("t", 1, 2, names[3][0], "u", None), ("t", 2, 3, "", "u", "restaurant at the end")]
+    results = spark.createDataFrame(rows, "topic_slug string, list_pos int, position int, title string, url string, snippet string")
+    got = {r["business_id"]: r["serp_rank"] for r in G.serp_mentions(linked(spark, names), results).collect()}
+    norm = lambda s: " ".join(w for w in re.findall("[a-z0-9]+", s.lower()) if w not in fixed.SIGNAL_STOP_WORDS)
+    want = {str(i): next((p for _, _, p, a, _, s in rows if norm(n) in norm(a) or norm(n) in norm(s or "")), None) for i, (n, _) in enumerate(names)}
+    assert got == want and 300 < sum(p == 1 for p in want.values()) < 2_000
+    needles = spark.createDataFrame([("t", norm(n)) for n, _ in names], "topic_slug string, needle string")
+    index = G._grams(F.lit(norm(body)), F.array(F.lit(8)))
+    assert needles.select(F.size(index)).first()[0] <= len(body)
+
+
 def test_mentions_in_long_lists_against_brute_force(spark):
     rng = random.Random(3)
     word = lambda: rng.choice(["blue", "moon", "fox", "an", "grill", "cafe", "the", "x1", "diner", "red"])
