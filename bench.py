@@ -27,7 +27,10 @@ def main() -> None:
     wanted = os.environ.get("BENCH_QUERIES")
     spark = build_session("laurel-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
+    from laurel.plans import driver_tables
     from laurel.plans.queries import QUERIES
+    # the tables' files have one split each
+    driver_tables.TEXT_TASKS = spark.sparkContext.defaultParallelism
     names = wanted.split(",") if wanted else HEADLINE
     # one small query first: JVM and Python start-up are not part of any query
     QUERIES["bayesian_rating"](spark, folder).write.format("noop").mode("overwrite").save()
