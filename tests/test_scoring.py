@@ -128,7 +128,8 @@ def test_percentiles_of_two_values_spread_over_tasks(spark):
     n = 400_000
     df = spark.range(n).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("business_id"),
                                F.when(F.col("id") % 4 == 0, 100.0).otherwise(0.0).alias("v"))
-    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
