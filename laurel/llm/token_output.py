@@ -28,7 +28,7 @@ from laurel.session import staged
 END_ID = 2
 MAGIC = b"LTOK0001"
 #: Different parts of texts whose ids a worker remembers: twice this number at most, those used lately among them.
-MEMO = 150_000
+MEMO = 400_000
 #: Parts that are encoded as one text; characters of text that are encoded together.
 JOINED, BLOCK = 256, 1 << 20
 #: Ids are held up to this many bytes before they are written.
@@ -106,6 +106,9 @@ class Encoder:
         mark = self._ids([self.MARK])[0]
         #: Id of MARK; None if it is not one token, and parts are encoded one by one.
         self.mark = mark[0] if len(mark) == 1 else None
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        #: Whether A-Z count as a-z, so that parts can be looked up in lower case.
+        self.lower = self._ids(list(letters)) == self._ids(list(letters.lower()))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -113,6 +116,10 @@ class Encoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
+    def plain(self, text: str) -> str:
+        """A-Z in lower case where that changes no id; special tokens, which are found before, keep their case."""
+        return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass") if self.lower and "<|" not in text else text
+
     def learn(self, parts: list[str]) -> dict[str, bytes]:
         alone = parts if self.mark is None else [p for p in parts if self.MARK in p]
         found = {p: self._bytes(ids) for p, ids in zip(alone, self._ids(alone))}
@@ -127,7 +134,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if not self.cuts:
             return [self._bytes(self._ids([t])[0]) if t else b"" for t in texts]
-        split = [t.replace("\n", " ").split(" ") if t else () for t in texts]
+        split = [self.plain(t).replace("\n", " ").split(" ") if t else () for t in texts]
         known, new = {}, []
         for p in set().union(*split):
             if p in self.young:
