@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 #: Parts of texts that a worker remembers (twice this number at most, those used lately among them), and their greatest length.
-MEMO, MEMO_CHARS = 100_000, 64
+MEMO, MEMO_CHARS = 400_000, 64
 #: Bytes of ids and text that are passed on together.
 BLOCK = 4 << 20
 #: Below the lowest score, as much as the library takes off for an unknown character.
@@ -59,6 +59,21 @@ class Vocabulary:
         # where no piece crosses into a blank, or over a line end, texts are cut there
         self.cut = None if crossing else re.compile(rf"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+" if lines else rf"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
+    @cached_property
+    def joins(self) -> set[str]:
+        """All two neighbouring characters inside a piece: no piece crosses other boundaries."""
+        return {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
+
+    def stretches(self, part: str) -> list[str]:
+        """part, cut at boundaries that no piece can cross."""
+        joins, out, at = self.joins, [], 0
+        for k in range(1, len(part)):
+            if part[k - 1:k + 1] not in joins:
+                out.append(part[at:k])
+                at = k
+        out.append(part[at:])
+        return out
+
     @cached_property
     def steps(self) -> dict[str, tuple[int, float, bool]]:
         """Id (-1: none), score, and whether longer pieces begin so, of each piece and beginning of one."""
@@ -144,7 +159,12 @@ class Codec:
             return b"".join(np.array(ids, "<i4").tobytes() for ids in viterbi(part, self.v))
         out = self.old.get(part)
         if out is None:
-            out = np.array([x for ids in viterbi(part, self.v) for x in ids], "<i4").tobytes()
+            some = self.v.stretches(part)
+            if len(some) > 1:
+                get = self.memo.get
+                out = b"".join([self.segment(x) if (known := get(x)) is None else known for x in some])
+            else:
+                out = np.array([x for ids in viterbi(part, self.v) for x in ids], "<i4").tobytes()
         if len(self.memo) >= MEMO:
             self.memo, self.old = {}, self.memo
         self.memo[part] = out
