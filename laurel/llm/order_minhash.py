@@ -2,8 +2,8 @@
 
 A text is the sequence of its 5-word windows, each labelled with how often it has occurred before in the text.  For each of TABLES hash
 orders the SAMPLE smallest labelled windows are kept in the order of the text and hashed to a bucket: texts share a bucket only if the same
-windows come in the same order.  Each bucket pairs its members with two members of it picked by hash; members that verification
-leaves outside the component of the picked one then meet the rest of their bucket, so that no link is lost to the choice.  Of these
+windows come in the same order.  Tables are tried in TURNS; in each, a bucket pairs its members with two members of it unless they are of one component already.
+Members that verification leaves outside a bucket's first component then meet the rest of their bucket, so that no link is lost to the choice.  Of these
 pairs only those are aligned whose bit maps of windows leave the threshold within reach.
 
 Short texts have too few windows to draw from.  Those of at most SHORT windows meet by an exact rule instead: two of them are alike only if
@@ -109,6 +109,18 @@ def rests(words: list[str], most: int) -> list[set[tuple[str, ...]]]:
     return levels
 
 
+#: Tables are tried in so many turns; the exact rule's buckets come with the first.
+TURNS = 4
+
+
+def turns_of(n: int, tables: int) -> np.ndarray:
+    """The turn of each of n buckets of a text, of which the last ones may be those of the tables."""
+    out = np.zeros(n, np.int8)
+    if n >= tables:
+        out[n - tables:] = np.arange(tables) * TURNS // tables
+    return out
+
+
 def signs_of(words: list[str], memo: dict[str, int], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of a text, and for each whether the text is there with a part of its windows, to meet the text that has just those."""
     n = max(1, len(words) - WINDOW + 1)
@@ -195,12 +207,12 @@ def node_of(text: Column) -> list[Column]:
 
 
 def signatures(docs: DataFrame, text: str) -> DataFrame:
-    """bucket, low, high, n, part: the text's node and its number of words, in each of its buckets (signs_of)."""
+    """bucket, low, high, n, part, turn: the text's node and its number of words, in each of its buckets (signs_of)."""
 
     def sign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         odd, memo, seen = multipliers(), {}, set()
         for part in parts:
-            rows, found, parted, sizes = [], [], [], []
+            rows, found, parted, sizes, turns = [], [], [], [], []
             for low, high, t in zip(part["low"], part["high"], part["_text"]):
                 # copies of a text that this task has just seen have the same buckets
                 if (low, high) in seen:
@@ -215,12 +227,13 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
                     bucket, is_part = signs_of(words, memo, odd)
                     found.append(bucket)
                     parted.append(is_part)
+                    turns.append(turns_of(len(bucket), len(odd) if len(words) - WINDOW + 1 >= THRESHOLD * (SHORT + 1) - 1e-9 else len(bucket) + 1))
             if rows:
                 low, high, n = (np.repeat(np.array(x, np.int64), [len(x) for x in found]) for x in (*zip(*rows), sizes))
                 yield pd.DataFrame({"bucket": np.concatenate(found).view(np.int64), "low": low, "high": high, "n": n,
-                                    "part": np.concatenate(parted)})
+                                    "part": np.concatenate(parted), "turn": np.concatenate(turns)})
 
-    return docs.select(*node_of(F.col(text)), F.col(text).alias("_text")).mapInPandas(sign, "bucket long, low long, high long, n long, part boolean")
+    return docs.select(*node_of(F.col(text)), F.col(text).alias("_text")).mapInPandas(sign, "bucket long, low long, high long, n long, part boolean, turn byte")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -279,24 +292,56 @@ def ordered(a: list[Column], b: list[Column]) -> list[Column]:
 
 
 def links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Verified links (a, b) between nodes."""
+    """Verified links (a, b) between nodes that join their classes.
+
+    In each turn members of a bucket meet two members of it, of the first and of the last component there, unless they are of their component already;
+    so a class of n texts is joined by the first turns with a few links for each text, and later ones only look at what is still apart.
+    """
     signed = staged(signatures(docs, text), "omh-signatures")
     # whole texts are picked: parts meet them, and need not be like each other
-    whole = F.when(~F.col("part"), F.col("low"))
-    picked = (signed.groupBy("bucket").agg(F.min(whole).alias("low_p"), F.min_by("high", whole).alias("high_p"),
-                                           F.max(whole).alias("low_q"), F.max_by("high", whole).alias("high_q"),
-                                           F.min("low").alias("_least"), F.max("low").alias("_most"))
-              .where("low_p IS NOT NULL AND _least != _most").drop("_least", "_most"))
-    members = staged(signed.drop("part").join(picked, "bucket"), "omh-members")
-    node, p, q = ([F.col(f"low{s}"), F.col(f"high{s}")] for s in ("", "_p", "_q"))
-    stars = members.select(*ordered(node, p)).union(members.select(*ordered(node, q)))
-    stars = staged(stars.where("low_a != low_b OR high_a != high_b").distinct(), "omh-pairs")
-    wanted = stars.select("low_a", "high_a").union(stars.select("low_b", "high_b")).toDF("low", "high").distinct()
+    shared = (signed.groupBy("bucket").agg(F.min("low").alias("_least"), F.max("low").alias("_most"), F.min("part").alias("_parts"))
+              .where("_least != _most AND NOT _parts").select("bucket"))
+    members = staged(signed.join(shared, "bucket", "left_semi").withColumn("node", node_name("low", "high")), "omh-members")
+    wanted = members.select("low", "high").distinct()
     nodes = docs.select(*node_of(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = staged(nodes.join(wanted, ["low", "high"], "left_semi").groupBy("low", "high").agg(F.first("text").alias("text")), "omh-texts")
-    first = staged(verified(stars, texts), "omh-links")
-    second = staged(verified(outsiders(members, components(first), stars, texts), texts), "omh-links")
-    return first.unionByName(second)
+    found = texts.sparkSession.createDataFrame([], "a string, b string")
+    roots = texts.sparkSession.createDataFrame([], "node string, root string")
+    tried = None
+    half = ["low_a", "high_a", "low_b", "high_b"]
+    for turn in range(TURNS):
+        here = members.where(F.col("turn") == turn).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        here = staged(here.select("bucket", "low", "high", "part", "root"), "omh-turn")
+        whole = F.when(~F.col("part"), F.struct("root", "low", "high"))
+        picked = (here.groupBy("bucket").agg(F.min(whole).alias("_p"), F.max(whole).alias("_q"), F.min("root").alias("_least"), F.max("root").alias("_most"))
+                  .where("_p IS NOT NULL AND _least != _most").drop("_least", "_most"))
+        met = here.join(picked, "bucket")
+        star = lambda s: met.where(F.col("root") != F.col(f"{s}.root")).select(
+            *ordered([F.col("low"), F.col("high")], [F.col(f"{s}.low"), F.col(f"{s}.high")]))
+        pairs = star("_p").union(star("_q")).distinct()
+        pairs = staged(pairs if tried is None else pairs.join(tried, half, "left_anti"), "omh-pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        new = staged(verified(pairs, texts), "omh-links")
+        found, roots = found.union(new), staged(joined(roots, new), "omh-roots")
+    last = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    main = last.where("NOT part").groupBy("bucket").agg(F.min(F.struct("root", "low", "high")).alias("_p"), F.max("root").alias("_most"))
+    # buckets whose whole texts are all of one component may still have parts outside it
+    apart = last.join(main, "bucket").where("root != _p.root OR _most != _p.root").select("bucket").distinct()
+    main = main.join(apart, "bucket", "left_semi").select("bucket", F.col("_p.low").alias("low_p"), F.col("_p.high").alias("high_p"))
+    left = staged(members.select("bucket", "low", "high", "n").join(main, "bucket"), "omh-apart")
+    second = staged(verified(outsiders(left, roots, tried, texts), texts), "omh-links")
+    return found.unionByName(second)
+
+
+def joined(roots: DataFrame, new: DataFrame) -> DataFrame:
+    """(node, root) with further links: components of the roots they join, which are few beside the nodes."""
+    own = lambda c: new.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"_{c}")), c, "left").withColumn(c, F.coalesce(f"_{c}", c))
+    new = own("a").select("a", "b")
+    new = own("b").select("a", "b").where("a != b").distinct()
+    moved = components(new)
+    known = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left")
+    return (known.select("node", F.coalesce("_to", "root").alias("root"))
+            .union(moved.join(roots.select("node"), "node", "left_anti").select("node", "root")))
 
 
 def outsiders(members: DataFrame, roots: DataFrame, tried: DataFrame, texts: DataFrame) -> DataFrame:
