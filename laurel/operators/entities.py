@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from laurel import fixed
 from laurel.functions.geo import haversine_m, home_cell, nearby_cells
 from laurel.functions.text import has_text, norm_name, platform_names_match
+from laurel.operators.containment import contained
+from laurel.operators.ranks import position_in_groups
 from laurel.session import staged
 
 PLACE_FILL = ["yelp_id", "address", "lat", "lng", "phone", "website", "domain", "canonical_category"]
@@ -140,18 +142,35 @@ def topic_links(resolved: DataFrame, run_id: str) -> DataFrame:
                     "distance_m"))
 
 
-def _grams(norm: Column) -> Column:
-    """All substrings of 1 to 3 characters."""
-    def of(n):
-        last = F.length(norm) - (n - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: norm.substr(i, F.lit(n)))
+def _by_rarity(names: DataFrame) -> DataFrame:
+    """norm, and its distinct tokens, those first that the fewest of these names have."""
+    tokens = names.select("norm").distinct().select("norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("token"))
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_often"))
+    return (tokens.join(often, "token").groupBy("norm")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("_often", "token"))), lambda t: t["token"]).alias("tokens")))
 
-    return F.array_distinct(F.concat(of(1), of(2), of(3)))
 
+def _token_keys(own: bool) -> Column:
+    """Blocks in which names with enough common tokens meet.
+
+    Two names need the smaller one's k = max(1, size / 2) tokens in common, so
+    they share one of their all but k - 1 rarest tokens.  Each name has its own k; the
+    smaller of both counts.  Blocks ``x`` are for those where it is the first side's
+    own, blocks ``y`` for those where it is only the second side's.
+    """
+    size = F.size("tokens")
+    most = F.greatest(F.lit(1), F.floor(size / 2)).cast("int")
+
+    def keys(mark: str, ks: Column) -> Column:
+        return F.flatten(F.transform(ks, lambda k: F.transform(
+            F.slice("tokens", F.lit(1), size - k + 1), lambda t: F.concat_ws("|", F.lit(mark), k.cast("string"), t))))
+    only, upto = F.array(most), F.sequence(F.lit(1), most)
+    below = F.when(most > 1, F.sequence(F.lit(1), most - 1)).otherwise(F.array().cast("array<int>"))
+    return F.concat(keys("x", only), keys("y", below)) if own else F.concat(keys("x", upto), keys("y", only))
 
-def _needle(norm: Column) -> Column:
-    return F.substring(norm, 1, 3)
+
+#: Offers of a block that are looked at first; so many times more in each further round.
+FIRST_OFFERS, MORE_OFFERS = 4, 4
 
 
 def match_platform(businesses: DataFrame, listings: DataFrame, radius_m: float = fixed.MATCH_RADIUS_M) -> DataFrame:
@@ -159,42 +178,50 @@ def match_platform(businesses: DataFrame, listings: DataFrame, radius_m: float =
 
     businesses: business_id, name, lat, lng.  listings: yelp_id, pos, name, lat, lng, review_count.
 
-    A pair is formed only inside a grid cell and only when the names share what a
-    match needs: a common token, or the first letters of one inside the other.
-    Copies (same normalised name and place) are collapsed on both sides first,
-    so a heap of copies in one cell takes part once.
+    Names meet only inside a grid cell: where one holds the other, by an index of grams; where they share
+    tokens, in blocks of their rarest ones.  Blocks are looked through best offer first, and a
+    place leaves a block when it has a match that is no worse than what is left there; so names that all share
+    a token do not meet in all pairs.  Copies (same normalised name and place) are collapsed on both sides first.
     """
     place = ["norm", "lat", "lng"]
     located = F.col("lat").isNotNull() & F.col("lng").isNotNull() & has_text(F.col("norm"))
     norm = norm_name(F.col("name"), fixed.PLATFORM_STOP_WORDS).alias("norm")
     b = businesses.select("business_id", norm, "lat", "lng").where(located)
-    spots = b.select(*place).distinct()
     count = F.coalesce("review_count", F.lit(0))
     best = F.struct(count.alias("reviews"), (-F.col("pos")).alias("early"), F.col("yelp_id"))
     offers = (listings.select(norm, "lat", "lng", best.alias("offer")).where(located)
               .groupBy(*place).agg(F.max("offer").alias("offer")))
-
-    near = F.explode(nearby_cells(F.col("lat"), F.col("lng"), radius_m))
-    home = home_cell(F.col("lat"), F.col("lng"), radius_m)
-    tokens = F.transform(F.array_distinct(F.split("norm", " ")), lambda t: F.concat(F.lit("t:"), t))
-    inside = F.transform(_grams(F.col("norm")), lambda g: F.concat(F.lit("g:"), g))
-    starts = F.concat(F.lit("g:"), _needle(F.col("norm")))
-
-    def pairs(left_cell, left_keys, right_cell, right_keys):
-        lhs = (spots.select(F.struct(*place).alias("at"), left_cell.alias("cell"), left_keys.alias("_keys"))
-               .select("at", "cell", F.explode("_keys").alias("block")))
-        rhs = (offers.select(F.struct(*place).alias("shop"), "offer", right_cell.alias("cell"), right_keys.alias("_keys"))
-               .select("shop", "offer", "cell", F.explode("_keys").alias("block")))
-        return lhs.join(rhs, ["cell", "block"])
-
-    one = F.array(starts)
-    candidates = (pairs(near, F.array_union(tokens, F.transform(one, lambda x: F.concat(F.lit("n"), x))),
-                        home, F.array_union(tokens, F.transform(inside, lambda x: F.concat(F.lit("n"), x))))
-                  .unionByName(pairs(home, inside, near, one)))
+    offers, spots = staged(offers, "platform-offers"), staged(b.select(*place).distinct(), "platform-spots")
+    cell = lambda c: F.to_json(c).alias("cell")
+    # the spot looks around, the offer stays at home
+    around = spots.select(F.explode(nearby_cells(F.col("lat"), F.col("lng"), radius_m)).alias("_c"), *place).select(cell(F.col("_c")), *place)
+    home = offers.select(cell(home_cell(F.col("lat"), F.col("lng"), radius_m)), *place, "offer")
+    at, shop = F.struct(*place).alias("at"), F.struct(*place).alias("shop")
     close = haversine_m(F.col("at.lat"), F.col("at.lng"), F.col("shop.lat"), F.col("shop.lng")) <= radius_m
-    matched = candidates.where(platform_names_match(F.col("at.norm"), F.col("shop.norm")) & close)
-    chosen = matched.groupBy("at").agg(F.max("offer").alias("offer"))
-    return (b.join(chosen.select("at.*", "offer"), place)
+
+    here = around.join(home.select("cell").distinct(), "cell", "left_semi")
+    one = lambda df, text, *more: df.select("cell", F.col("norm").alias(text), *more)
+    inside = (contained(one(here, "needle", at), one(home, "text", shop, "offer"), 1, "cell")
+              .unionByName(contained(one(home, "needle", shop, "offer"), one(here, "text", at), 1, "cell")))
+    found = staged(inside.where(close).groupBy("at").agg(F.max("offer").alias("offer")), "platform-matches")
+
+    tokens = staged(_by_rarity(spots.select("norm").union(offers.select("norm"))), "platform-tokens")
+    left = here.join(tokens, "norm").select("cell", at, F.explode(_token_keys(True)).alias("block"))
+    right = home.join(tokens, "norm").select("cell", shop, "offer", F.explode(_token_keys(False)).alias("block"))
+    right = right.join(left.select("cell", "block").distinct(), ["cell", "block"], "left_semi")
+    ranked = staged(position_in_groups(right, ["cell", "block"], [F.col("offer").desc(), F.col("shop")], "rank"), "platform-blocks")
+    left = staged(left.join(ranked.select("cell", "block").distinct(), ["cell", "block"], "left_semi"), "platform-open")
+    seen, upto = 0, FIRST_OFFERS
+    while not left.isEmpty():
+        some = ranked.where((F.col("rank") > seen) & (F.col("rank") <= upto))
+        pairs = left.join(some, ["cell", "block"]).where(platform_names_match(F.col("at.norm"), F.col("shop.norm")) & close)
+        found = staged(found.union(pairs.select("at", "offer")).groupBy("at").agg(F.max("offer").alias("offer")), "platform-matches")
+        # blocks that go on, and the least offer seen there
+        last = ranked.where(F.col("rank") == upto).select("cell", "block", F.col("offer").alias("_last"))
+        left = left.join(last, ["cell", "block"]).join(found, "at", "left")
+        left = staged(left.where("offer IS NULL OR offer < _last").select("cell", "at", "block"), "platform-open")
+        seen, upto = upto, upto * MORE_OFFERS
+    return (b.join(found.select("at.*", "offer"), place)
             .select("business_id", F.col("offer.yelp_id").alias("yelp_id"), F.col("offer.reviews").alias("review_count")))
 
 

@@ -5,65 +5,7 @@ from pyspark.sql import functions as F
 
 from laurel.functions.audit import audit
 from laurel.functions.text import has_text, norm_name
-from laurel.session import staged
-
-#: Lengths of the grams that a contained text and the one around it share; a needle uses the longest that it fills.
-GRAMS = (8, 3, 1)
-
-
-def _gram_length(needle: Column) -> Column:
-    """The longest of GRAMS that a needle fills; null for an empty one."""
-    out = F.lit(None).cast("int")
-    for n in sorted(GRAMS):
-        out = F.when(F.length(needle) >= n, F.lit(n)).otherwise(out)
-    return out
-
-
-def _grams(text: Column, lengths: Column) -> Column:
-    """The distinct grams of a text, of each of these lengths."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-
-    def of(n: int) -> Column:
-        # cut from an array of characters: a place in a text is found by walking to it
-        starts = F.when((F.size(chars) >= n) & F.array_contains(lengths, n), F.sequence(F.lit(1), F.size(chars) - n + 1))
-        found = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, F.lit(n)), ""))
-        return F.coalesce(F.array_distinct(found), F.array().cast("array<string>"))
-    return F.concat(*[of(n) for n in GRAMS])
-
-
-def _hash(text: Column) -> list[Column]:
-    """128 bits that stand for a text where only its place is carried."""
-    return [F.xxhash64(text).alias("_low"), F.xxhash64(F.lit("second half"), text).alias("_high")]
-
-
-def _contained(needles: DataFrame, texts: DataFrame, shortest: int) -> DataFrame:
-    """Pairs of a topic's rows where ``needle`` (of at least ``shortest`` characters) is somewhere in ``text``.
-
-    An index of grams: each text gives (topic, gram, its hash) once for each of
-    its grams, of the lengths that the topic's needles use and of grams that a
-    needle has.  A needle meets texts at that gram of its own which the fewest
-    texts have, and none if a gram of it is in no text; one ``contains`` then
-    decides.  Rows grow with the length of a text, whatever needles share.
-    """
-    needles = needles.where(F.length("needle") >= shortest)
-    asked = needles.select("topic_slug", "needle").distinct().withColumn("_n", _gram_length(F.col("needle")))
-    own = asked.select("topic_slug", "needle", F.explode(_grams(F.col("needle"), F.array("_n"))).alias("gram"))
-    own = staged(own, "needle-grams")
-    lengths = asked.groupBy("topic_slug").agg(F.collect_set("_n").alias("_lengths"))
-    looked = texts.select("topic_slug", "text").where(F.length("text") >= shortest).distinct()
-    grams = (looked.join(lengths, "topic_slug")
-             .select("topic_slug", *_hash(F.col("text")), F.explode(_grams(F.col("text"), F.col("_lengths"))).alias("gram")))
-    index = staged(grams.join(own.select("topic_slug", "gram").distinct(), ["topic_slug", "gram"], "left_semi"), "text-grams")
-    often = index.groupBy("topic_slug", "gram").agg(F.count(F.lit(1)).alias("_often"))
-    chosen = (own.join(often, ["topic_slug", "gram"], "left").groupBy("topic_slug", "needle")
-              .agg(F.min(F.struct("_often", "gram")).alias("_rarest"), F.max(F.col("_often").isNull()).alias("_missing"))
-              .where("NOT _missing").select("topic_slug", "needle", "_rarest.gram"))
-    place = ["topic_slug", "_low", "_high"]
-    pairs = (chosen.join(index, ["topic_slug", "gram"]).join(looked.select("topic_slug", *_hash(F.col("text")), "text"), place)
-             .where(F.col("text").contains(F.col("needle"))).select(*place, "needle"))
-    shown = texts.select([c for c in texts.columns if c != "text"] + _hash(F.col("text")))
-    return pairs.join(needles, ["topic_slug", "needle"]).join(shown, place).drop("_low", "_high", "needle")
-
+from laurel.operators.containment import contained
 
 def serp_mentions(linked: DataFrame, results: DataFrame) -> DataFrame:
     """Position of the first result that shows each business.
@@ -78,8 +20,8 @@ def serp_mentions(linked: DataFrame, results: DataFrame) -> DataFrame:
     names = linked.select(*keys, norm_name(F.col("name")).alias("needle"))
     domains = linked.where(has_text(F.col("website_domain"))).select(*keys, F.col("website_domain").alias("needle"))
     shown = [results.select(*where, norm_name(F.col(c)).alias("text")) for c in ("title", "snippet")]
-    hits = (_contained(names, shown[0].unionByName(shown[1]), 3)
-            .unionByName(_contained(domains, results.select(*where, F.coalesce("url", F.lit("")).alias("text")), 1)))
+    hits = (contained(names, shown[0].unionByName(shown[1]), 3)
+            .unionByName(contained(domains, results.select(*where, F.coalesce("url", F.lit("")).alias("text")), 1)))
     first = hits.groupBy(*keys).agg(F.min_by("position", "list_pos").alias("serp_rank"))
     sizes = results.groupBy("topic_slug").agg(F.count(F.lit(1)).alias("query_results"))
     return (linked.select(*keys).distinct().join(sizes, "topic_slug").join(first, keys, "left")
@@ -95,8 +37,8 @@ def list_mentions(linked: DataFrame, recommended: DataFrame) -> DataFrame:
     names = linked.select(*keys, norm_name(F.col("name")).alias("norm"))
     entries = recommended.select("topic_slug", "list_pos", F.col("name").alias("listed"), norm_name(F.col("name")).alias("norm"))
     as_ = lambda df, c: df.withColumnRenamed("norm", c)
-    hits = (_contained(as_(names, "needle"), as_(entries, "text"), 3)
-            .unionByName(_contained(as_(entries, "needle"), as_(names, "text"), 3)))
+    hits = (contained(as_(names, "needle"), as_(entries, "text"), 3)
+            .unionByName(contained(as_(entries, "needle"), as_(names, "text"), 3)))
     found = hits.select(*keys, "list_pos", "listed").distinct().groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("list_pos", "listed"))).alias("_l"))
     return (linked.select(*keys).distinct().join(recommended.select("topic_slug").distinct(), "topic_slug").join(found, keys, "left")

@@ -199,6 +199,33 @@ def test_platform_match_against_brute_force(spark):
     assert len(got) > 20
 
 
+def test_platform_match_of_names_that_share_a_token_at_one_place(spark, monkeypatch):
+    """A heap of different names with a common token at a default coordinate: few pairs, the best offer for each."""
+    n = 3_000
+    met = []
+    match = E.platform_names_match
+
+    def counted(a, b):
+        met.append(spark.sparkContext.accumulator(0))
+        return match(a, b)
+    monkeypatch.setattr(E, "platform_names_match", counted)
+    # two tokens: the common one is enough; four tokens: it is not, and few share another
+    names = [f"star q{i:05d}" if i % 2 else f"star big v{i:05d} w{i // 4:05d}" for i in range(n)]
+    bdf = spark.createDataFrame([(f"b{i}", x, 43.0, -79.0) for i, x in enumerate(names)], "business_id string, name string, lat double, lng double")
+    other = [f"star z{i:05d}" if i % 2 else f"star tall u{i:05d} w{i // 4:05d}" for i in range(n)]
+    ldf = spark.createDataFrame([(f"y{i}", i, x, 43.0, -79.0, i % 1000) for i, x in enumerate(other)],
+                                "yelp_id string, pos int, name string, lat double, lng double, review_count int")
+    got = {r["business_id"]: r["yelp_id"] for r in E.match_platform(bdf, ldf).collect()}
+    sets = [(set(x.split()), i) for i, x in enumerate(other)]
+    order = sorted(range(n), key=lambda i: (-(i % 1000), i))
+    want = {}
+    for i, x in enumerate(names):
+        mine = set(x.split())
+        want[f"b{i}"] = next((f"y{j}" for j in order if len(mine & sets[j][0]) >= max(1, min(len(mine), len(sets[j][0])) // 2)), None)
+    assert got == {k: v for k, v in want.items() if v}
+    assert len(met) <= 4  # rounds; each place meets at most FIRST_OFFERS * MORE_OFFERS ** rounds offers of a block, and leaves it with its match
+
+
 def test_overrides_and_photos(spark):
     b = master(spark, [{"business_id": "1", "place_id": "P1", "website": "old"}, {"business_id": "2", "place_id": "P2", "website": "same"},
                        {"business_id": "3", "place_id": "P3", "photo_url": "x"}, {"business_id": "4"}])

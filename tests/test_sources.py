@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from laurel import fixed, schemas
+from laurel.operators import containment
 from laurel.operators import publish as P
 from laurel.operators import signals as G
 from laurel.sources import catalog as K
@@ -125,7 +126,7 @@ def test_mentions_of_names_that_begin_alike_in_a_long_text(spark):
     want = {str(i): next((p for _, _, p, a, _, s in rows if norm(n) in norm(a) or norm(n) in norm(s or "")), None) for i, (n, _) in enumerate(names)}
     assert got == want and 300 < sum(p == 1 for p in want.values()) < 2_000
     needles = spark.createDataFrame([("t", norm(n)) for n, _ in names], "topic_slug string, needle string")
-    index = G._grams(F.lit(norm(body)), F.array(F.lit(8)))
+    index = containment._grams(F.lit(norm(body)), F.array(F.lit(8)))
     assert needles.select(F.size(index)).first()[0] <= len(body)
 
 
