@@ -15,7 +15,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -163,56 +165,96 @@ def kind_of(data: bytes | None) -> str | None:
     return "ssh_key" if data[:3] in (b"ope", b"\0\0\0") and ssh_key(data) else None
 
 
-def wrapped_end(text: str, start: int, end: int, size: int | None = None) -> int | None:
-    """Where base64 that begins with the line text[start:end] ends, further lines included.
+class Run:
+    """Lines of base64 that follow each other, walked once for all keys that may begin in them.
 
-    With a size: where so many bytes end, None if no line ends there; lines that follow them belong to something else.
+    chars: their characters without what lies between; cum: how many of them come before each line, and in all.
     """
-    have = len(text[start:end].rstrip("="))
-    need = None if size is None else -(-size * 4 // 3)
-    if need is not None and need > len(text) - start:
-        return None
-    while (need is None or have < need) and text[end - 1] != "=" and (m := FURTHER.match(text, end)):
-        have += len(m[1])
-        end = m.end()
-    return end if need is None or have == need else None
-
-
-def public_end(text: str, start: int, end: int) -> int | None:
-    """Where the public blob ends that begins with the line text[start:end]: the last line end at which two or more of its fields end, too."""
-    ends = [(end, have := len(text[start:end].rstrip("=")))]
-    while text[end - 1] != "=" and (m := FURTHER.match(text, end)):
-        end = m.end()
-        ends.append((end, have := have + len(m[1])))
-    run = BETWEEN.sub("", text[start:end])
-    data = unbase64(run[:-1] if len(run) % 4 == 1 else run)
-    at, fields = 0, []
-    while at < len(data) and (stop := ssh_field(data, at)) is not None:
-        fields.append(at := stop)
-    sizes = set(fields[1:])
-    return next((e for e, n in reversed(ends) if n % 4 != 1 and n * 3 // 4 in sizes), None)
-
 
-def encoded_key(text: str, start: int, end: int) -> tuple[str, int] | None:
+    def __init__(self, text: str, start: int, end: int):
+        parts = [text[start:end].rstrip("=")]
+        self.starts, self.ends = [start], [end]
+        while text[end - 1] != "=" and (m := FURTHER.match(text, end)):
+            end = m.end()
+            parts.append(m[1])
+            self.starts.append(m.start(1))
+            self.ends.append(end)
+        self.chars = "".join(parts)
+        self.cum = [0, *accumulate(map(len, parts))]
+        #: Place behind the last line at which a field of a public blob ends, by where the fields are read from.
+        self.public: dict[tuple[int, int], int | None] = {}
+
+    def line(self, start: int) -> int | None:
+        """Number of the line that begins at a place of the text."""
+        i = bisect_left(self.starts, start)
+        return i if i < len(self.starts) and self.starts[i] == start else None
+
+    def end_of(self, i: int, n: int) -> int | None:
+        """Where n characters from line i on end, if a line ends there."""
+        j = bisect_left(self.cum, self.cum[i] + n, i + 1)
+        return self.ends[j - 1] if j < len(self.cum) and self.cum[j] == self.cum[i] + n else None
+
+
+class Decoded:
+    """Bytes of a run from one of its lines on, decoded where they are read."""
+
+    def __init__(self, run: Run, i: int):
+        self.chars, self.first = run.chars, run.cum[i]
+        n = len(self.chars) - self.first
+        self.size = (n - (n % 4 == 1)) * 3 // 4
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, part: slice) -> bytes:
+        a, b = part.start, min(part.stop, self.size)
+        if a >= b:
+            return b""
+        begin = a // 3 * 4
+        return unbase64(self.chars[self.first + begin:min(len(self.chars), self.first - (-b // 3) * 4)])[a % 3:][:b - a]
+
+
+def public_end(run: Run, i: int) -> int | None:
+    """Where the public blob ends that begins with line i: the last line end at which two or more of its fields end, too."""
+    data, phase = Decoded(run, i), run.cum[i] % 4
+    base = run.cum[i] // 4 * 3  # so that lines of one phase name a byte alike
+    at, path = ssh_field(data, 0), []
+    while at is not None and at < len(data) and (phase, base + at) not in run.public:
+        path.append(at)
+        at = ssh_field(data, at)
+    best = run.public.get((phase, base + at)) if at is not None and at < len(data) else None
+    if path and at is not None and at >= len(data):
+        best = None
+    # each step's end is the next one's beginning; the last ends that are line ends come first
+    for here, stop in zip(reversed(path), [at, *reversed(path[1:])]):
+        if best is None and stop is not None:
+            n = -(-stop * 4 // 3)
+            best = run.end_of(i, n) if n % 4 != 1 and n * 3 // 4 == stop else None
+        run.public[phase, base + here] = best
+    return best
+
+
+def encoded_key(text: str, start: int, end: int, run: Run | None = None) -> tuple[str, int] | None:
     """Kind and end of the key whose base64 begins with the line text[start:end].
 
     The lengths that the key states tell which of the lines after the first are its own.
     """
     head = unbase64(text[start:start + 40])
-    stop: int | None = end
-    if head[0] == 0x30:
-        n = head[1] & 0x7F if head[1] & 0x80 else 0
-        size = 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1])
-        stop = wrapped_end(text, start, end, size) if n <= 4 else None
-    elif OPENSSH.startswith(head[:len(OPENSSH)]):
-        run = BETWEEN.sub("", text[start:wrapped_end(text, start, end)])
-        size = ssh_private_size(unbase64(run[:-1] if len(run) % 4 == 1 else run))
-        stop = size and wrapped_end(text, start, end, size)
-    elif head[:3] == b"\0\0\0" and head[4:].startswith((b"ssh-", b"ecdsa-", b"sk-ssh-")):
-        if not kind_of(unbase64(text[start:end])):
-            stop = public_end(text, start, end)
-    else:
+    der = head[0] == 0x30
+    if not (der or OPENSSH.startswith(head[:len(OPENSSH)]) or head[:3] == b"\0\0\0" and head[4:].startswith((b"ssh-", b"ecdsa-", b"sk-ssh-"))):
         return None
+    if run is None or (i := run.line(start)) is None:
+        run, i = Run(text, start, end), 0
+    stop: int | None = end
+    if der or OPENSSH.startswith(head[:len(OPENSSH)]):
+        if der:
+            n = head[1] & 0x7F if head[1] & 0x80 else 0
+            size = 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1]) if n <= 4 else None
+        else:
+            size = ssh_private_size(Decoded(run, i))
+        stop = run.end_of(i, -(-size * 4 // 3)) if size else None
+    elif not kind_of(unbase64(text[start:end])):
+        stop = public_end(run, i)
     kind = kind_of(unbase64(text[start:stop])) if stop else None
     return (kind, stop) if kind else None
 
@@ -234,8 +276,11 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
         if len(m[0]) % 2 == 0 and (kind := kind_of(bytes.fromhex(m[0]))):
             found.append((m.start(), kind, m.end()))
     at = 0 if LONG.search(text) else len(text)
+    run: Run | None = None
     while m := ENCODED.search(text, at):
-        key = encoded_key(text, *m.span())
+        if run is None or run.line(m.start()) is None:
+            run = Run(text, *m.span())
+        key = encoded_key(text, *m.span(), run)
         if key:
             found.append((m.start(), *key))
         at = key[1] if key else m.end()

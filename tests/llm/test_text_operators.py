@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -345,3 +346,22 @@ def test_secret_query(spark, small):
 
 def test_secrets_of_odd_table(spark, odd):
     assert odd.withColumn("s", secret_scan.secret_spans(F.col("text"))).count() == odd.count()
+
+
+@pytest.mark.parametrize("begin", [b"\0\0\0\7ssh-rsa" + b"\0" * 40, b"\0\0\0\7ssh-rsa" + bytes(range(100, 140)), b"openssh-key-v1\0" + b"\0\0\0\4none" + b"\0" * 25,
+                                   bytes([0x30, 0x83, 1, 0, 0]) + b"x" * 46])
+def test_many_lines_that_begin_like_keys_take_linear_time(begin):
+    """10 MB of lines of each kind in less than a minute, and so in proportion."""
+    line = base64.b64encode(begin).decode()
+    began = time.process_time()
+    assert not secret_scan.confirmed_spans((line + "\n") * (2_000_000 // len(line)))
+    assert time.process_time() - began < 12
+
+
+def test_a_key_behind_many_lines_that_begin_like_one():
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    blob = base64.b64encode(field(b"ssh-rsa") + field(b"\1\0\1") + field(bytes(range(256)))).decode()
+    lines = [blob[i:i + 64] for i in range(0, len(blob), 64)]
+    noise = base64.b64encode(field(b"ssh-rsa") + bytes(range(100, 137))).decode()
+    text = (noise + "\n") * 500 + "\n".join(lines)
+    assert secret_scan.confirmed_spans(text) == [(text.index(lines[0]), "ssh_key", len(text))]
