@@ -46,6 +46,11 @@ def included_topics(topics: DataFrame, regions: DataFrame, only: list[str] | Non
                                            "region_name", "center_lat", "center_lng", "search_radius_m")
 
 
+def topics_in_order(topics: DataFrame, regions: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """Included topics by slug, for those who go through them one by one."""
+    return included_topics(topics, regions, only).orderBy("slug")
+
+
 def topic_profiles(included: DataFrame, suffix: str = fixed.QUERY_SUFFIX) -> DataFrame:
     """What discovery needs to know about a topic, worked out once per topic."""
     typed = included.withColumn("target", target_types(F.col("title"), F.col("category")))

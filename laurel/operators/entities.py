@@ -14,40 +14,49 @@ PLACE_FILL = ["yelp_id", "address", "lat", "lng", "phone", "website", "domain",
 LOOSE_KEEP = ["yelp_id", "website", "domain"]
 
 
-def _lowest_by(master: DataFrame, keys: list[Column], names: list[str]) -> DataFrame:
-    """key columns -> the lowest business id that has them."""
-    named = [k.alias(n) for k, n in zip(keys, names)]
-    rows = master.select(*named, F.col("business_id").alias("_match"))
-    for n in names:
-        rows = rows.where(F.col(n).isNotNull())
-    return rows.groupBy(*names).agg(F.min("_match").alias("_match"))
+def business_keys(rows: DataFrame, of: str | None = "business_id") -> DataFrame:
+    """kind, key, name (and _match): what each row can be found by: place id, review-site id, (domain, lower-case name)."""
+    blank = F.lit("")
+    keys = F.array(*[F.struct(F.lit(kind).alias("kind"), key.alias("key"), name.alias("name")) for kind, key, name in [
+        ("place", F.col("place_id"), blank), ("yelp", F.col("yelp_id"), blank), ("name", F.col("domain"), F.lower("name"))]])
+    found = rows.select(F.inline(keys), *([F.col(of).alias("_match")] if of else []))
+    return found.where("key IS NOT NULL AND name IS NOT NULL")
+
+
+def _lowest(keys: DataFrame) -> DataFrame:
+    """The lowest business id of each key."""
+    return keys.groupBy("kind", "key", "name").agg(F.min("_match").alias("_match"))
 
 
 def resolve(master: DataFrame, candidates: DataFrame) -> DataFrame:
     """Adds business_id and matched_by to candidates: place id, then review-site id, then (domain, name), then new.
 
     Place-id candidates of the batch are resolved first, then review-site ids,
-    then (domain, name), so later steps see what earlier ones added.  Each step
-    joins only the rows that have its key and are still unresolved; rows with
-    null keys never reach a shuffle.  Candidates and step results are read by
-    several later steps and are staged.
+    then (domain, name), so later steps see what earlier ones added.  The master is
+    read once: only those of its keys that the batch has go on, so what is
+    aggregated and joined after that grows with the batch.  Rows with null keys never
+    reach a shuffle.
     """
     c = staged(candidates.withColumn("_lname", F.lower("name")), "candidates")
     has_place, has_yelp, has_domain = (has_text(F.col(k)) for k in ("place_id", "yelp_id", "domain"))
+    asked = business_keys(c, of=None).distinct()
+    known = staged(_lowest(business_keys(master).join(asked, ["kind", "key", "name"], "left_semi")), "known-keys")
+
+    def by(keys: DataFrame, kind: str, *names: str) -> DataFrame:
+        found = [F.col(c).alias(n) for c, n in zip(("key", "name"), names)]
+        return keys.where(F.col("kind") == kind).select(*found, "_match")
 
     # a row keyed otherwise may have got this place id in an earlier run
-    known = _lowest_by(master, [F.col("place_id")], ["place_id"])
-    placed = staged(c.where(has_place).join(known, "place_id", "left")
+    placed = staged(c.where(has_place).join(by(known, "place", "place_id"), "place_id", "left")
               .withColumn("business_id", F.coalesce("_match", F.concat(F.lit("p:"), F.col("place_id"))))
               .withColumn("matched_by", F.lit("place_id")).drop("_match"), "placed")
-    ids = ["business_id", "yelp_id", "domain", "name"]
-    seen = master.select(*ids).unionByName(placed.select(*ids))
+    seen = _lowest(known.unionByName(business_keys(placed)))
 
     rest = c.where(~has_place)
     with_yelp = rest.where(has_yelp)
-    by_yelp = staged(with_yelp.join(_lowest_by(seen, [F.col("yelp_id")], ["yelp_id"]), "yelp_id", "left"), "by-review-site-id")
+    by_yelp = staged(with_yelp.join(by(seen, "yelp", "yelp_id"), "yelp_id", "left"), "by-review-site-id")
     name_keys = ["domain", "_lname"]
-    by_name = _lowest_by(seen, [F.col("domain"), F.lower("name")], name_keys)
+    by_name = by(seen, "name", *name_keys)
     yelp_hit = _matched(by_yelp.where(F.col("_match").isNotNull()), "yelp_id")
     yelp_open = by_yelp.where(F.col("_match").isNull()).drop("_match")
     # all rows of one review-site id go where its earliest row goes
@@ -61,8 +70,7 @@ def resolve(master: DataFrame, candidates: DataFrame) -> DataFrame:
                 .withColumn("matched_by", F.lit("new")))
     with_yelp_done = staged(yelp_hit.unionByName(yelp_named).unionByName(yelp_new), "with-review-site-id")
 
-    seen_all = seen.unionByName(with_yelp_done.select(*ids))
-    by_name_all = _lowest_by(seen_all, [F.col("domain"), F.lower("name")], name_keys)
+    by_name_all = by(_lowest(seen.unionByName(business_keys(with_yelp_done))), "name", *name_keys)
     with_domain = rest.where(~has_yelp & has_domain).join(by_name_all, name_keys, "left")
     domain_done = (with_domain
                    .withColumn("business_id", F.coalesce("_match", F.concat(F.lit("d:"), "domain", F.lit("|"), "_lname")))
