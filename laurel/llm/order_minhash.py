@@ -385,10 +385,13 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs with one row for each class: the one with the smallest doc_id.  Rows equal in id and text count as one."""
     found = staged(classes(docs, text, key), "omh-classes")
-    stays = found.where("kept").groupBy("doc_id", "low", "high").agg(F.count(F.lit(1)).alias("_n")).toDF("_id", "_low", "_high", "_n")
+    own = "_omh"
+    while any(c.lower().startswith(own) for c in docs.columns):  # names of their own, whatever docs has
+        own += "_"
+    i, l, h, id_, low_, high_, n = extra = [f"{own}{c}" for c in ("i", "l", "h", "id", "low", "high", "n")]
+    stays = found.where("kept").groupBy("doc_id", "low", "high").agg(F.count(F.lit(1)).alias(n)).toDF(id_, low_, high_, n)
     low, high = node_of(F.col(text))
-    rows = docs.withColumns({"_i": F.col(key).cast("long"), "_l": low, "_h": high})
-    kept = rows.join(stays, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_l") == F.col("_low")) & (F.col("_h") == F.col("_high")))
-    extra = ["_i", "_l", "_h", "_id", "_low", "_high", "_n"]
-    again = kept.where("_n > 1").dropDuplicates(["_i", "_l", "_h"])
-    return kept.where("_n = 1").unionByName(again).drop(*extra)
+    rows = docs.withColumns({i: F.col(key).cast("long"), l: low, h: high})
+    kept = rows.join(stays, F.col(i).eqNullSafe(F.col(id_)) & (F.col(l) == F.col(low_)) & (F.col(h) == F.col(high_)))
+    again = kept.where(F.col(n) > 1).dropDuplicates([i, l, h])
+    return kept.where(F.col(n) == 1).unionByName(again).drop(*extra)

@@ -535,3 +535,9 @@ def test_pipeline_of_odd_and_empty_tables(spark, odd, small):
 
 def test_run_is_the_stages(spark, small):
     assert corpus_pipeline.run(spark, small).where("round_trip").count() > 100
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f g", 7, 8, "x"), (2, "a b c d e f g", 9, 9, "y"), (3, None, None, 1, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _n int, _low long, _omh_i string")
+    assert sorted(map(tuple, order_minhash.one_of_each(docs).collect())) == [rows[0], rows[2]]
