@@ -142,3 +142,12 @@ CSV_FIELDS = [
     "phone", "photo_url", "rating", "rating_count", "strengths",
 ]
 MERGE_FIELDS = ["place_id", "yelp_id", "website", "domain", "lat", "lng", "address", "phone"]
+
+# What a website audit looks for in a page's markup.
+SCHEMA_TYPE = r'"@type"\s*:\s*"([^"]+)"'
+HEADING = r"<h1[\s>]"
+PAGE_MARKS = {
+    "has_open_graph": ['property="og:', "property='og:"],
+    "has_viewport": ['name="viewport"'],
+    "has_canonical": ['rel="canonical"'],
+}

@@ -3,7 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from laurel.functions.text import SPACE
+from laurel import fixed
+from laurel.functions.text import SPACE, contains_any
 
 VISIBLE_TEXT_CUTS = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
 
@@ -30,14 +31,12 @@ def page_description(html: Column) -> Column:
 def audit(url: Column, html: Column, markdown: Column) -> dict[str, Column]:
     html = F.coalesce(html, F.lit(""))
     low = F.lower(html)
-    types = F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit(r'"@type"\s*:\s*"([^"]+)"'), 1)))
+    types = F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit(fixed.SCHEMA_TYPE), 1)))
     return {
-        "h1_count": F.regexp_count(low, F.lit(r"<h1[\s>]")).cast("long"),
+        "h1_count": F.regexp_count(low, F.lit(fixed.HEADING)).cast("long"),
         "word_count": word_count(markdown).cast("long"),
         "has_schema_org": F.size(types) > 0,
         "schema_types": types,
-        "has_open_graph": low.contains('property="og:') | low.contains("property='og:"),
-        "has_viewport": low.contains('name="viewport"'),
-        "has_canonical": low.contains('rel="canonical"'),
+        **{flag: contains_any(low, marks) for flag, marks in fixed.PAGE_MARKS.items()},
         "is_https": F.lower(url).startswith("https://"),
     }
