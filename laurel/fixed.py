@@ -1,8 +1,7 @@
-"""Values that results depend on, kept in one place as plain text.
+"""Values that results depend on, kept in one place as plain text."""
 
-# Word lists, lookup tables, constants and formats.  Changing one
-# changes results, so every operator takes them as default arguments.
-"""
+# Word lists, lookup tables, constants and formats.  Changing one changes
+# results, so every operator takes them as default arguments.
 
 # --- rating prior and review-text vocabulary ---------------------------------
 PRIOR_MEAN = 4.0
