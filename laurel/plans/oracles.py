@@ -463,6 +463,8 @@ FROM (SELECT business_id, topic_slug, '2024-01' AS run_id, 'old' AS q, 7e0 AS m
   ON o.business_id = n.business_id AND o.topic_slug = n.topic_slug AND o.run_id = n.run_id""")
 O["raw_latest"] = """SELECT user_id::VARCHAR AS business_id, event_type AS source, props AS payload FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, props DESC) AS i FROM events) WHERE i = 1"""
+O["raw_append"] = """SELECT user_id::VARCHAR AS business_id, event_type AS source, props AS payload FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, props DESC) AS i FROM events) WHERE i = 1"""
 O["metric_upsert"] = """WITH last AS (SELECT o_custkey::VARCHAR AS business_id, lower(substr(o_orderpriority, 1, 1)) AS metric_key, o_totalprice AS value,
     o_orderstatus AS source, row_number() OVER (PARTITION BY o_custkey, o_orderpriority[1], o_orderstatus ORDER BY o_orderkey DESC) AS i
   FROM orders)

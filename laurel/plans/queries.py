@@ -1,5 +1,7 @@
 """One named query per operator, over the benchmark tables.  Each takes (spark, folder) and returns a DataFrame."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from laurel.operators import publish as P
 from laurel.operators import ranks, scoring, sentiment, signals
 from laurel.plans import driver_tables as D
 from laurel.plans.driver_tables import view
-from laurel.session import small_table, staged
+from laurel.plans.warehouse import Warehouse
+from laurel.session import small_table, staged, staging_root
 from laurel.sources import catalog, payloads, providers
 
 QUERIES = {}
@@ -488,6 +491,20 @@ def raw_latest(spark, d):
     return U.save_raw(rows.where(early), rows.where(~early)).select("business_id", "source", "payload")
 
 
+@query
+def raw_append(spark, d):
+    """The same events landed in three batches, of which the last is older than the one before it, appended to one run."""
+    e = D.table(spark, d, "events")
+    rows = e.select(F.col("user_id").cast("string").alias("business_id"), F.lit(None).cast("string").alias("topic_slug"),
+                    F.col("event_type").alias("source"), F.lit(D.RUN).alias("run_id"),
+                    F.col("ts").cast("timestamp").alias("collected_at"), F.col("props").alias("payload"))
+    early, late = (F.col("collected_at") < F.lit(day).cast("timestamp") for day in ("2024-01-10", "2024-01-20"))
+    w = Warehouse(spark, f"{staging_root(spark).rstrip('/')}/laurel/raw-append-{uuid.uuid4().hex}")
+    for batch in (early, ~late, ~early & late):
+        w.append_run("raw_collections", rows.where(batch), D.RUN)
+    return w.run("raw_collections", D.RUN).select("business_id", "source", "payload")
+
+
 @query
 def metric_upsert(spark, d):
     o = D.table(spark, d, "orders")
