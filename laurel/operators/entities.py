@@ -207,7 +207,9 @@ def match_platform(businesses: DataFrame, listings: DataFrame, radius_m: float =
     at, shop = F.struct(*place).alias("at"), F.struct(*place).alias("shop")
     close = haversine_m(F.col("at.lat"), F.col("at.lng"), F.col("shop.lat"), F.col("shop.lng")) <= radius_m
 
-    here = around.join(home.select("cell").distinct(), "cell", "left_semi")
+    # staged: each spot gives a row for each cell around it, which the size of its file does not tell
+    home = staged(home, "platform-home")
+    here = staged(around.join(home.select("cell").distinct(), "cell", "left_semi"), "platform-around")
     one = lambda df, text, *more: df.select("cell", F.col("norm").alias(text), *more)
     inside = (contained(one(here, "needle", at), one(home, "text", shop, "offer"), 1, "cell")
               .unionByName(contained(one(home, "needle", shop, "offer"), one(here, "text", at), 1, "cell")))
