@@ -196,3 +196,26 @@ def test_documents_and_csv(spark, tmp_path):
     assert csv.columns[:2] == ["topic_slug", "rank_position"] and "pillar_breakdown" not in csv.columns and len(csv.columns) == 16
     assert csv.first()["strengths"] == '["a \\"b\\""]' and csv.first()["rank_position"] == "1"
     assert not sinks.write_csv(rows.limit(0), str(tmp_path / "none"))
+
+
+def test_mentions_of_names_in_common_meet_once(spark, monkeypatch):
+    met = []
+
+    def counted(*args):
+        out = containment.contained(*args).cache()
+        met.append(out.count())
+        return out
+    monkeypatch.setattr(G, "contained", counted)
+    names = [(f"Blue Moon{' Bar' * (i % 2)}", ["a.com", "b.org", None][i % 3]) for i in range(300)]
+    owners = linked(spark, names).unionByName(linked(spark, [("Red Fox", "a.com")]))
+    rec = spark.createDataFrame([("t", i, ["Blue Moon Bar", "The Blue Moon", "Fox"][i % 3]) for i in range(240)], "topic_slug string, list_pos int, name string")
+    got = [(r["business_id"], r["mentioned"], tuple(r["recommended"])) for r in G.list_mentions(owners, rec).collect()]
+    moons = tuple(["Blue Moon Bar", "The Blue Moon"][i % 3] for i in range(240) if i % 3 < 2)
+    want = {str(i): (True, moons) for i in range(300)}
+    want["0"] = (True, tuple(["Blue Moon Bar", "The Blue Moon", "Fox"][i % 3] for i in range(240)))  # a business of two names has what either has
+    assert len(got) == 300 and {b: (m, r) for b, m, r in got} == want
+    results = [("t", i, i + 1, "all of Blue Moon Bar" if i >= 50 else "none", "https://a.com/x" if i >= 90 else "u", None) for i in range(240)]
+    results = spark.createDataFrame([*results, ("t", None, 7, "Blue Moon", "u", None)], "topic_slug string, list_pos int, position int, title string, url string, snippet string")
+    got = {r["business_id"]: (r["serp_rank"], r["mentioned"], r["query_results"]) for r in G.serp_mentions(owners, results).collect()}
+    assert got == {str(i): (51, True, 241) for i in range(300)}
+    assert met and max(met) < 40
