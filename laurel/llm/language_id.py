@@ -44,8 +44,7 @@ def vector(text: str | None) -> np.ndarray | None:
 
 
 def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 120) -> np.ndarray:
-    """Linear support vector machine (squared hinge loss, classes weighed alike) by accelerated gradient steps; the bias comes last."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    """Linear support vector machine (squared hinge loss, classes weighed alike) by accelerated gradient steps; the bias comes last, as x's last column of ones."""
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
     w = ahead = np.zeros(x.shape[1], np.float32)
     rate = 1 / (2 * 2.0 + penalty)  # rows have squared length 2 with the bias, weights sum to 1
@@ -99,8 +98,9 @@ def families_of(means: dict[str, np.ndarray]) -> list[list[str]]:
 
 
 def learn(x: np.ndarray, lang: np.ndarray) -> Model:
+    """x: a vector in each row, with a one behind it."""
     names = sorted(set(lang))
-    means = {k: (m := x[lang == k].mean(0)) / max(float(np.linalg.norm(m)), 1e-9) for k in names}
+    means = {k: (m := x[lang == k, :SIZE].mean(0)) / max(float(np.linalg.norm(m)), 1e-9) for k in names}
     families = families_of(means)
     sign = lambda hit: np.where(hit, 1, -1).astype(np.float32)
     planes = [svm(x, sign(np.isin(lang, f))) if len(families) > 1 else np.ones(SIZE + 1, np.float32) for f in families]
@@ -111,10 +111,25 @@ def learn(x: np.ndarray, lang: np.ndarray) -> Model:
     return Model(families, np.stack(planes, 1), pairs)
 
 
+def packed(v: np.ndarray) -> bytes:
+    """The places and values of a vector that are not 0, as far as that is shorter."""
+    at = np.flatnonzero(v).astype("<u2")
+    return v.astype("<f4").tobytes() if 6 * len(at) >= 4 * SIZE else at.tobytes() + v[at].astype("<f4").tobytes()
+
+
+def unpacked(data: bytes, out: np.ndarray) -> None:
+    """Puts a packed vector into a row of zeros."""
+    if len(data) == 4 * SIZE:
+        out[:] = np.frombuffer(data, "<f4")
+    else:
+        n = len(data) // 6
+        out[np.frombuffer(data, "<u2", n)] = np.frombuffer(data, "<f4", n, 2 * n)
+
+
 def vectors(text: Column) -> Column:
     @F.pandas_udf("binary")
     def make(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if (v := vector(t)) is None else v.tobytes() for t in texts], dtype=object)
+        return pd.Series([None if (v := vector(t)) is None else packed(v) for t in texts], dtype=object)
 
     return make.asNondeterministic()(text)
 
@@ -134,7 +149,14 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, text: str = "text", lang: str
            .orderBy("_hash", "_lang", "_v").limit(2 * fit_rows).toPandas())
     if got.empty:
         return None
-    return learn(np.stack([np.frombuffer(v, np.float32) for v in got["_v"]]), got["_lang"].to_numpy())
+    # one matrix in the driver, into which vectors go one by one
+    x = np.zeros((len(got), SIZE + 1), np.float32)
+    x[:, SIZE] = 1
+    for row, v in zip(x, got["_v"]):
+        unpacked(v, row[:SIZE])
+    langs = got["_lang"].to_numpy()
+    del got
+    return learn(x, langs)
 
 
 def predict(text: Column, model: Model | None, spark) -> Column:

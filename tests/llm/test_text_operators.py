@@ -365,3 +365,14 @@ def test_a_key_behind_many_lines_that_begin_like_one():
     noise = base64.b64encode(field(b"ssh-rsa") + bytes(range(100, 137))).decode()
     text = (noise + "\n") * 500 + "\n".join(lines)
     assert secret_scan.confirmed_spans(text) == [(text.index(lines[0]), "ssh_key", len(text))]
+
+
+def test_vectors_of_the_fitting_sample_are_sent_without_zeros(spark):
+    texts = ["a short one", "Füße und Straßen " * 40, "".join(chr(97 + i * i % 26) + chr(0x400 + i * 7919 % 6000) for i in range(20_000))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r["v"] for r in df.select(language_id.vectors(F.col("text")).alias("v")).collect()]
+    for t, v in zip(texts, got):
+        assert len(v) <= min(6 * len(t) + 6, 4 * language_id.SIZE)
+        out = np.zeros(language_id.SIZE, np.float32)
+        language_id.unpacked(v, out)
+        assert (out == language_id.vector(t)).all()
