@@ -35,8 +35,9 @@ from laurel.session import staged
 
 LEAST, LONGEST, TOP = 100, 5, 2_000
 UNKNOWN = "und"
-#: Bytes of text that are split at once, words that a task holds before it passes them on, n-grams that it counts at once.
-SLICE, HELD, GRAMS = 1 << 20, 250_000, 1_000_000
+#: Bytes of text that are split at once, words that a task holds before it passes them on, words of all languages whose numbers it remembers,
+#: n-grams of all lengths that it counts at once.
+SLICE, HELD, MEMO, GRAMS = 1 << 20, 250_000, 150_000, 300_000
 #: Occurrences of frequent words that a range of n-grams stands for, on average.
 RANGE_WORDS = 4_000_000
 #: Every separator becomes a full stop, which no word holds; tabs become blanks.
@@ -122,8 +123,14 @@ def encoded(docs: DataFrame, shards: list[tuple[int, str]], text: str = "text",
             of = memo.setdefault(name, {b".": 0})
             new = list(set().union(*texts).difference(of))
             if new:
-                if len(of) > HELD:
-                    memo[name] = of = {w: i for w, i in of.items() if i} | {b".": 0}
+                if sum(map(len, memo.values())) > MEMO:
+                    for k, other in memo.items():
+                        memo[k] = {w: i for w, i in other.items() if i} | {b".": 0}
+                    # frequent words alone may be too many
+                    if 2 * sum(map(len, memo.values())) > MEMO:
+                        for k in memo:
+                            memo[k] = {b".": 0}
+                    of = memo[name]
                 of.update(zip(new, table.probe(*hashes(name, new))[0].tolist()))
                 # a word dropped just now may be among those that had been known
                 gone = list(set().union(*texts).difference(of))
@@ -189,8 +196,11 @@ def ngram_counts(blocks: DataFrame, lengths: tuple[int, ...], bits: int, skip: i
                         run &= good[k:k + len(run)]
                     at = np.flatnonzero(run)
                     held[n].append(np.stack([ids[at + k] for k in range(n)]))
-                    if sum(x.shape[1] for x in held[n]) > GRAMS:
-                        yield from out(n)
+                sizes = {n: sum(x.shape[1] for x in held[n]) for n in lengths}
+                while sum(sizes.values()) > GRAMS:
+                    n = max(sizes, key=sizes.get)
+                    yield from out(n)
+                    sizes[n] = 0
         for n in lengths:
             if held[n]:
                 yield from out(n)

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -313,3 +314,54 @@ def test_no_documents(spark):
     assert collocations.collocations(none).count() == 0
     assert token_alignment.alignment(none, *[queries.tokenizer_file(p) for p in PATHS]).count() == 0
     assert none.select(pii.personal_data(F.col("text"), pii.fit(none), spark)).count() == 0
+
+
+class Frame:
+    """Stands for a table: keeps the function that is given for its tasks."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        self.run = run
+        return self
+
+    def groupBy(self, *_):
+        return self
+
+    def applyInPandas(self, *_):
+        return self
+
+
+def test_ngrams_of_all_lengths_share_one_bound(monkeypatch):
+    monkeypatch.setattr(collocations, "GRAMS", 3_000)
+    held, filters_of = [], qf.filters_of
+    monkeypatch.setattr(qf, "filters_of", lambda ids, *more: held.append(ids.shape[1]) or filters_of(ids, *more))
+    frame, rng = Frame(), np.random.default_rng(2)
+    collocations.ngram_counts(frame, (3, 4, 5), 8, 3, 1)
+    blocks = [rng.integers(1, 200, 300).astype("<u8") for _ in range(40)]
+    rows = [r for b in frame.run(pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], names=["ids"]) for x in blocks) for r in b.to_pylist()]
+    assert sum(held) == 40 * (298 + 297 + 296) and max(held) <= 3_000
+    assert sum(qf.QuotientFilter.load(r["filter"]).counts.sum() for r in rows) == sum(held)
+
+
+def test_remembered_words_of_all_languages_share_one_bound(spark, monkeypatch):
+    most = []
+
+    class Table:
+        def probe(self, low, high):
+            most.append(len(low))
+            return (np.abs(low) % 3,)
+    monkeypatch.setattr(collocations, "lookup", lambda _: Table())
+    rng = random.Random(4)
+    rows = [(f"l{i % 5}", " ".join(f"w{rng.randrange(400)}" for _ in range(60))) for i in range(400)]
+    part = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["lang", "text"])
+
+    def ids():
+        frame = Frame()
+        collocations.encoded(frame, [])
+        return b"".join(x.as_py() for b in frame.run(iter([part])) for x in b.column(0))
+    whole, once = ids(), sum(most)
+    monkeypatch.setattr(collocations, "MEMO", 500)
+    most.clear()
+    assert ids() == whole and sum(most) > 1.2 * once
