@@ -291,8 +291,8 @@ def ordered(a: list[Column], b: list[Column]) -> list[Column]:
     return [F.when(first, x).otherwise(y).alias(n) for n, x, y in zip(names, [*a, *b], [*b, *a])]
 
 
-def links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Verified links (a, b) between nodes that join their classes.
+def links(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between nodes that join their classes, and (node, root) of the nodes they join: the smallest node of each one's class.
 
     In each turn members of a bucket meet two members of it, of the first and of the last component there, unless they are of their component already;
     so a class of n texts is joined by the first turns with a few links for each text, and later ones only look at what is still apart.
@@ -330,7 +330,7 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
     main = main.join(apart, "bucket", "left_semi").select("bucket", F.col("_p.low").alias("low_p"), F.col("_p.high").alias("high_p"))
     left = staged(members.select("bucket", "low", "high", "n").join(main, "bucket"), "omh-apart")
     second = staged(verified(outsiders(left, roots, tried, texts), texts), "omh-links")
-    return found.unionByName(second)
+    return found.unionByName(second), staged(joined(roots, second), "omh-roots")
 
 
 def joined(roots: DataFrame, new: DataFrame) -> DataFrame:
@@ -346,6 +346,11 @@ def joined(roots: DataFrame, new: DataFrame) -> DataFrame:
 
 def outsiders(members: DataFrame, roots: DataFrame, tried: DataFrame, texts: DataFrame) -> DataFrame:
     """Untried pairs of a bucket that may be alike: members outside the picked one's component against those of other components."""
+    return meetings(staged(outside(members, roots, texts), "omh-outsiders")).join(tried, ["low_a", "high_a", "low_b", "high_b"], "left_anti")
+
+
+def outside(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """bucket, low, high, n, root, main, own, map: members of the buckets that have any outside the picked one's component (main), and all of such buckets they are in (own)."""
     name = lambda s: node_name(f"low{s}", f"high{s}")
     of = lambda s: roots.select(F.col("node").alias(f"_n{s}"), F.col("root").alias(f"_r{s}"))
     known = (members.withColumns({"_n": name(""), "_np": name("_p")}).join(of(""), "_n", "left").join(of("p"), "_np", "left")
@@ -353,20 +358,29 @@ def outsiders(members: DataFrame, roots: DataFrame, tried: DataFrame, texts: Dat
     known = staged(known.distinct(), "omh-members")
     left = known.where("root != main").select("bucket").distinct()
     maps = texts.select("low", "high", window_map(F.col("text")).alias("map"))
-    known = staged(known.join(left, "bucket", "left_semi").join(maps, ["low", "high"]), "omh-outsiders")
+    known = known.join(left, "bucket", "left_semi")
+    own = known.groupBy("low", "high").agg(F.collect_set("bucket").alias("own"))
+    return known.join(own, ["low", "high"]).join(maps, ["low", "high"])
+
+
+def meetings(known: DataFrame) -> DataFrame:
+    """Pairs of members of other components that may be alike, each once: in the first of the buckets that both are in.
+
+    Of a pair of different components one at least is an outsider in every bucket they share.
+    """
     out = known.where("root != main").toDF(*[f"_{c}" for c in known.columns])
     # of two outsiders one meets the other; the rest of the bucket is met by every outsider
     once = (F.col("root") == F.col("main")) | (F.col("_low") < F.col("low")) | ((F.col("_low") == F.col("low")) & (F.col("_high") < F.col("high")))
-    pairs = out.join(known, (F.col("_bucket") == F.col("bucket")) & (F.col("root") != F.col("_root")) & once & may_be_alike("n", "map", "_n", "_map"))
-    pairs = pairs.select(*ordered([F.col("_low"), F.col("_high")], [F.col("low"), F.col("high")])).distinct()
-    return pairs.join(tried, ["low_a", "high_a", "low_b", "high_b"], "left_anti")
+    first = F.array_min(F.array_intersect("own", "_own")) == F.col("bucket")
+    pairs = out.join(known, (F.col("_bucket") == F.col("bucket")) & (F.col("root") != F.col("_root")) & once & may_be_alike("n", "map", "_n", "_map") & first)
+    return pairs.select(*ordered([F.col("_low"), F.col("_high")], [F.col("low"), F.col("high")]))
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row for each row of docs: doc_id, low, high, class_id, n_copies (rows with this very text), n_joining_links
     (verified links of its text that were found to join the class, not all there are: the number depends on the hashes), and kept: whether the row's doc_id and text are those that stand for the class."""
-    found = staged(links(docs, text).distinct(), "omh-links")
-    roots = components(found)
+    found, roots = links(docs, text)
+    found = staged(found.distinct(), "omh-links")
     degree = found.select("a").union(found.select("b")).toDF("node").groupBy("node").agg(F.count(F.lit(1)).alias("n_joining_links"))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), *node_of(F.col(text)))
     nodes = rows.groupBy("low", "high").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"))

@@ -324,6 +324,30 @@ def test_outsiders_meet_the_rest_of_their_bucket(spark):
     assert order_minhash.verified(pairs, nodes).count() == 2
 
 
+def test_outsiders_that_share_several_buckets_meet_once(spark):
+    text = " ".join(words(random.Random(4), 60))
+    texts = spark.createDataFrame([(i, i, text) for i in range(4)], "low long, high long, text string")
+    # bucket 2 has another picked one: there 3 is inside, and all others are outsiders
+    members = spark.createDataFrame([(b, i, i, 60, p, p) for b, p in ((1, 0), (2, 3), (3, 0)) for i in range(4)],
+                                    "bucket long, low long, high long, n long, low_p long, high_p long")
+    none = spark.createDataFrame([], "node string, root string")
+    met = order_minhash.meetings(order_minhash.outside(members, none, texts)).collect()
+    assert sorted({tuple(sorted((r["low_a"], r["low_b"]))) for r in met}) == [(i, j) for i in range(4) for j in range(i + 1, 4)]
+    assert len(met) == 6
+
+
+def test_components_look_at_each_link_once(spark, monkeypatch):
+    rng, looked = random.Random(8), []
+    origin = words(rng, 120)
+    texts = [" ".join([*origin[:i], "new", *origin[i + 1:]]) for i in range(0, 120, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = components.components
+    monkeypatch.setattr(order_minhash, "components", lambda new: looked.append(new.count()) or found(new))
+    got = order_minhash.classes(docs).collect()
+    assert {r["class_id"] for r in got} == {0}
+    assert 2 * sum(looked) <= sum(r["n_joining_links"] for r in got)
+
+
 def test_window_maps_let_every_similar_pair_through(spark):
     rng = random.Random(9)
     pairs = []
