@@ -53,3 +53,20 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:4] == ["topic_slug", "rank_position", "business_id", "final_score"] and df.count() > 0
+
+
+def test_slugs_are_made_once_for_each_topic(spark, tmp_path):
+    """Customers of a topic, or without a segment, share one slug; making it does not grow with them."""
+    from pyspark.sql import functions as F
+
+    from laurel.plans import driver_tables as D
+    rows = [(i, f"c{i}", i % 3, 1.0, (None, "AUTOMOBILE", "Ünder Écart")[i // 3 % 3]) for i in range(90)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "FRANCE"), (1, "CÔTE d'Ivoire")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    names = spark.read.parquet(f"{tmp_path}/nation.parquet")
+    made = spark.createDataFrame(rows, "k long, name string, nation int, bal double, segment string").join(names, F.col("nation") == F.col("n_nationkey"))
+    made = made.select(D.business_id(F.col("k")).alias("b"), D.topic_slug(F.col("segment"), F.col("n_name")).alias("t"))
+    got = D.links(spark, str(tmp_path))
+    assert sorted((r["business_id"], r["topic_slug"]) for r in got.collect()) == sorted((r["b"], r["t"]) for r in made.collect())
+    assert got.count() == 60 and D.topic_slugs(spark, str(tmp_path)).count() == 6
+    assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
