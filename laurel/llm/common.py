@@ -1,7 +1,8 @@
 """Helpers that several operators share."""
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -24,6 +25,12 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set(name, rows)
 
 
+@lru_cache(maxsize=1)
+def held(make: Callable, *args):
+    """make(*args), kept by a worker from task to task.  Workers go on to other steps: what the step before has kept goes, or the tables of all would pile up."""
+    return make(*args)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """URI of a new folder that driver and executors share, for files that tasks write."""
     root = staging_root(spark).rstrip("/")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laurel.llm.common import mix64
+from laurel.llm.common import held, mix64
 from laurel.llm.components import components
 from laurel.llm.decontaminate import words_of
 from laurel.session import staged
@@ -41,14 +41,18 @@ WINDOW, THRESHOLD = 5, 0.8
 SAMPLE, TABLES = 6, 28
 #: Windows up to which texts meet by what is left of them without some windows; alike texts beyond may lack windows inside, too.
 SHORT = 13
-#: Words whose hashes a worker remembers; windows that are hashed for all tables at once.
-MEMO, SLICE = 500_000, 8_192
+#: Words whose hashes a worker remembers; texts that a task remembers; windows that are hashed for all tables at once.
+MEMO, SEEN, SLICE = 30_000, 100_000, 8_192
 #: 64-bit words of a text's map of windows.
 MAP = 32
 #: Windows of a text whose places alignment keeps as bits, at most.
 MASKS = 256
 
 
+class Memo(dict[str, int]):
+    """Hashes of words."""
+
+
 def window_hashes(words: list[str], memo: dict[str, int]) -> np.ndarray:
     """64-bit hashes of the 5-word windows, labelled with their number of earlier occurrences."""
     if len(memo) > MEMO:
@@ -210,14 +214,14 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
     """bucket, low, high, n, part, turn: the text's node and its number of words, in each of its buckets (signs_of)."""
 
     def sign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        odd, memo, seen = multipliers(), {}, set()
+        odd, memo, seen = multipliers(), held(Memo), set()
         for part in parts:
             rows, found, parted, sizes, turns = [], [], [], [], []
             for low, high, t in zip(part["low"], part["high"], part["_text"]):
                 # copies of a text that this task has just seen have the same buckets
                 if (low, high) in seen:
                     continue
-                if len(seen) >= MEMO:
+                if len(seen) >= SEEN:
                     seen.clear()
                 seen.add((low, high))
                 words = words_of(t)
@@ -254,7 +258,7 @@ def window_map(text: Column) -> Column:
 
     @F.pandas_udf("array<long>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo: dict[str, int] = {}
+        memo = held(Memo)
         for texts in parts:
             out = []
             for t in texts:

@@ -15,13 +15,15 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from laurel.llm.common import held
+
 BLANK = "▁"
 #: Parts of texts that a worker remembers (twice this number at most, those used lately among them), and their greatest length.
 MEMO, MEMO_CHARS = 400_000, 64
@@ -189,10 +191,9 @@ class Codec:
         return text[1:] if self.v.prefix and text[:1] == " " else text
 
 
-@lru_cache(maxsize=1)
 def codec_of(path: str) -> Codec:
     """One for all tasks of a worker."""
-    return Codec(path)
+    return held(Codec, path)
 
 
 def coded(text: Column, path: str) -> Column:

@@ -1,13 +1,16 @@
 """Operators over whole tables, against brute force, other libraries and exact round trips."""
 
+import gc
 import hashlib
 import random
 import tracemalloc
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -324,6 +327,40 @@ def test_outsiders_meet_the_rest_of_their_bucket(spark):
     assert order_minhash.verified(pairs, nodes).count() == 2
 
 
+class Handed:
+    """Stands for a table and gives the function that its rows would be handed to."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInPandas(self, run, schema):
+        return run
+
+
+def test_a_worker_keeps_the_tables_of_one_step_only(spark):
+    sign = order_minhash.signatures(Handed(), "text")
+    codec = weakref.ref(sentencepiece_codec.codec_of(PIECES))
+    assert sentencepiece_codec.codec_of(PIECES) is codec()
+    assert len(list(sign(iter([pd.DataFrame({"low": [1], "high": [1], "_text": ["one two three four five six"]})])))) == 1
+    gc.collect()
+    assert codec() is None
+
+
+def test_signing_remembers_few_words_and_texts(spark):
+    sign = order_minhash.signatures(Handed(), "text")
+    rows = 3_000
+    parts = (pd.DataFrame({"low": range(i, i + 100), "high": range(i, i + 100), "_text": [" ".join(f"w{k * 100 + j}" for j in range(100)) for k in range(i, i + 100)]})
+             for i in range(0, rows, 100))
+    tracemalloc.start()
+    try:
+        found = sum(len(set(zip(p["low"], p["high"]))) for p in sign(parts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == rows
+    assert peak < 15 << 20
+
+
 def test_outsiders_that_share_several_buckets_meet_once(spark):
     text = " ".join(words(random.Random(4), 60))
     texts = spark.createDataFrame([(i, i, text) for i in range(4)], "low long, high long, text string")
