@@ -11,7 +11,6 @@ item_id counts as the empty string.  Repeated documents are judged each; repeate
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -23,12 +22,19 @@ from laurel.llm.common import BROADCAST_BYTES
 from laurel.session import staged
 
 WINDOW, BLOCK = 13, 3
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
+#: A-Z in lower case, a blank for what is in no word; all but ASCII stays.
+PLAIN = str.maketrans({c: chr(c).lower() if chr(c).isalnum() else " " for c in range(128)})
+PLAIN_BYTES = bytes(ord(PLAIN[c]) if c < 128 else c for c in range(256))
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.translate(LOWER)) if text else []
+    if not text:
+        return []
+    if text.isascii():
+        return text.translate(PLAIN).split()
+    # split() would cut at other blanks, too
+    text = text.encode("utf-8", "surrogatepass").translate(PLAIN_BYTES).decode("utf-8", "surrogatepass")
+    return [w for w in text.split(" ") if w]
 
 
 class Searcher:

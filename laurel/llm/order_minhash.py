@@ -22,8 +22,9 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -41,40 +42,56 @@ WINDOW, THRESHOLD = 5, 0.8
 SAMPLE, TABLES = 6, 28
 #: Windows up to which texts meet by what is left of them without some windows; alike texts beyond may lack windows inside, too.
 SHORT = 13
-#: Words whose hashes a worker remembers; texts that a task remembers; windows that are hashed for all tables at once.
-MEMO, SEEN, SLICE = 30_000, 100_000, 8_192
+#: Texts that a task remembers; windows that are hashed at once, of several texts, or of one for all tables.
+SEEN, SLICE = 100_000, 8_192
 #: 64-bit words of a text's map of windows.
 MAP = 32
 #: Windows of a text whose places alignment keeps as bits, at most.
 MASKS = 256
 
 
-class Memo(dict[str, int]):
-    """Hashes of words."""
-
-
-def window_hashes(words: list[str], memo: dict[str, int]) -> np.ndarray:
-    """64-bit hashes of the 5-word windows, labelled with their number of earlier occurrences."""
-    if len(memo) > MEMO:
-        memo.clear()
-    for w in set(words):
-        if w not in memo:
-            memo[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter((memo[w] for w in words), np.uint64, len(words))
-    n = max(1, len(h) - WINDOW + 1)
-    out = np.zeros(n, np.uint64)
-    for i in range(min(WINDOW, len(h))):
+def window_hashes(texts: list[list[str]]) -> list[np.ndarray]:
+    """64-bit hashes of each text's 5-word windows, labelled with their number of earlier occurrences; a text of 1 to 4 words is one window."""
+    sizes = np.array([len(w) for w in texts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    n = int(sizes.sum())
+    # big-endian digests in one piece: no number is made of each
+    h = np.zeros(n + WINDOW, np.uint64)
+    h[:n] = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, chain.from_iterable(texts))), ">u8")
+    out, short = np.zeros(n, np.uint64), []
+    for i in range(WINDOW):
+        if i:
+            at = starts[sizes == i]
+            short.append((at, out[at]))
         out = mix64(out, i) + h[i:i + n]
+    for at, ended in short:
+        out[at] = ended
     out = mix64(out, WINDOW)
-    order = np.argsort(out, kind="stable")
-    s = out[order]
-    again = np.concatenate(([False], s[1:] == s[:-1]))
-    if again.any():
-        at = np.arange(n)
-        label = np.empty(n, np.uint64)
-        label[order] = at - np.maximum.accumulate(np.where(again, 0, at))
-        out = np.where(label > 0, mix64(out + label, WINDOW + 1), out)
-    return out
+    return [labelled(out[i:i + max(1, k - WINDOW + 1)] if k else out[:0]) for i, k in zip(starts.tolist(), sizes.tolist())]
+
+
+def labelled(windows: np.ndarray) -> np.ndarray:
+    s = np.sort(windows)
+    if not (s[1:] == s[:-1]).any():
+        return windows
+    order = np.argsort(windows, kind="stable")
+    s = windows[order]
+    at = np.arange(len(s))
+    label = np.empty(len(s), np.uint64)
+    label[order] = at - np.maximum.accumulate(np.where(np.concatenate(([False], s[1:] == s[:-1])), 0, at))
+    return np.where(label > 0, mix64(windows + label, WINDOW + 1), windows)
+
+
+def hashed(texts: Iterable[list[str]]) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Each text's words and window_hashes, made for texts of about SLICE words at once."""
+    some, size = [], 0
+    for words in texts:
+        some.append(words)
+        size += len(words)
+        if max(size, len(some)) >= SLICE:
+            yield from zip(some, window_hashes(some))
+            some, size = [], 0
+    yield from zip(some, window_hashes(some))
 
 
 def multipliers() -> np.ndarray:
@@ -87,7 +104,12 @@ def buckets_of(h: np.ndarray, odd: np.ndarray) -> np.ndarray:
     if k == len(h):
         least = np.broadcast_to(np.arange(k), (len(odd), k))
     elif len(h) <= SLICE:
-        least = np.sort(np.argpartition(h[None, :] * odd[:, None], k - 1, axis=1)[:, :k], axis=1)
+        orders = h[None, :] * odd[:, None]
+        least = np.flatnonzero(orders <= np.partition(orders, k - 1, axis=1)[:, k - 1:k])
+        if len(least) == len(odd) * k:
+            least = least.reshape(-1, k) % len(h)
+        else:  # equal hashes of different windows
+            least = np.sort(np.argpartition(orders, k - 1, axis=1)[:, :k], axis=1)
     else:
         least = np.stack([np.sort(np.argpartition(h * a, k - 1)[:k]) for a in odd])
     out = mix64(np.arange(len(odd), dtype=np.uint64), 11)
@@ -125,8 +147,11 @@ def turns_of(n: int, tables: int) -> np.ndarray:
     return out
 
 
-def signs_of(words: list[str], memo: dict[str, int], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of a text, and for each whether the text is there with a part of its windows, to meet the text that has just those."""
+def signs_of(words: list[str], windows: Sequence[int], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text, and for each whether the text is there with a part of its windows, to meet the text that has just those.
+
+    windows: its window_hashes; empty if they are still to be made.
+    """
     n = max(1, len(words) - WINDOW + 1)
     found, part = [], []
     if n <= SHORT:
@@ -138,7 +163,7 @@ def signs_of(words: list[str], memo: dict[str, int], odd: np.ndarray) -> tuple[n
             part += [False] * len(levels[1])
     found, part = np.array(found, np.uint64), np.array(part, bool)
     if n / THRESHOLD + 1e-9 >= SHORT + 1:
-        found = np.concatenate((found, buckets_of(window_hashes(words, memo), odd)))
+        found = np.concatenate((found, buckets_of(windows if len(windows) else window_hashes([words])[0], odd)))
         part = np.concatenate((part, np.zeros(len(odd), bool)))
     return found, part
 
@@ -151,7 +176,7 @@ def similarity(a: str | None, b: str | None, least: float = THRESHOLD) -> float:
     if min(len(x), len(y)) < WINDOW:
         return float(x == y)
     number: dict[tuple[str, ...], int] = {}
-    x, y = ([number.setdefault(tuple(w[i:i + WINDOW]), len(number)) for i in range(len(w) - WINDOW + 1)] for w in (x, y))
+    x, y = ([number.setdefault(t, len(number)) for t in zip(*(w[i:] for i in range(WINDOW)))] for w in (x, y))
     m, n = len(x), len(y)
     need = least / (1 + least) * (m + n)  # A / (m + n - A) >= least
     if min(m, n) < need - 1e-9 or (Counter(x) & Counter(y)).total() < need - 1e-9:
@@ -214,9 +239,9 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
     """bucket, low, high, n, part, turn: the text's node and its number of words, in each of its buckets (signs_of)."""
 
     def sign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        odd, memo, seen = multipliers(), held(Memo), set()
-        for part in parts:
-            rows, found, parted, sizes, turns = [], [], [], [], []
+        odd, seen = held(multipliers), set()
+
+        def unseen(part: pd.DataFrame, rows: list[tuple[int, int]]) -> Iterator[list[str]]:
             for low, high, t in zip(part["low"], part["high"], part["_text"]):
                 # copies of a text that this task has just seen have the same buckets
                 if (low, high) in seen:
@@ -227,11 +252,16 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
                 words = words_of(t)
                 if words:
                     rows.append((low, high))
-                    sizes.append(len(words))
-                    bucket, is_part = signs_of(words, memo, odd)
-                    found.append(bucket)
-                    parted.append(is_part)
-                    turns.append(turns_of(len(bucket), len(odd) if len(words) - WINDOW + 1 >= THRESHOLD * (SHORT + 1) - 1e-9 else len(bucket) + 1))
+                    yield words
+
+        for part in parts:
+            rows, found, parted, sizes, turns = [], [], [], [], []
+            for words, windows in hashed(unseen(part, rows)):
+                sizes.append(len(words))
+                bucket, is_part = signs_of(words, windows, odd)
+                found.append(bucket)
+                parted.append(is_part)
+                turns.append(turns_of(len(bucket), len(odd) if len(words) - WINDOW + 1 >= THRESHOLD * (SHORT + 1) - 1e-9 else len(bucket) + 1))
             if rows:
                 low, high, n = (np.repeat(np.array(x, np.int64), [len(x) for x in found]) for x in (*zip(*rows), sizes))
                 yield pd.DataFrame({"bucket": np.concatenate(found).view(np.int64), "low": low, "high": high, "n": n,
@@ -258,13 +288,11 @@ def window_map(text: Column) -> Column:
 
     @F.pandas_udf("array<long>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo = held(Memo)
         for texts in parts:
             out = []
-            for t in texts:
-                words, flags = words_of(t), np.zeros(64 * MAP, np.uint8)
-                if words:
-                    flags[(window_hashes(words, memo) % np.uint64(64 * MAP)).astype(np.int64)] = 1
+            for _, windows in hashed(map(words_of, texts)):
+                flags = np.zeros(64 * MAP, np.uint8)
+                flags[(windows % np.uint64(64 * MAP)).astype(np.int64)] = 1
                 out.append(np.packbits(flags, bitorder="little").view("<i8"))
             yield pd.Series(out, dtype=object)
 

@@ -361,6 +361,49 @@ def test_signing_remembers_few_words_and_texts(spark):
     assert peak < 15 << 20
 
 
+def test_windows_of_many_texts_are_hashed_at_once(monkeypatch):
+    rng, rounds, mixed = random.Random(15), [], order_minhash.mix64
+    monkeypatch.setattr(order_minhash, "mix64", lambda x, seed: rounds.append(len(x)) or mixed(x, seed))
+    texts = [words(rng, rng.choice((1, 4, 5, 30, 90))) * rng.choice((1, 1, 2)) for _ in range(200)] + [[], ["a"] * 9]
+    found = [(w, h.tolist()) for w, h in order_minhash.hashed(iter(texts))]
+    assert [w for w, _ in found] == texts
+    # one round for each word of a window and one more; a further one for each text that has windows again
+    assert len(rounds) <= 2 * (order_minhash.WINDOW + 1) + sum(len({*zip(*(w[i:] for i in range(5)))}) < len(w) - 4 for w in texts)
+    for w, h in found:
+        alone = order_minhash.window_hashes([w])[0].tolist()
+        assert h == alone and len(set(h)) == len(h) == (max(1, len(w) - 4) if w else 0)
+        first = w[:max(5, len(w) // 2)]
+        assert not w or order_minhash.window_hashes([first])[0].tolist() == h[:max(1, len(first) - 4)]
+
+
+def test_buckets_hold_the_least_windows_of_each_order(monkeypatch):
+    odd = order_minhash.multipliers()
+    h = np.random.default_rng(3).integers(0, 1 << 64, 400, dtype=np.uint64)
+
+    def least(some):
+        return [sorted(range(len(some)), key=lambda i: int(some[i]) * int(a) % (1 << 64))[:6] for a in odd]
+
+    def buckets(some, kept):
+        out = order_minhash.mix64(np.arange(len(odd), dtype=np.uint64), 11)
+        for at, i in enumerate(np.sort(kept, axis=1).T):
+            out = order_minhash.mix64(out, at) + some[i]
+        return order_minhash.mix64(out, 6).tolist()
+
+    for some in (h, h[:12]):
+        assert order_minhash.buckets_of(some, odd).tolist() == buckets(some, least(some))
+    with monkeypatch.context() as m:
+        m.setattr(order_minhash, "SLICE", 100)
+        assert order_minhash.buckets_of(h, odd).tolist() == buckets(h, least(h))
+    # two windows of one hash, of which the first order takes either
+    kept = least(h)
+    last = kept[0][5]
+    twin = next(i for i in range(len(h)) if i != last and all(i not in k for k in kept))
+    h[twin] = h[last]
+    got = order_minhash.buckets_of(h, odd).tolist()
+    assert len(got) == len(odd)
+    assert got[0] in (buckets(h, kept)[0], buckets(h, [[*k[:5], twin] for k in kept])[0])
+
+
 def test_outsiders_that_share_several_buckets_meet_once(spark):
     text = " ".join(words(random.Random(4), 60))
     texts = spark.createDataFrame([(i, i, text) for i in range(4)], "low long, high long, text string")

@@ -6,6 +6,7 @@ import json
 import random
 import re
 import time
+import timeit
 from collections import Counter
 
 import numpy as np
@@ -128,6 +129,22 @@ def test_words_keep_only_digits_letters_and_beyond_ascii():
     assert decontaminate.words_of("Ab-c_D 12'é ß\x7f日本!") == ["ab", "c", "d", "12", "é", "ß", "日本"]
 
 
+@pytest.mark.parametrize("top", [0x80, 0x110000])
+def test_words_of_every_character(top):
+    """Other blanks than ASCII's belong to words, and only A-Z change."""
+    lower = {c: c + 32 for c in range(65, 91)}
+    chars = [chr(c) for c in range(top) if not 0xD800 <= c < 0xE000]
+    for text in ("".join(chars), "a".join(chars), " ".join(chars), "B\x1c".join(chars[::-1])):
+        assert decontaminate.words_of(text) == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(lower))
+
+
+def test_words_are_found_faster_than_by_a_pattern():
+    pattern, lower = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), {c: c + 32 for c in range(65, 91)}
+    for text in ("Some plain words, and 12 more! " * 2_000, "Größere Wörter, 日本 and others: " * 2_000):
+        plain, fast = (min(timeit.repeat(f, number=1, repeat=7)) for f in (lambda: pattern.findall(text.translate(lower)), lambda: decontaminate.words_of(text)))
+        assert 1.5 * fast < plain
+
+
 def test_benchmark_in_blocks_gives_the_same(spark):
     items, texts = random_cases(99)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*texts, None, "", texts[0]])], "doc_id long, text string, hits string")
