@@ -23,7 +23,6 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
-from functools import reduce
 from itertools import chain
 from operator import add
 
@@ -305,7 +304,8 @@ def may_be_alike(n: str, map_: str, other_n: str, other_map: str) -> Column:
     Each bit that only one map has stands for a window at least that the other text has not, so what is left bounds what they share.
     """
     windows = lambda c: F.greatest(F.col(c) - (WINDOW - 1), F.lit(1))
-    only = lambda a, b: reduce(add, [F.bit_count(F.col(a)[i].bitwiseAND(F.bitwise_not(F.col(b)[i]))) for i in range(MAP)])
+    # an expression for each long of the maps would make a method too large for the JVM to compile
+    only = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), add)
     need = (windows(n) + windows(other_n)) * (THRESHOLD / (1 + THRESHOLD)) - 1e-9
     # lengths first: they rule out most pairs before any map is looked at
     return ((F.least(windows(n), windows(other_n)) >= need) & (windows(n) - only(map_, other_map) >= need)

@@ -442,6 +442,14 @@ def test_window_maps_let_every_similar_pair_through(spark):
     assert any(not r["may"] for r in rows)
 
 
+def test_bound_by_window_maps_is_code_that_the_jvm_compiles(spark):
+    """Methods above 8000 bytes are interpreted, at many times the cost for each pair."""
+    df = spark.createDataFrame([], "na int, ma array<long>, nb int, mb array<long>").where(order_minhash.may_be_alike("na", "ma", "nb", "mb"))
+    code = df._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.length())]
+    assert not sizes or 0 < max(sizes) <= 8_000
+
+
 def test_near_duplicates_of_odd_and_empty_tables(spark, odd):
     got = order_minhash.classes(odd).collect()
     assert len(got) == odd.count()
