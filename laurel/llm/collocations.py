@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from laurel.llm import quotient_filter as qf
 from laurel.llm.common import mix64
-from laurel.llm.lookup import lookup, write_lookup
+from laurel.llm.lookup import Lookup, forget, lookup, write_lookup
 from laurel.operators.ranks import position_in_groups
 from laurel.session import staged
 
@@ -38,6 +38,8 @@ UNKNOWN = "und"
 #: Bytes of text that are split at once, words that a task holds before it passes them on, words of all languages whose numbers it remembers,
 #: n-grams of all lengths that it counts at once.
 SLICE, HELD, MEMO, GRAMS = 1 << 20, 250_000, 150_000, 300_000
+#: Word numbers of a staged row, about.  Spark reads 4096 rows of a file at once, so rows of whole slices took hundreds of MB there.
+CELL = 1 << 10
 #: Occurrences of frequent words that a range of n-grams stands for, on average.
 RANGE_WORDS = 4_000_000
 #: Every separator becomes a full stop, which no word holds; tabs become blanks.
@@ -101,7 +103,7 @@ def numbered(frequent: DataFrame) -> DataFrame:
 
 
 def encoded(docs: DataFrame, shards: list[tuple[int, str]], text: str = "text", lang: str = "lang") -> DataFrame:
-    """ids: word numbers of some texts in order, as bytes; at least one 0 between phrases that cannot be frequent together."""
+    """ids: word numbers of some texts in order, as bytes; at least one 0 between phrases that cannot be frequent together, and none of these in two rows."""
 
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, memo = lookup(shards), {}
@@ -116,8 +118,10 @@ def encoded(docs: DataFrame, shards: list[tuple[int, str]], text: str = "text",
             beside[1:] |= known[:-1]
             beside[:-1] |= known[1:]
             a = np.where(known & beside, a, 0)
-            a = a[(a > 0) | np.concatenate(([True], a[:-1] > 0))]
-            return pa.RecordBatch.from_arrays([pa.array([a.astype("<u8").tobytes()], pa.binary())], names=["ids"])
+            a = a[(a > 0) | np.concatenate(([True], a[:-1] > 0))].astype("<u8")
+            ends = np.append(np.flatnonzero(a == 0) + 1, len(a))
+            cuts = np.unique(ends[np.searchsorted(ends, np.arange(CELL, len(a) + CELL, CELL).clip(max=len(a)))])
+            return pa.RecordBatch.from_arrays([pa.array([a[i:j].tobytes() for i, j in zip([0, *cuts], cuts)], pa.binary())], names=["ids"])
 
         def learn(name: str, texts: list[list[bytes]]) -> dict[bytes, int]:
             of = memo.setdefault(name, {b".": 0})
@@ -162,19 +166,38 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.nda
     return mix64(mix64(first.astype(np.uint64), 1) + second.astype(np.uint64), 2).view(np.int64), first.astype(np.int64)
 
 
+def frequent(table: Lookup, first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the table of frequent pairs has these pairs of numbers, each looked up once."""
+    if bits > 32:
+        known, back = np.unique(np.stack([first, second]), axis=1, return_inverse=True)
+        return (table.probe(*pair_keys(known[0], known[1]))[0] > 0)[back]
+    both = first << np.uint64(32) | second
+    known = np.unique(both)
+    known = known[table.probe(*pair_keys(known >> np.uint64(32), known & np.uint64(0xFFFFFFFF)))[0] > 0]
+    at = np.searchsorted(known, both)
+    out = at < len(known)
+    out[out] = known[at[out]] == both[out]
+    return out
+
+
 def ngram_counts(blocks: DataFrame, lengths: tuple[int, ...], bits: int, skip: int, least: int, pairs: list[tuple[int, str]] | None = None) -> DataFrame:
     """gram (array of word numbers) and n, of n-grams of these lengths that occur at least so often.
 
     Each task counts in quotient filters, which are merged by (length, range).  pairs: table of the frequent pairs; n-grams with another pair are left out.
     """
+    number = np.uint32 if bits <= 32 else np.uint64
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if pairs is None:
+            forget()
         table = lookup(pairs) if pairs is not None else None
         held: dict[int, list[np.ndarray]] = {n: [] for n in lengths}
+        sizes = dict.fromkeys(lengths, 0)
 
         def out(n: int) -> Iterator[pa.RecordBatch]:
             found = qf.filters_of(np.concatenate(held[n], 1), bits, skip)
             held[n].clear()
+            sizes[n] = 0
             for i in range(0, len(found), 256):
                 some = found[i:i + 256]
                 yield pa.RecordBatch.from_arrays(
@@ -182,34 +205,36 @@ def ngram_counts(blocks: DataFrame, lengths: tuple[int, ...], bits: int, skip: i
                     names=["length", "range", "filter"])
 
         for part in parts:
-            for cell in part.column(0):
-                ids = np.frombuffer(cell.as_py(), "<u8")
+            gap = np.zeros(1, "<u8")
+            cells = np.concatenate([x for cell in part.column(0) for x in (np.frombuffer(cell.as_py(), "<u8"), gap)] or [gap])
+            for start in range(0, len(cells), SLICE):
+                # with the words that n-grams of this slice have in the next one
+                ids = cells[start:start + SLICE + max(lengths) - 1]
                 good = (ids[:-1] > 0) & (ids[1:] > 0)
                 if table is not None:
                     at = np.flatnonzero(good)
-                    both = np.stack([ids[at], ids[at + 1]])
-                    known, back = np.unique(both, axis=1, return_inverse=True)
-                    good[at] = (table.probe(*pair_keys(known[0], known[1]))[0] > 0)[back]
+                    good[at] = frequent(table, ids[at], ids[at + 1], bits)
                 for n in lengths:
-                    run = good[:max(0, len(ids) - n + 1)].copy()
+                    run = good[:max(0, min(SLICE, len(ids) - n + 1))].copy()
                     for k in range(1, n - 1):
                         run &= good[k:k + len(run)]
                     at = np.flatnonzero(run)
-                    held[n].append(np.stack([ids[at + k] for k in range(n)]))
-                sizes = {n: sum(x.shape[1] for x in held[n]) for n in lengths}
-                while sum(sizes.values()) > GRAMS:
-                    n = max(sizes, key=sizes.get)
-                    yield from out(n)
-                    sizes[n] = 0
+                    step = max(1, GRAMS // 4)
+                    for some in (at[i:i + step] for i in range(0, len(at), step)):
+                        while any(sizes.values()) and sum(sizes.values()) + len(some) > GRAMS:
+                            yield from out(max(sizes, key=sizes.get))
+                        held[n].append(np.stack([ids[some + k].astype(number) for k in range(n)]))
+                        sizes[n] += len(some)
         for n in lengths:
             if held[n]:
                 yield from out(n)
 
-    def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        f = qf.merged([qf.QuotientFilter.load(x) for x in part["filter"]])
-        often = f.counts >= least
-        f = qf.QuotientFilter(f.n, f.bits, f.prefix, f.skip, f.limbs[:, often], f.counts[often])
-        return pd.DataFrame({"gram": pd.Series(list(f.ngrams().T.astype(np.int64)), dtype=object), "n": f.counts})
+    def merge(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
+        for f in qf.merged_parts(qf.QuotientFilter.load(x) for part in parts for x in part["filter"]):
+            often = f.counts >= least
+            f = qf.QuotientFilter(f.n, f.bits, f.prefix, f.skip, f.limbs[:, often], f.counts[often])
+            yield pd.DataFrame({"gram": pd.Series(list(f.ngrams().T.astype(np.int64)), dtype=object), "n": f.counts})
 
     filters = blocks.mapInArrow(count, "length int, range long, filter binary")
     return filters.groupBy("length", "range").applyInPandas(merge, "gram array<long>, n long")

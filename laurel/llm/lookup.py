@@ -96,3 +96,8 @@ def lookup(shards: list[tuple[int, str]]) -> Lookup:
     if _last[0] != key:
         _last[:] = [key, Lookup(shards)]
     return _last[1]
+
+
+def forget() -> None:
+    """Drop the table of a step before, which a worker that goes on to another step still holds."""
+    _last[:] = [None, None]

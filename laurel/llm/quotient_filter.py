@@ -9,6 +9,7 @@ groups.  Filters of one range are sorted alike, so merging is one pass over thei
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,8 @@ from laurel.llm.common import mix64
 
 ROUNDS = 2
 U = np.uint64
+#: Entries that are sorted at once when the filters of a range are merged, on average.
+RUN = 1 << 18
 
 
 def _mask(bits: int) -> np.uint64:
@@ -209,5 +212,39 @@ def split(n: int, bits: int, skip: int, limbs: np.ndarray, counts: np.ndarray) -
 def merged(filters: list[QuotientFilter]) -> QuotientFilter:
     """Sum of filters of one range."""
     f = filters[0]
-    limbs, counts = counted(np.concatenate([x.limbs for x in filters], 1), np.concatenate([x.counts for x in filters]))
+    limbs, counts = counted(np.concatenate([x.limbs for x in filters], 1), np.concatenate([x.counts for x in filters]).astype(np.int64, copy=False))
     return QuotientFilter(f.n, f.bits, f.prefix, f.skip, limbs, counts)
+
+
+def merged_parts(filters: Iterable[QuotientFilter]) -> Iterator[QuotientFilter]:
+    """Sum of filters of one range, in ascending stretches of it.
+
+    Filters are added up as they come to runs of RUN entries.  A stretch is cut from all runs, so that beside these only what one stretch
+    has is copied and sorted.
+    """
+    runs: list[QuotientFilter] = []
+    held: list[QuotientFilter] = []
+
+    def run() -> None:
+        f = merged(held)
+        held.clear()
+        if f.counts.max(initial=0) < 1 << 32:
+            f.counts = f.counts.astype(np.uint32)
+        runs.append(f)
+
+    size = 0
+    for f in filters:
+        held.append(f)
+        size += len(f.counts)
+        if size >= RUN:
+            run()
+            size = 0
+    if held:
+        run()
+    if not runs:
+        return
+    f = runs[0]
+    bits = min(f.total - f.skip, (sum(len(x.counts) for x in runs) // RUN).bit_length())
+    cuts = [np.append(np.searchsorted(top(x.limbs, f.total, f.skip, bits), np.arange(1 << bits, dtype=U)), len(x.counts)) for x in runs]
+    for i in range(1 << bits):
+        yield merged([QuotientFilter(f.n, f.bits, f.prefix, f.skip, x.limbs[:, at[i]:at[i + 1]], x.counts[at[i]:at[i + 1]]) for x, at in zip(runs, cuts)])

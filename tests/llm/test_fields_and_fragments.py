@@ -365,3 +365,76 @@ def test_remembered_words_of_all_languages_share_one_bound(spark, monkeypatch):
     monkeypatch.setattr(collocations, "MEMO", 500)
     most.clear()
     assert ids() == whole and sum(most) > 1.2 * once
+
+
+def test_staged_word_numbers_lie_in_short_rows(spark, monkeypatch):
+    class Table:
+        def probe(self, low, high):
+            return (np.abs(low) % 7,)
+    monkeypatch.setattr(collocations, "lookup", lambda _: Table())
+    monkeypatch.setattr(collocations, "CELL", 64)
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(300)}" + rng.choice(["", "", "", "."]) for _ in range(3_000)), "", "w1 w2 " * 100, None]
+    frame = Frame()
+    collocations.encoded(frame, [])
+    part = pa.RecordBatch.from_arrays([pa.array(["en"] * 4), pa.array(texts)], names=["lang", "text"])
+    cells = [np.frombuffer(x.as_py(), "<u8") for b in frame.run(iter([part])) for x in b.column(0)]
+    assert len(cells) > 20 and all(len(c) and c[-1] == 0 for c in cells)
+    # cut at the first 0 from so many words on, which lies far behind in the text of 200 words only
+    assert sorted(map(len, cells))[-2] < 2 * 64 and max(map(len, cells)) < 64 + 202
+
+
+@pytest.mark.parametrize("slice_", [7, 100, 1 << 20])
+def test_ngrams_of_long_rows_are_counted_in_slices(monkeypatch, slice_):
+    monkeypatch.setattr(collocations, "GRAMS", 400)
+    monkeypatch.setattr(collocations, "SLICE", slice_)
+    held, filters_of = [], qf.filters_of
+    monkeypatch.setattr(qf, "filters_of", lambda ids, *more: held.append(ids.shape[1]) or filters_of(ids, *more))
+    rng = np.random.default_rng(6)
+    cells = [rng.integers(0, 9, m).astype("<u8") for m in (2_000, 1, 3, 700)]
+    cells = [np.where(rng.random(len(c)) < 0.05, 0, c) for c in cells]
+    # without pairs of an odd and a higher number
+    pairs = {(a, b) for a in range(1, 9) for b in range(1, 9) if not (a % 2 and b > a)}
+
+    class Table:
+        def probe(self, low, high):
+            known = {tuple(int(x[0]) for x in collocations.pair_keys(np.array([a], np.uint64), np.array([b], np.uint64))) for a, b in pairs}
+            return (np.array([(a, b) in known for a, b in zip(low.tolist(), high.tolist())], np.int64),)
+    monkeypatch.setattr(collocations, "lookup", lambda _: Table())
+    for bits in (4, 33):
+        frame, want, got = Frame(), Counter(), Counter()
+        collocations.ngram_counts(frame, (3, 5), bits, 3, 1, [])
+        for c in cells:
+            for n in (3, 5):
+                grams = (tuple(map(int, c[i:i + n])) for i in range(len(c) - n + 1))
+                want.update(g for g in grams if all(x in pairs for x in zip(g, g[1:])))
+        part = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in cells], pa.binary())], names=["ids"])
+        for f in (qf.QuotientFilter.load(r["filter"]) for b in frame.run(iter([part])) for r in b.to_pylist()):
+            got.update(dict(zip((tuple(map(int, g)) for g in f.ngrams().T), f.counts.tolist())))
+        assert got == want and len(got) > 100
+    assert max(held) <= 400
+
+
+def test_ranges_are_merged_without_sorting_all_at_once(monkeypatch):
+    monkeypatch.setattr(qf, "RUN", 500)
+    most, counted = [], qf.counted
+    monkeypatch.setattr(qf, "counted", lambda limbs, *more: most.append(limbs.shape[1]) or counted(limbs, *more))
+    rng = np.random.default_rng(7)
+    for n, bits in ((2, 9), (3, 24), (5, 30)):
+        want, filters, one = Counter(), [], None
+        for _ in range(60):
+            p = rng.integers(0, 400, (n, 100)).astype(np.uint64)
+            p[:, :20] = 1
+            p[1:, 20:40] = 2
+            for f in qf.filters_of(p, bits, 0):
+                f.counts[0] += 1 << 32
+                filters.append(f)
+                want.update(dict(zip((tuple(map(int, g)) for g in f.ngrams().T), f.counts.tolist())))
+        most.clear()
+        got = list(qf.merged_parts(iter(filters)))
+        assert max(most) < 1_000 and len(got) > 4
+        numbers = [x for f in got for x in (f.limbs[0].astype(object) if len(f.limbs) == 1 else f.limbs.T.tolist())]
+        assert all(a < b for a, b in zip(numbers, numbers[1:]))
+        found = [(tuple(map(int, g)), c) for f in got for g, c in zip(f.ngrams().T, f.counts.tolist())]
+        assert dict(found) == want and len(found) == len(want)
+    assert not list(qf.merged_parts(iter([])))
